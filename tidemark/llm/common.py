@@ -12,6 +12,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__.rpartition(".")[0]])
 #: Five-word shingles at a similarity of 0.8, unless an operator's contract says otherwise.
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
+#: Where a session without spark.checkpoint.dir keeps the folder it was given.
+OWN_DIR = "spark.tidemark.shared.dir"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,12 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares; a local one only where none is named (tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_DIR, None)
     if not where:
         import tempfile
 
         where = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        spark.conf.set(OWN_DIR, where)
     return where
 
 
