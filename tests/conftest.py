@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,7 +11,6 @@ from tidemark.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(4, 4, "4g")
-    s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     yield s
     s.stop()
 
