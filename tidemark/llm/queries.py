@@ -1,9 +1,13 @@
 """The queries of this package and their SQL."""
 
-from tidemark.llm import media, pieces
+from tidemark.llm import fingerprints, media, near, phrases, pieces, toxicity
 
 QUERIES = {
+    "op3_fingerprints": fingerprints.op3_fingerprints,
+    "op4_phrases": phrases.op4_phrases,
     "op5_media": media.op5_media,
+    "op6_near": near.op6_near,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_sentencepiece": pieces.op10_sentencepiece,
 }
 
