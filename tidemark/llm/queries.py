@@ -1,6 +1,6 @@
 """The queries of this package and their SQL."""
 
-from tidemark.llm import fingerprints, licenses, media, mixing, near, phrases, pieces, toxicity, urls
+from tidemark.llm import fingerprints, licenses, lines, media, mixing, near, phrases, pieces, toxicity, urls
 
 QUERIES = {
     "op1_urls": urls.op1_urls,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_phrases": phrases.op4_phrases,
     "op5_media": media.op5_media,
     "op6_near": near.op6_near,
+    "op7_lines": lines.op7_lines,
     "op8_licenses": licenses.op8_licenses,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_sentencepiece": pieces.op10_sentencepiece,
@@ -18,5 +19,6 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op1_urls": urls.sql(),
     "op2_mixing": mixing.sql(),
+    "op7_lines": lines.sql(),
     "op8_licenses": licenses.sql(),
 }
