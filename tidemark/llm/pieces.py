@@ -208,22 +208,31 @@ def model_bytes(path: str | None = None) -> bytes:
         return f.read()
 
 
-def encode(docs: DataFrame, model: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """ids, begins, ends (byte spans in the original text) and the decoded text of every row."""
+OUTPUTS = {"n_tokens": "long", "ids": "array<int>", "begins": "array<long>", "ends": "array<long>", "decoded": "string"}
+
+
+def encode(docs: DataFrame, model: str | None = None, id_column: str = "doc_id", text_column: str = "text", outputs: tuple = tuple(OUTPUTS)) -> DataFrame:
+    """doc_id and the chosen outputs of every row: ids, their byte spans in the original text, the decoded text."""
     blob = model_bytes(model)
     kept = docs.select(F.col(id_column).alias("doc_id"), common.text_or_empty(text_column).alias("text"))
+    made = {
+        "n_tokens": (pa.int64(), lambda pieces, r: len(r[1])),
+        "ids": (pa.list_(pa.int32()), lambda pieces, r: r[1]),
+        "begins": (pa.list_(pa.int64()), lambda pieces, r: r[2]),
+        "ends": (pa.list_(pa.int64()), lambda pieces, r: r[3]),
+        "decoded": (pa.string(), lambda pieces, r: pieces.decode(r[1])),
+    }
 
     def run(batches):
         pieces = Pieces(blob)
         for batch in batches:
-            rows = pieces.encode_many(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([r[1] for r in rows], pa.list_(pa.int32())), pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(pa.int64())), pa.array([pieces.decode(r[1]) for r in rows], pa.string())],
-                ["doc_id", "ids", "begins", "ends", "decoded"],
-            )
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                rows = pieces.encode_many(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([made[o][1](pieces, r) for r in rows], made[o][0]) for o in outputs]], ["doc_id", *outputs])
 
     kind = kept.schema["doc_id"].dataType.simpleString()
-    return kept.mapInArrow(run, f"doc_id {kind}, ids array<int>, begins array<long>, ends array<long>, decoded string")
+    return kept.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{o} {OUTPUTS[o]}" for o in outputs))
 
 
 def digests(docs: DataFrame, model: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -226,13 +226,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that are not predicted toxic, with their own columns."""
     model = learn(docs, labels)
-    flag = "__toxic_text"
+    flag, columns = "__toxic_text", docs.columns
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 texts = part.column(flag).to_pylist()
                 keep = pa.array([model.score(t)[0] < 0.5 for t in texts], pa.bool_())
-                yield part.filter(keep).select(docs.columns)
+                yield part.filter(keep).select(columns)
 
     return docs.withColumn(flag, common.text_or_empty()).mapInArrow(run, docs.schema)
