@@ -10,22 +10,23 @@ def words(c: Column) -> Column:
     return F.filter(F.split(c, r"\s+"), lambda w: w != "")
 
 
-def grams(c: Column, n: int = GRAM) -> Column:
-    """Every n consecutive words, in order."""
-    w = words(c)
+def grams(w: Column, n: int = GRAM) -> Column:
+    """Every n consecutive words of an array column, in order. The array must be a column: a lambda would make it anew for each gram."""
     return F.when(F.size(w) >= n, F.transform(F.slice(w, 1, F.size(w) - (n - 1)), lambda x, i: F.array_join(F.slice(w, i + 1, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
 
 
 def learned(rows: DataFrame, host: str, text: str, least: int, share: float, n: int = GRAM) -> DataFrame:
     """(host, gram, df): n-grams in at least max(least, share of the host's documents)."""
-    each = rows.select(F.col(host).alias("host"), F.explode(F.array_distinct(grams(F.col(text), n))).alias("gram")).groupBy("host", "gram").agg(F.count("*").alias("df"))
+    split = rows.select(F.col(host).alias("host"), words(F.col(text)).alias("w"))
+    each = split.select("host", F.explode(F.array_distinct(grams(F.col("w"), n))).alias("gram")).groupBy("host", "gram").agg(F.count("*").alias("df"))
     sizes = rows.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("docs")).where(F.col("docs") >= least)
     return each.join(sizes, "host").where(F.col("df") >= F.greatest(F.lit(float(least)), F.lit(share) * F.col("docs"))).select("host", "gram", "df")
 
 
 def furniture_runs(rows: DataFrame, id_column: str, host: str, text: str, known: DataFrame, n: int = GRAM, least_run: int = LEAST_RUN) -> DataFrame:
     """(id, begin, length) of every run of at least `least_run` words that known grams cover: gaps and islands."""
-    spread = rows.select(F.col(id_column).alias("id"), F.col(host).alias("host"), F.posexplode(grams(F.col(text), n)).alias("at", "gram"))
+    split = rows.select(F.col(id_column).alias("id"), F.col(host).alias("host"), words(F.col(text)).alias("w"))
+    spread = split.select("id", "host", F.posexplode(grams(F.col("w"), n)).alias("at", "gram"))
     hits = spread.join(known.select("host", "gram"), ["host", "gram"], "left_semi").select("id", F.explode(F.sequence(F.col("at"), F.col("at") + (n - 1))).alias("word")).distinct()
     island = F.col("word") - F.row_number().over(Window.partitionBy("id").orderBy("word"))
     return hits.withColumn("island", island).groupBy("id", "island").agg(F.min("word").alias("begin"), F.count("*").alias("length")).where(F.col("length") >= least_run).drop("island")

@@ -53,8 +53,8 @@ def corroboration_counts(spark, sf_dir):
     return leads.join(items.select(F.col("doc_id").alias("id"), "source"), "id").groupBy("lead").agg(F.count("*").alias("n"), F.count_distinct("source").alias("outlets"))
 
 
-COMPONENT_SQL = PAIR_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + """, both AS (SELECT a, b FROM prs UNION SELECT b, a FROM prs),
-walk(id, label) AS (SELECT doc_id, doc_id FROM documents UNION SELECT both.b, walk.label FROM walk JOIN both ON both.a = walk.id WHERE walk.label < both.b)
+COMPONENT_SQL = PAIR_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + """, pairs2 AS (SELECT a, b FROM prs UNION SELECT b, a FROM prs),
+walk(id, label) AS (SELECT doc_id, doc_id FROM documents UNION SELECT pairs2.b, walk.label FROM walk JOIN pairs2 ON pairs2.a = walk.id WHERE walk.label < pairs2.b)
 SELECT id, min(label) AS component FROM walk GROUP BY id"""
 
 
@@ -69,8 +69,8 @@ FOLD_SQL = f"""WITH RECURSIVE {ROWS_SQL}, toks AS (SELECT doc_id, list_filter(st
 grams AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS g FROM toks),
 post AS (SELECT g FROM grams GROUP BY g HAVING count(*) BETWEEN 3 AND 25), hit AS (SELECT doc_id, g FROM grams WHERE g IN (SELECT g FROM post)),
 prs AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM hit x JOIN hit y ON x.g = y.g AND x.doc_id < y.doc_id JOIN sig p ON p.doc_id = x.doc_id JOIN sig q ON q.doc_id = y.doc_id WHERE len(list_intersect(p.w, q.w)) >= 4),
-both AS (SELECT a, b FROM prs UNION SELECT b, a FROM prs),
-walk(id, label) AS (SELECT doc_id, doc_id FROM documents UNION SELECT both.b, walk.label FROM walk JOIN both ON both.a = walk.id WHERE walk.label < both.b),
+pairs2 AS (SELECT a, b FROM prs UNION SELECT b, a FROM prs),
+walk(id, label) AS (SELECT doc_id, doc_id FROM documents UNION SELECT pairs2.b, walk.label FROM walk JOIN pairs2 ON pairs2.a = walk.id WHERE walk.label < pairs2.b),
 comp AS (SELECT id, min(label) AS component FROM walk GROUP BY id),
 kept AS (SELECT component, id FROM comp JOIN sig m ON m.doc_id = id JOIN sig h ON h.doc_id = component WHERE id = component OR len(list_intersect(m.w, h.w)) >= 2)
 SELECT component, id, count(*) OVER (PARTITION BY component) AS size FROM kept QUALIFY size > 1"""
@@ -131,7 +131,7 @@ NAME_SQL = "list_distinct(list_transform(regexp_extract_all(headline, '([A-Z][a-
 HISTORY_SQL = f"""WITH {ROWS_SQL}, td AS (SELECT doc_id, w, {NAME_SQL} AS n FROM sig WHERE doc_id % 2 = 0), pt AS (SELECT doc_id AS past_id, doc_id // 100 AS edition, w, {NAME_SQL} AS n FROM sig WHERE doc_id % 2 = 1),
 ents AS (SELECT e FROM (SELECT unnest(n) AS e FROM td UNION ALL SELECT unnest(n) FROM pt) GROUP BY e HAVING count(*) BETWEEN 2 AND 12),
 cand AS (SELECT x.doc_id, y.past_id, count(*) AS shared FROM (SELECT doc_id, unnest(w) AS word FROM td) x JOIN (SELECT past_id, unnest(w) AS word FROM pt) y USING (word) GROUP BY ALL HAVING count(*) >= 3),
-hit AS (SELECT cand.*, edition FROM cand JOIN td USING (doc_id) JOIN pt USING (past_id) WHERE (least(len(td.w), len(pt.w)) >= 4 AND shared >= CAST(0.55 AS DOUBLE) * least(len(td.w), len(pt.w))) OR shared >= 5 OR len(list_filter(list_intersect(td.n, pt.n), lambda z: z IN (SELECT e FROM ents))) > 0)
+hit AS (SELECT cand.*, edition FROM cand JOIN td USING (doc_id) JOIN pt USING (past_id) WHERE (least(len(td.w), len(pt.w)) >= 4 AND shared >= CAST(0.55 AS DOUBLE) * least(len(td.w), len(pt.w))) OR shared >= 5 OR list_has_any(list_intersect(td.n, pt.n), (SELECT list(e) FROM ents)))
 SELECT doc_id, past_id, edition, CAST(shared AS INTEGER) AS shared FROM hit QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY edition DESC, past_id) = 1"""
 
 
@@ -146,7 +146,7 @@ def repeat_match_latest(spark, sf_dir):
 
 
 GRAM_SQL = """WITH t AS (SELECT doc_id, source, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS ws FROM documents),
-g AS (SELECT doc_id, source, unnest(range(0, len(ws) - 5)) AS at, unnest(list_transform(range(1, len(ws) - 4), lambda i: array_to_string(ws[i:i + 5], ' '))) AS gram FROM t WHERE len(ws) >= 6),
+g AS (SELECT doc_id, source, unnest(range(0, len(ws) - 5)) AS pos, unnest(list_transform(range(1, len(ws) - 4), lambda i: array_to_string(ws[i:i + 5], ' '))) AS gram FROM t WHERE len(ws) >= 6),
 df AS (SELECT source AS host, gram, count(DISTINCT doc_id) AS df FROM g GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3)"""
 
 
@@ -156,9 +156,9 @@ def host_ngram_furniture(spark, sf_dir):
     return furniture.learned(base.table(spark, sf_dir, "documents"), "source", "text", 3, 0.0)
 
 
-@query("furniture_runs", GRAM_SQL + """, hits AS (SELECT DISTINCT doc_id, unnest(range(at, at + 6)) AS word FROM g JOIN df ON df.host = g.source AND df.gram = g.gram),
+@query("furniture_runs", GRAM_SQL + """, hits AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 6)) AS word FROM g JOIN df ON df.host = g.source AND df.gram = g.gram),
 isl AS (SELECT doc_id, word, word - row_number() OVER (PARTITION BY doc_id ORDER BY word) AS i FROM hits)
-SELECT doc_id AS id, CAST(min(word) AS INTEGER) AS begin, count(*) AS length FROM isl GROUP BY doc_id, i HAVING count(*) >= 10""")
+SELECT doc_id AS id, CAST(min(word) AS INTEGER) AS "begin", count(*) AS length FROM isl GROUP BY doc_id, i HAVING count(*) >= 10""")
 def furniture_runs(spark, sf_dir):
     """WIN-09: runs of learned furniture, ten words at least."""
     docs = base.table(spark, sf_dir, "documents")
