@@ -38,8 +38,8 @@ def test_urls(spark):
 
 def test_words(spark):
     assert one(spark, "The new Bill will have its second reading today after a vote and a march by many", T.title_key) == "bill many march reading second today vote"
-    assert [one(spark, w, T.stem) for w in ("stories", "national", "voting", "allowedly", "banned", "cases", "laws", "was")] == ["story", "national", "voting"[:-3] if len("voting") - 3 >= 4 else "voting", "allow", "bann", "case", "laws", "was"]
-    assert set(one(spark, "Päivi Räsänen’s visa granted", T.significant)) == {"paivi", "rasanens", "visa", "grant"}
+    assert [one(spark, w, T.stem) for w in ("stories", "national", "voting", "allowedly", "banned", "cases", "laws", "was")] == ["story", "national", "voting", "allow", "bann", "case", "laws", "was"]
+    assert set(one(spark, "Päivi Räsänen’s visa granted", T.significant)) == {"paivi", "rasanen", "visa", "grant"}
     assert one(spark, "Łódź ﬁnds straße", T.deaccented) == "odz finds strae"
     assert one(spark, "   text ", T.text_id) == one(spark, "text", T.text_id)
     assert one(spark, " \n", T.text_id) == "none"

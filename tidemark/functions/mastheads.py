@@ -39,6 +39,10 @@ def strip_name(title: str | None, source: str | None = "") -> tuple[str, str]:
     return text, outer
 
 
-@F.pandas_udf("title string, name string")
-def stripped_title(titles: pd.Series, sources: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([strip_name(t, s) for t, s in zip(titles, sources, strict=True)], columns=["title", "name"])
+def stripped_title(titles, sources):
+    """(title, name) of title columns, in Arrow batches."""
+
+    def strip(t: pd.Series, s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([strip_name(a, b) for a, b in zip(t, s, strict=True)], columns=["title", "name"])
+
+    return F.pandas_udf(strip, "title string, name string")(titles, sources)

@@ -69,7 +69,7 @@ def sitemap_items(rows: DataFrame, column: str) -> DataFrame:
         field("news:title").alias("title"),
         field("loc").alias("link"),
         dates.parse_date(field("news:publication_date")).alias("published"),
-        F.transform(F.split(F.coalesce(field("news:keywords"), F.lit("")), ","), F.trim).alias("categories"),
+        F.transform(F.split(F.coalesce(field("news:keywords"), F.lit("")), ","), lambda x: F.trim(x)).alias("categories"),
     )
 
 
@@ -87,7 +87,7 @@ def broken_bodies(rows: DataFrame, column: str) -> DataFrame:
 def catalogue(lines: DataFrame) -> DataFrame:
     """Source lines `mode | category | title | target [| window=NNNh] [| max=NNN]` as rows; comments go."""
     plain = lines.select(F.trim(F.regexp_replace("value", "\\s+#.*$", "")).alias("v")).where("v <> '' AND NOT startswith(v, '#')")
-    parts = F.transform(F.split("v", "\\|"), F.trim)
+    parts = F.transform(F.split("v", "\\|"), lambda x: F.trim(x))
     out = plain.select(parts.alias("p")).where("size(p) >= 2")
     option = lambda name: F.nullif(F.regexp_extract(F.array_join("p", "|"), f"\\|{name}=([0-9]+)h?", 1), F.lit("")).cast("int")
     return out.select(F.lower(F.get("p", F.lit(0))).alias("mode"), F.get("p", F.lit(1)).alias("category"), F.get("p", F.lit(2)).alias("title"), F.get("p", F.lit(3)).alias("target"), option("window").alias("window_hours"), option("max").alias("most"))
