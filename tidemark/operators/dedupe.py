@@ -50,7 +50,7 @@ def borrowed_summary(kept: DataFrame, dropped: DataFrame, key: str, summary: str
     best = dropped.groupBy(key).agg(F.max_by(summary, F.struct(size, F.col(summary))).alias("offer"))
     joined = kept.join(best, key, "left")
     better = F.coalesce(F.char_length("offer"), F.lit(0)) > F.coalesce(F.char_length(summary), F.lit(0)) + gain
-    return joined.withColumn(summary, F.when(better, F.col("offer")).otherwise(F.col(summary))).withColumn("borrowed", better).drop("offer")
+    return joined.withColumn("borrowed", better).withColumn(summary, F.when(F.col("borrowed"), F.col("offer")).otherwise(F.col(summary))).drop("offer")
 
 
 def direct_links(items: DataFrame, index: DataFrame, key: str, url: str, is_redirect: Column, order: list) -> DataFrame:
