@@ -3,7 +3,8 @@
 Every five-word shingle is hashed once; its low bits name a bin and the rest is its value, and
 each bin keeps its least value. An empty bin takes the value of the first filled bin among a
 sequence of bins drawn by hashing its number (optimal densification). The lowest BITS bits of
-each bin are packed into hex digits. Two fingerprints that agree in a share p of their bins have
+each bin's value, hashed with the bin so that copies of one value do not all collide at once, are
+packed into hex digits. Two fingerprints that agree in a share p of their bins have
 an estimated Jaccard of (p - c) / (1 - c), where c = 2 ** -BITS is the share that agrees by chance.
 
 Least values are found without exploding a text: hashes are sorted as numbers whose high bits are
@@ -59,7 +60,7 @@ def packed(full: Column) -> Column:
     # after the probes every bin is swept from the bin's own place on
     sweep = lambda i: F.get(F.filter(F.concat(F.slice(full, i + 1, F.lit(BINS)), full), lambda x: x.isNotNull()), F.lit(0))
     dense = F.transform(full, lambda v, i: F.coalesce(v, *[F.get(full, F.get(t, i)) for t in tables], sweep(i)))
-    return F.lower(F.array_join(F.transform(dense, lambda v: F.hex(v.bitwiseAND(F.lit(2**BITS - 1)))), ""))
+    return F.lower(F.array_join(F.transform(dense, lambda v, i: F.hex(F.xxhash64(v, i).bitwiseAND(F.lit(2**BITS - 1)))), ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
