@@ -16,7 +16,11 @@ SQL: dict = {}
 query = partial(base.register, QUERIES, SQL)
 
 NOW = "2024-01-29 12:00:00"  # a Monday
-now = F.lit(NOW).cast("timestamp")
+
+
+def at_now():
+    return F.lit(NOW).cast("timestamp")
+
 NOW_SQL = f"TIMESTAMP '{NOW}'"
 
 
@@ -28,6 +32,7 @@ def events(spark, sf_dir):
 def freshness_window(spark, sf_dir):
     """FLT-01, DAT-03 (unrounded to a tenth: engines differ on halves)."""
     own = F.when(F.col("event_type") == "signup", 168).when(F.col("event_type") == "error", 24)
+    now = at_now()
     kept = window.fresh(events(spark, sf_dir), "ts", now, own)
     return kept.select("event_id", F.round((F.unix_micros(now) - F.unix_micros("ts")) / F.lit(3.6e9), 6).alias("age_h"))
 

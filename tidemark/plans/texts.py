@@ -5,7 +5,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
-from tidemark.operators import pairs
+from tidemark.operators import filters, pairs
 from tidemark.plans import base
 
 QUERIES: dict = {}
@@ -156,3 +156,15 @@ def longest_outlet_match(spark, sf_dir):
     pages, names = base.table(spark, sf_dir, "pages"), base.table(spark, sf_dir, "nation").select("n_name")
     hit = pages.join(F.broadcast(names), F.contains(F.lower("html"), F.lower("n_name")), "left")
     return hit.groupBy("page_id").agg(F.min_by("n_name", F.struct(-F.char_length("n_name"), "n_name")).alias("place"))
+
+
+@query("junk_titles", f"SELECT doc_id, length(trim({HEADLINE_SQL}, ' ')) < 25 OR regexp_matches(trim({HEADLINE_SQL}, ' '), '(?i)^(archive|subscribe|sign in|log in)\\b') AS junk FROM documents")
+def junk_titles(spark, sf_dir):
+    """FLT-06."""
+    return rows(spark, sf_dir).select("doc_id", filters.junk_title(F.col("headline"), F.lit("")).alias("junk"))
+
+
+@query("paywalled_pages", f"SELECT page_id, list_has_any(list_transform(range(1, len(string_split(lower({HOST_SQL}), '.')) + 1), lambda i: array_to_string(string_split(lower({HOST_SQL}), '.')[i:], '.')), ['example.net', 'ththed.example.org']) AS paywalled FROM pages")
+def paywalled_pages(spark, sf_dir):
+    """FLT-08: the host is a listed domain or under one."""
+    return base.table(spark, sf_dir, "pages").select("page_id", filters.on_domain(T.netloc(F.col("url")), ["example.net", "ththed.example.org"]).alias("paywalled"))
