@@ -68,7 +68,8 @@ def mixed(docs: DataFrame, seed: int = SEED, power: float = POWER, weights: dict
         left = docs.withColumn("__at", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
         joined = left.join(salted, left["source"].eqNullSafe(salted["__source"]) & (left["__at"] == salted["__salt"]))
     u = uniform(seed, F.col("doc_id"))
-    copies = F.size(F.filter("cdf", lambda c: c <= F.col("__u")))
+    # named twice, so that the optimiser keeps it a column: in the lambda alone it would be hashed anew for every step
+    copies = F.when(F.col("__u") > 0, F.size(F.filter("cdf", lambda c: c <= F.col("__u"))))
     rows = joined.withColumn("__u", u).withColumn("__copies", copies).where("__copies > 0")
     rows = rows.select(*own, F.explode(F.expr("sequence(0, __copies - 1)")).alias("copy"))
     key = F.xxhash64(F.lit(seed), "doc_id", "copy")
