@@ -59,13 +59,14 @@ def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFra
     ranks = rarity(rows)
     lines = rows.select("doc", "h", F.posexplode(F.split("text", "\n")).alias("line", "string"))
     sets = lines.select("doc", "h", "line", tokens(F.split("string", SPACE), ranks).alias("keys")).where(F.size("keys") > 0)
-    sets = sets.select("doc", "h", "line", F.xxhash64("keys").alias("sid"), "keys")
-    firsts = common.staged(sets.select("sid", F.struct("doc", "h", "line").alias("place")).groupBy("sid").agg(F.min("place").alias("first")), "line-sets")
-
     size = F.size("keys")
     prefix = size - F.ceil(size * F.lit(share) / F.lit(1000) - F.lit(1e-9)).cast("int") + 1
-    index = sets.where(size > 3).select("sid", size.alias("n"), F.posexplode(F.slice("keys", F.lit(1), prefix)).alias("at", "token"))
+    sets = sets.select("doc", "h", "line", F.xxhash64("keys").alias("sid"), size.alias("n"), F.when(size > 3, F.slice("keys", F.lit(1), prefix)).alias("prefix"))
+    sets = common.staged(sets, "line-sets")
+    firsts = common.staged(sets.select("sid", F.struct("doc", "h", "line").alias("place")).groupBy("sid").agg(F.min("place").alias("first")), "line-firsts")
+    index = sets.where("prefix IS NOT NULL").select("sid", "n", F.posexplode("prefix").alias("at", "token"))
     index = common.staged(index.groupBy("token", "sid", "n", "at").count().drop("count"), "line-prefixes")
+    common.release(sets)
     a = index.select("token", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
     b = index.select("token", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
     overlap = F.col("na") + F.col("nb")
