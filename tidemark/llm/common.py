@@ -46,7 +46,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(at)
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    out._stage = at
+    return out
+
+
+def release(table: DataFrame) -> None:
+    """Delete a step's table that no later step reads."""
+    jvm, session = table.sparkSession._jvm, table.sparkSession._jsparkSession
+    path = jvm.org.apache.hadoop.fs.Path(table._stage)
+    path.getFileSystem(session.sessionState().newHadoopConf()).delete(path, True)
 
 
 def text_or_empty(name: str = "text") -> Column:

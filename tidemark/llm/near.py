@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
-from tidemark.llm.phrases import mixed, rolled, slices, word_hashes
+from tidemark.llm.phrases import Words, mixed, rolled, slices
 
 REGISTERS = 128
 BAND = 4
@@ -35,14 +35,12 @@ FLOOR = 0.65
 ROWS, COLUMNS = 256, 2048
 
 
-def shingles(texts: list, memo: dict, words: int = common.SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingles(texts: list, words: int = common.SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a batch of texts: owner, hash and count of every distinct shingle, ordered by owner and hash."""
-    lists = [t.encode("utf-8", "replace").split() for t in texts]
-    low, _ = word_hashes(lists, memo)
-    lengths = np.array([len(x) for x in lists], dtype=np.int64)
-    first = np.cumsum(lengths) - lengths
+    found = Words(texts)
+    low, lengths, first = found.hashes(0), found.lengths, found.first
     n = np.maximum(lengths - words + 1, 0)
-    owner = np.repeat(np.arange(len(lists)), n)
+    owner = np.repeat(np.arange(len(texts)), n)
     place = first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
     values = rolled(low, words, 0x9E3779B97F4A7C15)[place] if len(place) else np.zeros(0, dtype=np.uint64)
     short = np.flatnonzero(n == 0)
@@ -113,11 +111,10 @@ def signed(rows: DataFrame) -> DataFrame:
     def run(batches):
         import xxhash
 
-        memo: dict = {}
         for batch in batches:
             for part in slices(batch, 256):
                 texts = part.column("text").to_pylist()
-                owner, values, counts = shingles(texts, memo)
+                owner, values, counts = shingles(texts)
                 marks = signatures(owner, values, weigh(counts), len(texts))
                 keys = [xxhash.xxh3_128_intdigest(t.encode("utf-8", "replace")) for t in texts]
                 t1 = np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], dtype=np.uint64).view(np.int64)
@@ -131,11 +128,10 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Of pairs (a, b) those whose texts are similar, by exact probability Jaccard."""
 
     def run(batches):
-        memo: dict = {}
         for batch in batches:
             for part in slices(batch, 64):
                 both = part.column("x").to_pylist() + part.column("y").to_pylist()
-                owner, values, counts = shingles(both, memo)
+                owner, values, counts = shingles(both)
                 edges = np.searchsorted(owner, np.arange(len(both) + 1))
                 sets = [(values[i:j], weigh(counts[i:j])) for i, j in zip(edges[:-1], edges[1:], strict=True)]
                 n = part.num_rows

@@ -3,11 +3,11 @@
 A window is 13 consecutive words. A word is removed if a window over it also starts in a document
 with a smaller id, judged on the input.
 
-1. Anchors. Each window is stood for by the least hash of its 5-word runs. That depends on the
+1. Anchors. Each window is stood for by the least hash of its 7-word runs. That depends on the
    window's words alone, so equal windows have equal anchors, and neighbouring windows mostly
-   share one: about a fifth as many anchors as words. One aggregation finds the anchors that two
+   share one: about a quarter as many anchors as words. One aggregation finds the anchors that two
    documents have; it combines in each task before the shuffle, so a hot passage costs one row a task.
-2. Confirmation. Windows under such anchors are hashed whole (128 bits) and aggregated the same
+2. Confirmation. Windows under such anchors are hashed whole (96 bits) and aggregated the same
    way: those that two documents have are confirmed, each with its first document.
 3. Automata. The confirmed windows' words, taken from their first documents, are dealt to shards
    by anchor and compiled with pyahocorasick, words as letters. Every document's text under shared
@@ -30,27 +30,12 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 WINDOW = 13
-ANCHOR = 5
+ANCHOR = 7
 #: Runs of windows under one anchor that a shard holds or streams, about, and occurrences of an anchor that one copy of its patterns serves.
 SHARD_RUNS = 20_000
 LAST = 2**63 - 1
 
 
-def word_hashes(lists: list, memo: dict) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit hashes of words, as two arrays; memo is emptied when it holds a million words."""
-    import xxhash
-
-    fresh = {w for words in lists for w in words}.difference(memo)
-    if len(memo) + len(fresh) > 1_000_000:
-        memo.clear()
-        fresh = {w for words in lists for w in words}
-    if fresh:
-        memo.update((w, (d & 0xFFFFFFFFFFFFFFFF, d >> 64)) for w, d in zip(fresh, map(xxhash.xxh3_128_intdigest, fresh), strict=True))
-    flat = [memo[w] for words in lists for w in words]
-    both = np.array(flat, dtype=np.uint64).reshape(-1, 2)
-    return both[:, 0], both[:, 1]
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -78,37 +63,70 @@ def least(g: np.ndarray, n: int) -> np.ndarray:
     return g
 
 
-class Windows:
-    """Words, window anchors and window hashes of a batch of texts laid end to end."""
+SPACES = np.zeros(256, dtype=bool)
+SPACES[[9, 10, 11, 12, 13, 32]] = True
+
+
+class Words:
+    """The words of a batch of texts, found and hashed in one sweep over their bytes.
+
+    A word's hash is a polynomial over a random value for each byte, taken as a difference of running
+    sums; everything wraps at 64 bits. start and end are places in data, doc the owner of each word.
+    """
 
-    def __init__(self, texts: list, memo: dict):
-        self.words = [t.encode("utf-8", "replace").split() for t in texts]  # bytes split at ASCII white space alone
-        lengths = np.array([len(w) for w in self.words], dtype=np.int64)
-        self.low, self.high = word_hashes(self.words, memo)
-        self.first = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-        runs = np.maximum(lengths - WINDOW + 1, 0)
-        self.doc = np.repeat(np.arange(len(texts)), runs)
-        within = np.arange(len(self.doc)) - np.repeat(np.cumsum(runs) - runs, runs)
-        self.start = within
-        self.place = self.first[self.doc] + within
+    def __init__(self, texts: list):
+        parts = [t.encode("utf-8", "replace") for t in texts]
+        self.data = b"\n".join(parts)
+        self.bytes = np.frombuffer(self.data, dtype=np.uint8)
+        inside = np.zeros(len(self.bytes) + 2, dtype=np.int8)
+        inside[1:-1] = ~SPACES[self.bytes]
+        edges = np.diff(inside)
+        self.start, self.end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        sizes = np.array([len(p) + 1 for p in parts], dtype=np.int64)
+        self.doc = np.searchsorted(np.cumsum(sizes) - sizes, self.start, side="right") - 1
+        self.lengths = np.bincount(self.doc, minlength=len(parts))
+        self.first = np.cumsum(self.lengths) - self.lengths
+
+    def hashes(self, salt: int) -> np.ndarray:
+        values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15 * (2 * salt + 1) % 2**64))
+        base = (0xD1342543DE82EF95 + 0x632BE59BD9B4E01A * salt) % 2**64 | 1
+        n = len(self.bytes)
+        power = powers(base, n)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(values[self.bytes] * power, out=sums[1:])
+        back = powers(pow(base, -1, 2**64), n)
+        return mixed((sums[self.end] - sums[self.start]) * back[self.start] + (self.end - self.start).astype(np.uint64))
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, out=out) if n else out
+
+
+class Windows(Words):
+    """Words with the anchors and hashes of their windows."""
+
+    def __init__(self, texts: list):
+        super().__init__(texts)
+        self.low = self.hashes(0)
+        runs = np.maximum(self.lengths - WINDOW + 1, 0)
+        self.owner = np.repeat(np.arange(len(texts)), runs)
+        self.at = np.arange(len(self.owner)) - np.repeat(np.cumsum(runs) - runs, runs)
+        self.place = self.first[self.owner] + self.at
         anchors = least(rolled(self.low, ANCHOR, 0x9E3779B97F4A7C15), WINDOW - ANCHOR + 1)
         self.anchor = anchors[self.place].view(np.int64) if len(self.place) else np.zeros(0, dtype=np.int64)
 
     def changes(self) -> np.ndarray:
         """True where a window's anchor differs from that of the window before it in its document."""
-        new = np.ones(len(self.doc), dtype=bool)
-        new[1:] = (self.anchor[1:] != self.anchor[:-1]) | (self.doc[1:] != self.doc[:-1])
+        new = np.ones(len(self.owner), dtype=bool)
+        new[1:] = (self.anchor[1:] != self.anchor[:-1]) | (self.owner[1:] != self.owner[:-1])
         return new
 
-    def hashes(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        places = self.place[at]
-        out = []
-        for h, base in ((self.low, 0xD1342543DE82EF95), (self.high, 0xAF251AF3B0F025B5)):
-            x = np.zeros(len(places), dtype=np.uint64)
-            for j in range(WINDOW):
-                x = x * np.uint64(base | 1) + h[places + j]
-            out.append(mixed(x).view(np.int64))
-        return out[0], out[1]
+    def windows(self, chosen: np.ndarray, salt: int) -> np.ndarray:
+        """Hashes of whole windows."""
+        h = self.low if salt == 0 else self.hashes(salt)
+        return rolled(h, WINDOW, 0xAF251AF3B0F025B5 + 2 * salt)[self.place[chosen]].view(np.int64)
 
 
 def slices(batch: pa.RecordBatch, rows: int = 512):
@@ -117,110 +135,115 @@ def slices(batch: pa.RecordBatch, rows: int = 512):
 
 
 def anchors_of(docs: DataFrame) -> DataFrame:
-    """(anchor, doc): each document's anchors, once for each run of windows under it."""
+    """(doc, anchors): each document's distinct anchors."""
 
     def run(batches):
-        memo: dict = {}
         for batch in batches:
             for part in slices(batch):
-                w = Windows(part.column("text").to_pylist(), memo)
+                w = Windows(part.column("text").to_pylist())
                 new = w.changes()
-                ids = part.column("doc").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(w.anchor[new]), pa.array(ids[w.doc[new]])], ["anchor", "doc"])
+                counts = np.bincount(w.owner[new], minlength=part.num_rows)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column("doc"), pa.ListArray.from_arrays(offsets, pa.array(w.anchor[new]))], ["doc", "anchors"])
 
-    return docs.select("doc", "text").mapInArrow(run, "anchor long, doc long")
+    return common.staged(docs.select("doc", "text").mapInArrow(run, "doc long, anchors array<long>"), "phrases-anchors")
 
 
 def candidates(docs: DataFrame) -> DataFrame:
     """Documents with windows under shared anchors: doc, h, text, and the shared anchors with the copies their patterns need."""
-    shared = anchors_of(docs).groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+    anchors = anchors_of(docs)
+    spread = anchors.select("doc", F.explode("anchors").alias("anchor"))
+    shared = spread.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("n")).where("lo < hi")
     shared = shared.select("anchor", F.ceil(F.col("n") / SHARD_RUNS).cast("int").alias("copies"))
-    mine = anchors_of(docs).join(shared, "anchor").groupBy("doc").agg(F.collect_set(F.struct("anchor", "copies")).alias("shared"))
-    return common.staged(docs.join(mine, "doc").select("doc", "h", "text", F.col("shared.anchor").alias("anchors"), F.col("shared.copies").alias("copies")), "phrases-candidates")
+    mine = common.staged(spread.join(shared, "anchor").groupBy("doc").agg(F.collect_set(F.struct("anchor", "copies")).alias("shared")), "phrases-shared")
+    common.release(anchors)
+    found = common.staged(docs.join(mine, "doc").select("doc", "h", "text", F.col("shared.anchor").alias("anchors"), F.col("shared.copies").alias("copies")), "phrases-candidates")
+    common.release(mine)
+    return found
 
 
-def kept_windows(w: Windows, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Which windows stand under their document's shared anchors, and the copies of those anchors."""
-    lists, copies = part.column("anchors"), part.column("copies")
+def among(owner: np.ndarray, value: np.ndarray, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Which (owner, value) stand in their owner's list, and the place of each found one in the flattened lists."""
     sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-    owner = np.repeat(np.arange(part.num_rows), sizes)
-    keys, many = lists.flatten().to_numpy(), copies.flatten().to_numpy()
-    order = np.lexsort((keys, owner))
-    # one sorted list for all documents of the slice: compare (document, anchor) through ranks of the anchors
-    ranks = np.unique(np.concatenate([keys, w.anchor]), return_inverse=True)[1]
-    span = int(ranks.max(initial=0)) + 1
-    have = owner[order] * span + ranks[: len(keys)][order]
-    want = w.doc * span + ranks[len(keys) :]
-    at = np.minimum(np.searchsorted(have, want), max(len(have) - 1, 0))
-    found = have[at] == want if len(have) else np.zeros(len(want), dtype=bool)
-    keep = np.flatnonzero(found)
-    return keep, many[order][at[keep]]
+    holder = np.repeat(np.arange(len(lists)), sizes)
+    keys = lists.flatten().to_numpy()
+    if not len(keys) or not len(value):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    names, ranks = np.unique(keys, return_inverse=True)
+    have = holder * len(names) + ranks
+    order = np.argsort(have, kind="stable")
+    have = have[order]
+    rank = np.minimum(np.searchsorted(names, value), len(names) - 1)
+    want = owner * len(names) + rank
+    at = np.minimum(np.searchsorted(have, want), len(have) - 1)
+    found = np.flatnonzero((have[at] == want) & (names[rank] == value))
+    return found, order[at[found]]
 
 
 def confirmed(hot: DataFrame) -> DataFrame:
     """(doc, marks): for each first document, the hashes of the windows that later documents share."""
 
     def run(batches):
-        memo: dict = {}
         for batch in batches:
-            for part in slices(batch, 128):
-                w = Windows(part.column("text").to_pylist(), memo)
-                keep, _ = kept_windows(w, part)
-                low, high = w.hashes(keep)
+            for part in slices(batch, 256):
+                w = Windows(part.column("text").to_pylist())
+                keep, _ = among(w.owner, w.anchor, part.column("anchors"))
                 ids = part.column("doc").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(ids[w.doc[keep]])], ["low", "high", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(w.windows(keep, 0)), pa.array(w.windows(keep, 1).astype(np.int32)), pa.array(ids[w.owner[keep]])], ["low", "high", "doc"])
 
-    windows = hot.select("doc", "text", "anchors", "copies").mapInArrow(run, "low long, high long, doc long")
+    windows = hot.select("doc", "text", "anchors").mapInArrow(run, "low long, high int, doc long")
     twice = windows.groupBy("low", "high").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     return twice.groupBy(F.col("first").alias("doc")).agg(F.collect_set("low").alias("marks"))
 
 
-RUN = "shard int, kind int, doc long, h long, start int, chosen array<int>, words string"
+RUN = {"shard": pa.int32(), "kind": pa.int32(), "doc": pa.int64(), "h": pa.int64(), "start": pa.int32(), "words": pa.binary()}
 
 
-def runs(hot: DataFrame, shards: int, patterns: bool) -> DataFrame:
-    """One row for each run of candidate windows under one anchor, with its words and shard.
+def runs(hot: DataFrame, shards: int) -> DataFrame:
+    """One row for each run of consecutive candidate windows under one anchor, with its words and shard.
 
-    patterns: only windows among the document's marks, in every copy of the shard that streams need.
+    Windows among their document's marks are patterns (kind 0), in every copy of the shard that streams
+    need; no smaller id has them, so only the other windows are streamed (kind 1).
     """
 
     def run(batches):
-        memo: dict = {}
         for batch in batches:
-            for part in slices(batch, 128):
-                w = Windows(part.column("text").to_pylist(), memo)
-                keep, copies = kept_windows(w, part)
-                if patterns:
-                    low, _ = w.hashes(keep)
-                    marks = part.column("marks")
-                    owner = np.repeat(np.arange(part.num_rows), marks.value_lengths().to_numpy(zero_copy_only=False))
-                    keys = marks.flatten().to_numpy()
-                    known = set(zip(owner.tolist(), keys.tolist(), strict=True))
-                    chosen = np.fromiter((x in known for x in zip(w.doc[keep].tolist(), low.tolist(), strict=True)), dtype=bool, count=len(keep))
-                    keep, copies = keep[chosen], copies[chosen]
-                doc, anchor, start = w.doc[keep], w.anchor[keep], w.start[keep]
+            for part in slices(batch, 256):
+                w = Windows(part.column("text").to_pylist())
+                keep, where = among(w.owner, w.anchor, part.column("anchors"))
+                copies = part.column("copies").flatten().to_numpy()[where].astype(np.int64)
+                stream = np.ones(len(keep), dtype=bool)
+                if len(keep):
+                    stream[among(w.owner[keep], w.windows(keep, 0), part.column("marks"))[0]] = False
+                owner, anchor, at = w.owner[keep], w.anchor[keep], w.at[keep]
                 cut = np.ones(len(keep), dtype=bool)
-                cut[1:] = (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1]) | (start[1:] - start[:-1] >= WINDOW)
+                cut[1:] = (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1) | (stream[1:] != stream[:-1])
                 begins = np.flatnonzero(cut)
-                ends = np.append(begins[1:], len(keep))
-                ids, hs = part.column("doc").to_pylist(), part.column("h").to_pylist()
-                rows = []
-                for b, e in zip(begins.tolist(), ends.tolist(), strict=True):
-                    d, s = int(doc[b]), int(start[b])
-                    text = b"\n".join(w.words[d][s : int(start[e - 1]) + WINDOW]).decode()
-                    n = int(copies[b])
-                    key = int(anchor[b])
-                    for copy in range(n) if patterns else [hs[d] % n]:
-                        rows.append(((key * 31 + copy * 0x9E3779B1) % shards, 1 - patterns, ids[d], hs[d], s, (start[b:e] - s).tolist(), text))
-                kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.string()]
-                columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [f.split()[0] for f in RUN.split(", ")])
-
-    return hot.mapInArrow(run, RUN)
+                last = np.append(begins[1:], len(keep)) - 1 if len(begins) else begins
+                ids, hs = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "h"))
+                n, streamed = copies[begins], stream[begins]
+                many = np.where(streamed, 1, n)
+                row = np.repeat(np.arange(len(begins)), many)
+                copy = np.where(streamed[row], hs[owner[begins]][row] % np.maximum(n[row], 1), np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many))
+                key = mixed(anchor[begins][row].view(np.uint64) + mixed(copy.astype(np.uint64) + np.uint64(1)))
+                texts = [w.data[b:e] for b, e in zip(w.start[w.place[keep[begins]]].tolist(), w.end[w.place[keep[last]] + WINDOW - 1].tolist(), strict=True)]
+                columns = [(key % np.uint64(shards)).astype(np.int32), streamed[row].astype(np.int32), ids[owner[begins]][row], hs[owner[begins]][row], at[begins][row].astype(np.int32), pa.array(texts, pa.binary()).take(pa.array(row, pa.int64()))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) if isinstance(c, np.ndarray) else c for c, k in zip(columns, RUN.values(), strict=True)], list(RUN))
+
+    return hot.mapInArrow(run, "shard int, kind int, doc long, h long, start int, words binary")
+
+
+def letter(n: int) -> str:
+    """The n-th character that is not a surrogate; character 0 stands for words that no pattern has."""
+    return chr(n if n < 0xD800 else n + 0x800)
 
 
 def matches(rows: DataFrame) -> DataFrame:
-    """Compile each shard's patterns and stream its texts: (doc, h, starts) of windows that a smaller id has."""
+    """Compile each shard's patterns and stream its texts: (doc, h, starts) of windows that a smaller id has.
+
+    A shard's words are numbered and written as one character each, so that a window is a string of 13
+    characters. Rows come by shard, patterns first and greater ids first: of equal patterns the least id stays.
+    """
 
     def run(batches):
         import ahocorasick
@@ -230,24 +253,24 @@ def matches(rows: DataFrame) -> DataFrame:
         ready = False
         for batch in batches:
             out = []
-            for at, kind, doc, h, start, chosen, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for at, kind, doc, h, start, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if at != shard:
-                    shard, letters, ready = at, {}, False
-                    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-                words = text.split("\n")
+                    shard, letters, ready, automaton = at, {}, False, ahocorasick.Automaton(ahocorasick.STORE_ANY)
+                words = text.split()
                 if kind == 0:
-                    line = tuple(letters.setdefault(x, len(letters) + 1) for x in words)
-                    for c in chosen:
-                        key = line[c : c + WINDOW]
-                        if doc < automaton.get(key, LAST):
-                            automaton.add_word(key, doc)
+                    for x in words:
+                        if x not in letters:
+                            letters[x] = letter(len(letters) + 1)
+                    line = "".join(map(letters.__getitem__, words))
+                    for c in range(len(line) - WINDOW + 1):
+                        automaton.add_word(line[c : c + WINDOW], doc)
                     continue
                 if not ready:
                     if len(automaton):
                         automaton.make_automaton()
                     ready = True
                 if len(automaton):
-                    found = [start + end - WINDOW + 1 for end, first in automaton.iter(tuple(letters.get(x, 0) for x in words)) if first < doc]
+                    found = [start + end - WINDOW + 1 for end, first in automaton.iter("".join([letters.get(x, "\0") for x in words])) if first < doc]
                     if found:
                         out.append((doc, h, found))
             columns = zip(*out, strict=True) if out else [[]] * 3
@@ -268,14 +291,15 @@ def located(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """
     rows = keyed(docs, id_column, text_column)
     hot = candidates(rows)
-    total = hot.agg(F.sum(F.size("anchors"))).first()[0] or 0
-    shards = 1 + total // SHARD_RUNS
-    firsts = common.staged(hot.join(confirmed(hot), "doc"), "phrases-first")
-    both = runs(firsts, shards, True).unionByName(runs(hot, shards, False))
+    marks = common.staged(confirmed(hot), "phrases-marks")
+    tagged = hot.join(marks, "doc", "left").select("doc", "h", "text", "anchors", "copies", F.coalesce("marks", F.array().cast("array<bigint>")).alias("marks"))
+    texts = common.staged(tagged, "phrases-tagged")
+    common.release(hot)
+    total = texts.agg(F.sum(F.size("anchors"))).first()[0] or 0
     n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    dealt = both.repartition(n, "shard").sortWithinPartitions("shard", "kind")
+    dealt = runs(texts, 1 + total // SHARD_RUNS).repartition(n, "shard").sortWithinPartitions("shard", "kind", F.desc("doc"))
     found = matches(dealt).groupBy("doc", "h").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    return found, hot
+    return common.staged(found, "phrases-found"), texts
 
 
 def covered(n: int, starts: list) -> np.ndarray:
@@ -300,8 +324,7 @@ def stripped(found: DataFrame, texts: DataFrame) -> DataFrame:
             columns = zip(*rows, strict=True) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()], strict=True)], ["doc", "h", "n_words", "n_removed", "kept"])
 
-    once = texts.select("doc", "h", "text").dropDuplicates(["doc", "h"])
-    return found.join(once, ["doc", "h"]).mapInArrow(run, "doc long, h long, n_words long, n_removed long, kept string")
+    return found.join(texts.select("doc", "h", "text"), ["doc", "h"]).mapInArrow(run, "doc long, h long, n_words long, n_removed long, kept string")
 
 
 def whole(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -317,7 +340,7 @@ def whole(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row."""
-    left = stripped(*located(docs, id_column, text_column)).select("doc", "h", "n_removed", F.sha2(F.col("kept"), 256).alias("left_sha256"))
+    left = stripped(*located(docs, id_column, text_column)).select("doc", "h", "n_removed", F.sha2(F.col("kept"), 256).alias("left_sha256")).dropDuplicates(["doc", "h"])
     return (
         whole(docs, id_column, text_column)
         .join(left, ["doc", "h"], "left")
