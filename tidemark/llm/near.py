@@ -10,9 +10,9 @@ together, round by round.
 Signatures (128 registers of 16 bits) are cut into 32 bands of four: a pair at 0.8 shares no band
 with a probability of 5e-8. Equal texts are one node from the start. In each bucket every member
 is compared with the bucket's least member; exact similarity from the words decides. Members of
-a bucket that are then still in different classes are compared with one another, first the
-likeliest pair of each member and class, then all that are left, in bounded blocks. Pairs within
-a class add nothing to it and are never made. Classes are the connected components of the links.
+a bucket that are then still in different classes are compared with one another in bounded blocks,
+which give out only links: first the closest of each member and class, then any that are left.
+Pairs within a class add nothing to it. Classes are the connected components of the links.
 
 Nulls count as empty texts. A text of fewer than five words has one shingle, all its words. Rows
 with one id are one document. A row without an id takes a negative number made from its text.
@@ -29,10 +29,8 @@ from tidemark.llm.phrases import Words, mixed, rolled, slices
 
 REGISTERS = 128
 BAND = 4
-#: Signatures agreeing less than this rule a pair out: four standard deviations below 0.8.
-FLOOR = 0.65
 #: Members of a bucket compared at once.
-ROWS, COLUMNS = 256, 2048
+ROWS, COLUMNS = 256, 1024
 
 
 def shingles(texts: list, words: int = common.SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,36 +155,75 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
 
 
-def apart(members: DataFrame, classes: DataFrame, marks: DataFrame, best: bool) -> DataFrame:
-    """Pairs of members of a bucket that are in different classes and whose signatures are close enough.
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """node, the sorted 32-bit hashes of its shingles, and their weights where one of them is not 1."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 256):
+                owner, values, counts = shingles(part.column("text").to_pylist())
+                edges = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
+                sets, weights = [], []
+                for i, j in zip(edges[:-1], edges[1:], strict=True):
+                    short = (values[i:j] >> np.uint64(32)).astype(np.uint32)
+                    order = np.argsort(short, kind="stable")
+                    sets.append(short[order].tobytes())
+                    weights.append(weigh(counts[i:j][order]).tobytes() if counts[i:j].max(initial=1) > 1 else None)
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.binary()), pa.array(weights, pa.binary())], ["node", "elements", "weights"])
+
+    return texts.mapInArrow(run, "node long, elements binary, weights binary")
+
+
+def apart(members: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float, best: bool) -> DataFrame:
+    """Links between members of a bucket that are in different classes: (a, b).
 
     The members outside a bucket's largest class are dealt into blocks, each of which meets the whole
-    bucket in blocks; best: of each member and other class in a block only the closest pair.
+    bucket in blocks. Pairs are compared in place, by their sets of 32-bit hashes; only those that pass
+    leave the block. best: of each member and other class in a block only the closest one.
     """
     mine = members.join(classes, "node", "left").select("bucket", "node", F.coalesce("class", "node").alias("class"))
     sizes = mine.groupBy("bucket", "class").agg(F.count("*").alias("n"))
     split = sizes.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("big"), F.sum("n").alias("all"), F.count("*").alias("kinds")).where("kinds > 1")
     split = split.select("bucket", F.col("big.class").alias("largest"), F.ceil((F.col("all") - F.col("big.n")) / ROWS).alias("rows"), F.ceil(F.col("all") / COLUMNS).alias("columns"))
-    placed = mine.join(split, "bucket").join(marks, "node")
-    key = F.abs(F.xxhash64("node"))
+    placed = mine.join(split, "bucket").join(sets, "node")
+    key = F.abs(F.xxhash64("node") % (1 << 40))
     outside = placed.where("class <> largest").withColumn("row", key % F.col("rows")).withColumn("column", F.explode(F.expr("sequence(0L, columns - 1)")))
     against = placed.withColumn("column", key % F.col("columns")).withColumn("row", F.explode(F.expr("sequence(0L, rows - 1)")))
-    columns = ["bucket", "row", "column", "node", "class", "mark"]
+    columns = ["bucket", "row", "column", "node", "class", "elements", "weights"]
     dealt = outside.select(*columns, F.lit(True).alias("asks")).unionByName(against.select(*columns, F.lit(False).alias("asks")))
 
+    def weight(raw, n: int) -> np.ndarray:
+        return np.ones(n) if raw is None else np.frombuffer(raw, dtype=np.float64)
+
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         asks = rows["asks"].to_numpy(dtype=bool)
-        marks = np.stack([np.frombuffer(m, dtype=np.uint16) for m in rows["mark"]])
         node, group = rows["node"].to_numpy(), rows["class"].to_numpy()
-        other, others, kinds = marks[~asks], node[~asks], group[~asks]
+        sets = [np.frombuffer(e, dtype=np.uint32) for e in rows["elements"]]
+        heavy = [w if isinstance(w, bytes | bytearray) else None for w in rows["weights"]]
+        at = np.flatnonzero(~asks)
+        if not len(at):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        sizes = np.array([len(sets[i]) for i in at])
+        values, holder = np.concatenate([sets[i] for i in at]), np.repeat(np.arange(len(at)), sizes)
+        order = np.argsort(values, kind="stable")
+        values, holder = values[order], holder[order]
+        plain = np.array([heavy[i] is None for i in at])
         found = []
         for i in np.flatnonzero(asks):
-            alike = (other == marks[i]).mean(axis=1)
-            near = np.flatnonzero((alike >= FLOOR) & (kinds != group[i]))
+            low, high = np.searchsorted(values, sets[i]), np.searchsorted(values, sets[i], side="right")
+            n = high - low
+            places = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both = np.bincount(holder[places], minlength=len(at))
+            alike = both / (len(sets[i]) + sizes - both)
+            odd = np.flatnonzero((both > 0) & ~plain) if heavy[i] is None else np.flatnonzero(both > 0)
+            for j in odd.tolist():  # some shingle weighs more than 1
+                k = at[j]
+                alike[j] = similarity((sets[i], weight(heavy[i], len(sets[i]))), (sets[k], weight(heavy[k], len(sets[k]))))
+            near = np.flatnonzero((alike >= threshold - 1e-9) & (group[at] != group[i]))
             if best and len(near):
-                near = near[np.lexsort((others[near], -alike[near], kinds[near]))]
-                near = near[np.unique(kinds[near], return_index=True)[1]]
-            found += [(min(node[i], x), max(node[i], x)) for x in others[near]]
+                near = near[np.lexsort((node[at[near]], -alike[near], group[at[near]]))]
+                near = near[np.unique(group[at[near]], return_index=True)[1]]
+            found += [(min(node[i], x), max(node[i], x)) for x in node[at[near]]]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return dealt.groupBy("bucket", "row", "column").applyInPandas(compare, "a long, b long").distinct()
@@ -207,12 +244,12 @@ def classes(docs: DataFrame, threshold: float = common.SIMILARITY, id_column: st
     tested = common.staged(members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
     links = common.staged(verified(tested, texts, threshold), "near-verified")
     groups = components(links)
-    for best in (True, False):
-        more = common.staged(apart(members.select("bucket", "node"), groups, marks, best).join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        if more.isEmpty():
-            if best:
-                continue
+    sets, best = common.staged(shingle_sets(texts), "near-sets"), True
+    while True:
+        more = common.staged(apart(members.select("bucket", "node"), groups, sets, threshold, best).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        if more.isEmpty() and not best:
             break
+        best = False
         found = common.staged(verified(more, texts, threshold), "near-verified")
         tested = tested.union(more)
         if not found.isEmpty():
