@@ -2,6 +2,7 @@
 
 import sys
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,29 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+#: The step tables of the workspaces that are open now, innermost last.
+OPEN: list = []
+
+
+@contextmanager
+def workspace(keep_last: bool = True):
+    """Delete the step tables that are written inside, but for the last one, the result."""
+    made: list = []
+    OPEN.append(made)
+    try:
+        yield
+    except BaseException:
+        keep_last = False
+        raise
+    finally:
+        OPEN.pop()
+        kept = made[-1:] if keep_last else []
+        for table in made[: len(made) - len(kept)]:
+            release(table)
+        if OPEN:
+            OPEN[-1].extend(kept)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a step's table to the shared folder and read it back.
 
@@ -48,6 +72,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     out = spark.read.schema(df.schema).parquet(at)
     out._stage = at
+    if OPEN:
+        OPEN[-1].append(out)
     return out
 
 

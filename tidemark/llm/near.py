@@ -231,33 +231,34 @@ def apart(members: DataFrame, classes: DataFrame, sets: DataFrame, threshold: fl
 
 def classes(docs: DataFrame, threshold: float = common.SIMILARITY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(node, class) of every document, copies and documents without a like included."""
-    rows = nodes(docs, id_column, text_column)
-    sigs = common.staged(signed(rows), "near-signatures")
-    texts_of = common.staged(sigs.groupBy("t1", "t2").agg(F.min("node").alias("rep"), F.any_value("mark").alias("mark")), "near-distinct")
-    marks = texts_of.select(F.col("rep").alias("node"), "mark")
-    width = 2 * BAND
-    keyed = marks.select("node", F.explode(F.array(*[F.xxhash64(F.lit(i), F.substring("mark", 1 + i * width, width)) for i in range(REGISTERS // BAND)])).alias("bucket"))
-    leads = keyed.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last").select("bucket", "lead")
-    members = common.staged(keyed.join(leads, "bucket").select("bucket", "node", "lead"), "near-buckets")
-    needed = members.select("node").distinct()
-    texts = common.staged(rows.join(needed, "node").distinct(), "near-texts")
-    tested = common.staged(members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
-    links = common.staged(verified(tested, texts, threshold), "near-verified")
-    groups = components(links)
-    sets, best = common.staged(shingle_sets(texts), "near-sets"), True
-    while True:
-        more = common.staged(apart(members.select("bucket", "node"), groups, sets, threshold, best).join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        if more.isEmpty() and not best:
-            break
-        best = False
-        found = common.staged(verified(more, texts, threshold), "near-verified")
-        tested = tested.union(more)
-        if not found.isEmpty():
-            links = links.union(found)
-            groups = components(links)
-    copies = sigs.join(texts_of.select("t1", "t2", "rep"), ["t1", "t2"]).select("node", "rep").distinct()
-    grouped = copies.join(groups.select(F.col("node").alias("rep"), "class"), "rep", "left").select("node", F.coalesce("class", "rep").alias("class"))
-    return grouped.groupBy("node").agg(F.min("class").alias("class"))
+    with common.workspace():
+        rows = nodes(docs, id_column, text_column)
+        sigs = common.staged(signed(rows), "near-signatures")
+        texts_of = common.staged(sigs.groupBy("t1", "t2").agg(F.min("node").alias("rep"), F.any_value("mark").alias("mark")), "near-distinct")
+        marks = texts_of.select(F.col("rep").alias("node"), "mark")
+        width = 2 * BAND
+        keyed = marks.select("node", F.explode(F.array(*[F.xxhash64(F.lit(i), F.substring("mark", 1 + i * width, width)) for i in range(REGISTERS // BAND)])).alias("bucket"))
+        leads = keyed.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last").select("bucket", "lead")
+        members = common.staged(keyed.join(leads, "bucket").select("bucket", "node", "lead"), "near-buckets")
+        needed = members.select("node").distinct()
+        texts = common.staged(rows.join(needed, "node").distinct(), "near-texts")
+        tested = common.staged(members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
+        links = common.staged(verified(tested, texts, threshold), "near-verified")
+        groups = components(links)
+        sets, best = common.staged(shingle_sets(texts), "near-sets"), True
+        while True:
+            more = common.staged(apart(members.select("bucket", "node"), groups, sets, threshold, best).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+            if more.isEmpty() and not best:
+                break
+            best = False
+            found = common.staged(verified(more, texts, threshold), "near-verified")
+            tested = tested.union(more)
+            if not found.isEmpty():
+                links = links.union(found)
+                groups = components(links)
+        copies = sigs.join(texts_of.select("t1", "t2", "rep"), ["t1", "t2"]).select("node", "rep").distinct()
+        grouped = copies.join(groups.select(F.col("node").alias("rep"), "class"), "rep", "left").select("node", F.coalesce("class", "rep").alias("class"))
+        return common.staged(grouped.groupBy("node").agg(F.min("class").alias("class")), "near-classes")
 
 
 def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -340,7 +340,9 @@ def whole(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row."""
-    left = stripped(*located(docs, id_column, text_column)).select("doc", "h", "n_removed", F.sha2(F.col("kept"), 256).alias("left_sha256")).dropDuplicates(["doc", "h"])
+    with common.workspace():
+        left = stripped(*located(docs, id_column, text_column)).select("doc", "h", "n_removed", F.sha2(F.col("kept"), 256).alias("left_sha256"))
+        left = common.staged(left.dropDuplicates(["doc", "h"]), "phrases-left")
     return (
         whole(docs, id_column, text_column)
         .join(left, ["doc", "h"], "left")
