@@ -78,11 +78,13 @@ def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFra
         wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
         where = wanted.join(firsts, "sid").groupBy(F.col("first.doc").alias("doc"), F.col("first.h").alias("h")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "sid")).alias("places"))
         found = rows.join(where, ["doc", "h"]).select(F.split("text", "\n").alias("all"), "places").select(F.explode("places").alias("place"), "all").select("place.sid", F.get("all", F.col("place.line")).alias("string"))
-        found = common.staged(found.select("sid", F.array_distinct(F.filter(F.split("string", SPACE), lambda w: w != "")).alias("words")).dropDuplicates(["sid"]), "line-words")
-        left = found.select(F.col("sid").alias("a"), F.col("words").alias("x"))
-        right = found.select(F.col("sid").alias("b"), F.col("words").alias("y"))
+        found = common.staged(found, "line-texts")
+        left = found.select(F.col("sid").alias("a"), F.col("string").alias("x"))
+        right = found.select(F.col("sid").alias("b"), F.col("string").alias("y"))
+        words = lambda c: F.array_distinct(F.filter(F.split(c, SPACE), lambda w: w != ""))
+        cut = pairs.join(left, "a").join(right, "b").select("a", "b", words("x").alias("x"), words("y").alias("y"))
         both = F.size(F.array_intersect("x", "y"))
-        alike = pairs.join(left, "a").join(right, "b").where(both * (1000 + share) >= (F.size("x") + F.size("y")) * share).select("a", "b")
+        alike = cut.where(both * (1000 + share) >= (F.size("x") + F.size("y")) * share).select("a", "b")
         places = firsts.select("sid", "first")
         ordered = alike.join(places.select(F.col("sid").alias("a"), F.col("first").alias("fa")), "a").join(places.select(F.col("sid").alias("b"), F.col("first").alias("fb")), "b")
         beaten = ordered.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("sid")).distinct()
