@@ -8,8 +8,8 @@ line (by doc_id, then place) has a Jaccard of 0.8 or more with it; lines without
    makes the rare ones come first.
 2. Lines with the same tokens are one set; its first line is the only one that can stay.
 3. A set is indexed under the tokens of its prefix: two sets at or over the threshold share one.
-   Pairs from this join must also pass the length filter and the positional filter, which bounds
-   the overlap by what is left after the shared token's places. Sets of up to three tokens have
+   Pairs from this join must also pass the length filter, the positional filter, which bounds the
+   overlap by what is left after the shared token's places, and a bitmap that bounds the difference. Sets of up to three tokens have
    no like but themselves and are not indexed.
 4. Surviving pairs are verified by their exact Jaccard; the later set of a pair loses its first line.
 
@@ -52,6 +52,11 @@ def tokens(words: Column, ranks: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(hashes, key)))
 
 
+def bitmap(keys: Column) -> Column:
+    """64 bits, each set if a token hashes to it."""
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda bits, k: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
+
+
 def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFrame:
     """(doc, h, kept): the places of the lines with words that stay, of every document that has some."""
     with common.workspace():
@@ -62,17 +67,19 @@ def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFra
         sets = lines.select("doc", "h", "line", tokens(F.split("string", SPACE), ranks).alias("keys")).where(F.size("keys") > 0)
         size = F.size("keys")
         prefix = size - F.ceil(size * F.lit(share) / F.lit(1000) - F.lit(1e-9)).cast("int") + 1
-        sets = sets.select("doc", "h", "line", F.xxhash64("keys").alias("sid"), size.alias("n"), F.when(size > 3, F.slice("keys", F.lit(1), prefix)).alias("prefix"))
+        sets = sets.select("doc", "h", "line", F.xxhash64("keys").alias("sid"), size.alias("n"), bitmap(F.col("keys")).alias("bits"), F.when(size > 3, F.slice("keys", F.lit(1), prefix)).alias("prefix"))
         sets = common.staged(sets, "line-sets")
         firsts = common.staged(sets.select("sid", F.struct("doc", "h", "line").alias("place")).groupBy("sid").agg(F.min("place").alias("first")), "line-firsts")
-        index = sets.where("prefix IS NOT NULL").select("sid", "n", F.posexplode("prefix").alias("at", "token"))
-        index = common.staged(index.groupBy("token", "sid", "n", "at").count().drop("count"), "line-prefixes")
+        index = sets.where("prefix IS NOT NULL").select("sid", "n", "bits", F.posexplode("prefix").alias("at", "token"))
+        index = common.staged(index.groupBy("token", "sid", "n", "at", "bits").count().drop("count"), "line-prefixes")
         common.release(sets)
-        a = index.select("token", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
-        b = index.select("token", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
+        a = index.select("token", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("bits").alias("ba"))
+        b = index.select("token", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("bits").alias("bb"))
         overlap = F.col("na") + F.col("nb")
         # length: the smaller is at least the share of the larger; position: the rest must still reach the overlap
         near = (F.col("a") < F.col("b")) & (F.least("na", "nb") * 1000 >= F.greatest("na", "nb") * share) & (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) * (1000 + share) >= overlap * share)
+        # bits: a bit that differs stands for a token that one set lacks; so many tokens may differ at most
+        near = near & (F.bit_count(F.col("ba").bitwiseXOR(F.col("bb"))) * (1000 + share) <= overlap * (1000 - share))
         pairs = common.staged(a.join(b, "token").where(near).select("a", "b").distinct(), "line-pairs")
 
         wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
