@@ -363,6 +363,78 @@ def test_licenses(spark):
     assert licenses.scanned(documents(spark, [])).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Roe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE."""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License."""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+GPL2 = GPL3.replace("software:", "software;").replace("version 3", "version 2")
+
+
+def test_licenses_of_standard_notices(spark):
+    notices = {MIT: "MIT", BSD2: "BSD-2-Clause", BSD3: "BSD-3-Clause", APACHE: "Apache-2.0", GPL3: "GPL-3.0-or-later", GPL2: "GPL-2.0-or-later"}
+    forms = [lambda t: t, lambda t: "\n\n".join(" ".join(x.split()) for x in t.split("\n\n")), lambda t: "\n".join("# " + x for x in t.split("\n")), lambda t: t.replace("\n", "\r\n")]
+    cases = [(form(t), [name]) for t, name in notices.items() for form in forms]
+    cases += [(" ".join(t.split()), [name]) for t, name in notices.items() if t != MIT]  # its title has no stop
+    # lines of their own without a stop are found as before, parts of other sentences are not
+    cases += [("Some title\nLicensed under the MIT license\nmore prose", ["MIT (notice)"]), ("not licensed under the MIT license", []), ("Licensed under the MIT license or so", [])]
+    got = [r.licences for r in licenses.scanned(documents(spark, [t for t, _ in cases])).orderBy("doc_id").collect()]
+    assert got == [want for _, want in cases]
+
+
+def test_every_licence_sentence_is_reachable(spark):
+    got = [r.found for r in licenses.scanned(documents(spark, [s.upper().replace(" ", "\n", 3) for s in licenses.SENTENCES])).orderBy("doc_id").collect()]
+    assert got == [[i] for i in licenses.SENTENCES.values()]
+
+
 # 9
 
 

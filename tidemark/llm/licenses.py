@@ -1,10 +1,16 @@
 """License scans by sentence rules (operator 8), in DataFrame functions only.
 
-A text is cut into sentences, each is normalised (ASCII letters lowered, everything but letters,
-digits and inner dots a single space) and looked up among known licence sentences. The identifiers
-found, in order, are matched against licence rules, which are sequences of identifiers: every rule
-whose sequence stands in the text's sequence fits, unless a rule before it holds the same place,
-that is, names it among the rules it supersedes. Sentences that are not known may stand between.
+A text is normalised (ASCII letters lowered, everything but letters, digits and inner dots a single
+space) with a mark wherever a sentence may begin or end: at newlines and, before a blank, after
+[.!?;:] and urls. A known licence sentence is found wherever it stands between two marks; marks
+inside it (wrapped lines, "free software: you can", an url on a line of its own) count as blanks. Of
+sentences that begin at one mark the longest is taken, and the search goes on behind it. The
+identifiers found, in order, are matched against licence rules, which are sequences of identifiers:
+every rule whose sequence stands in the text's sequence fits, unless a rule before it holds the same
+place, that is, names it among the rules it supersedes. Sentences that are not known may stand between.
+
+The SQL looks up single lines and parts of lines only; the two agree where no sentence is wrapped or
+has a mark inside, as in the test tables.
 
 Nulls count as empty texts, which have no licence. Each row is judged by itself, without a shuffle.
 """
@@ -67,19 +73,23 @@ RULES = (
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def sentences(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, r"([.!?;:])[ \t\r]+", "$1\n"), "\n")
+def marked(text: Column) -> Column:
+    """The normalised text, a newline at every mark and at both ends."""
+    cut = F.regexp_replace(F.translate(text, UPPER, LOWER), r"([.!?;:]|https?://\S+)[ \t\r]+", "$1\n")
+    plain = F.regexp_replace(cut, r"[^a-z0-9.\n]+", " ")
+    return F.regexp_replace(F.concat(F.lit("\n"), plain, F.lit("\n")), r"[ .]*\n[ .\n]*", "\n")
 
 
-def normal(sentence: Column) -> Column:
-    plain = F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9.]+", " ")
-    return F.regexp_replace(plain, r"^[ .]+|[ .]+$", "")
+def pattern() -> str:
+    """Any known sentence between two marks, longest first."""
+    longest = sorted(SENTENCES, key=lambda s: (-len(s), s))
+    return r"\n(" + "|".join(s.replace(".", r"\.").replace(" ", r"[ \n]") for s in longest) + r")(?=\n)"
 
 
 def scanned(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, found (identifiers in order) and licences (in the rules' order) of every row."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    ids = F.filter(F.transform(sentences(common.text_or_empty(text_column)), lambda s: F.try_element_at(known, normal(s))), lambda x: x.isNotNull())
+    ids = F.transform(F.regexp_extract_all(marked(common.text_or_empty(text_column)), F.lit(pattern()), F.lit(1)), lambda s: F.element_at(known, F.translate(s, "\n", " ")))
     rows = docs.select(F.col(id_column).alias("doc_id"), ids.alias("found")).withColumn("path", F.concat(F.lit("|"), F.array_join("found", "|"), F.lit("|")))
     fits = {name: F.instr("path", "|" + "|".join(sequence) + "|") > 0 for name, sequence, _ in RULES}
     over = {name: [other for other, _, below in RULES if name in below] for name in fits}
