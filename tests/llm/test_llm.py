@@ -479,6 +479,21 @@ def test_toxicity(spark, tmp_path):
     assert [r.score for r in none] == [0.0, 0.0, 0.0]
 
 
+def test_toxicity_searches_every_example(spark):
+    rng = random.Random(5)
+    rare = [f"rare{k}" for k in range(12)]  # each in seven toxic examples and no clean one
+    texts = [prose(rng, 30, 300) + (" " + rare[i % 12] if i < 84 else "") for i in range(600)]
+    known = spark.createDataFrame([(i, int(i < 84)) for i in range(600)], "doc_id long, toxic int")
+    model = toxicity.learn(documents(spark, texts), known)
+    examples = [i for i in range(600) if zlib.crc32(str(i).encode()) % 5]
+    assert model.index.ids.tolist() == examples  # clean ones, too
+    new = [prose(rng, 30, 300) + " " + w for w in rare] + [prose(rng, 30, 300) for _ in range(40)] + ["unheard", None]
+    got = [r for r in toxicity.scored(documents(spark, new), model).orderBy("doc_id").collect()]
+    assert [r.predicted for r in got] == [1] * 12 + [0] * 42
+    assert [len(r.evidence) for r in got] == [toxicity.NEIGHBOURS] * 52 + [0, 0]
+    assert {y for r in got[12:52] for y in r.evidence} - set(range(84))
+
+
 # 10
 
 

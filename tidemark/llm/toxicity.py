@@ -1,21 +1,22 @@
 """Toxicity by nearest labelled examples (operator 9).
 
-The labelled sample is bounded (EXAMPLES, by hash of the id). Terms are the sample's words that
-stand in toxic examples far oftener than chance (one-sided binomial tail); their document
-frequencies are counted over all documents. Examples and documents are TF-IDF vectors over those
-terms; the nearest examples by cosine are found exactly with a block-max inverted index: examples
-lie in blocks, each term keeps its largest weight in every block, blocks are opened in order of
-their bound, and the search ends once no bound reaches the worst of the neighbours so far.
+The labelled sample is bounded (EXAMPLES, by hash of the id). All examples, clean ones too, and all
+documents are TF-IDF vectors over all words of the sample; document frequencies are counted over all
+documents. No word is left out: a word that stands in toxic examples oftener than twice its share
+weighs more, by one and the strength (in nats) of the binomial bound that this is chance. The
+nearest examples by cosine are found exactly, from the postings of the text's words.
 Neighbours vote with their cosine; a logistic curve, fitted on leave-one-out votes of the sample,
-turns the vote into a calibrated score, and the neighbours are the evidence. A text with none of
-the terms has the sample's smoothed rate among such texts.
+turns the vote into a calibrated score, and the neighbours are the evidence. A text with no word
+of the sample has the sample's smoothed rate among texts without words.
 
-Nulls count as empty texts and score as texts without terms. Labels that are null are passed over;
+Nulls count as empty texts and score as texts without words. Labels that are null are passed over;
 of several labels of one document the largest counts. Without any labelled example every score is 0.
 """
 
 import math
+import pickle
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -28,10 +29,7 @@ from tidemark.llm.phrases import slices
 
 #: Labelled documents that are learnt from, at most.
 EXAMPLES = 20_000
-#: Terms at most, and the tail probability a term must stay under.
-TERMS, TAIL = 1024, 1e-7
 NEIGHBOURS = 15
-BLOCK = 64
 #: Votes that a neighbourhood starts with, at the sample's toxic rate.
 PRIOR = 0.5
 WORD = re.compile(r"\w+")
@@ -54,42 +52,52 @@ def tail(k: int, n: int, p: float) -> float:
 
 
 class Index:
-    """Unit vectors of examples in blocks, by term."""
+    """Unit vectors of examples as postings by term; idf: the weight of each term."""
 
     def __init__(self, vectors: list, labels: list, ids: list, idf: list):
-        order = sorted(range(len(vectors)), key=lambda i: (max(vectors[i].items(), key=lambda x: (x[1], -x[0]))[0], sorted(vectors[i]), i))
-        self.labels = np.array([labels[i] for i in order], dtype=np.float64)
-        self.ids = np.array([ids[i] for i in order], dtype=np.int64)
-        self.idf = np.array(idf)
-        self.blocks = -(-len(order) // BLOCK)
-        self.highest = np.zeros((len(idf), self.blocks))
-        self.postings: list = [{} for _ in idf]
-        for at, i in enumerate(order):
-            for t, w in vectors[i].items():
-                block = self.postings[t].setdefault(at // BLOCK, ([], []))
-                block[0].append(at % BLOCK)
-                block[1].append(w)
-                self.highest[t, at // BLOCK] = max(self.highest[t, at // BLOCK], w)
-        self.postings = [{b: (np.array(p), np.array(w)) for b, (p, w) in term.items()} for term in self.postings]
+        sizes = [len(v) for v in vectors]
+        terms = np.fromiter((t for v in vectors for t in v), np.int64, sum(sizes))
+        weights = np.fromiter((w for v in vectors for w in v.values()), np.float64, sum(sizes))
+        self.fill(np.repeat(np.arange(len(vectors)), sizes), terms, weights, labels, ids, idf)
+
+    @classmethod
+    def of(cls, places: np.ndarray, terms: np.ndarray, counts: np.ndarray, labels, ids, idf) -> "Index":
+        """From the terms' counts in each example; it is sent to tasks as these, packed."""
+        self = cls.__new__(cls)
+        self.counted = (places.astype(np.int32), terms.astype(np.int32), counts.astype(np.int32), labels, ids, idf)
+        weights = (1 + np.log(counts)) * idf[terms]
+        weights /= np.sqrt(np.bincount(places, weights * weights, len(ids)))[places]
+        self.fill(places, terms, weights, labels, ids, idf)
+        return self
+
+    def __reduce__(self):
+        return unpacked, (zlib.compress(pickle.dumps(self.counted), 1),)
+
+    def fill(self, places: np.ndarray, terms: np.ndarray, weights: np.ndarray, labels, ids, idf) -> None:
+        self.labels = np.array(labels, dtype=np.float64)
+        self.ids = np.array(ids, dtype=np.int64)
+        self.idf = np.array(idf, dtype=np.float64)
+        order = np.argsort(terms, kind="stable")
+        self.places, self.weights = places[order].astype(np.intp), weights[order]
+        self.starts = np.searchsorted(terms[order], np.arange(len(self.idf) + 1))
 
     def nearest(self, query: dict, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the nearest examples, nearest first, ties by place; skip: a place left out."""
-        terms = list(query)
-        weights = np.array([query[t] for t in terms])
-        bounds = weights @ self.highest[terms]
-        best: list = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or (len(best) == NEIGHBOURS and bounds[block] < -best[-1][0] - 1e-12):
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms, weights.tolist(), strict=True):
-                if block in self.postings[t]:
-                    at, have = self.postings[t][block]
-                    scores[at] += w * have
-            first = block * BLOCK
-            best += [(-round(s, 12), first + i) for i, s in enumerate(scores.tolist()) if s > 0 and first + i != skip]
-            best = sorted(best)[:NEIGHBOURS]
-        return np.array([b[1] for b in best], dtype=np.int64), -np.array([b[0] for b in best])
+        scores = np.zeros(len(self.ids))
+        for term, weight in query.items():
+            part = slice(self.starts[term], self.starts[term + 1])
+            scores[self.places[part]] += weight * self.weights[part]
+        if skip >= 0:
+            scores[skip] = 0
+        least = np.partition(scores, -NEIGHBOURS)[-NEIGHBOURS] if len(scores) > NEIGHBOURS else 0.0
+        found = np.flatnonzero((scores > 0) & (scores >= least - 1e-11))
+        cosines = np.round(scores[found], 12)
+        best = np.lexsort((found, -cosines))[:NEIGHBOURS]
+        return found[best], cosines[best]
+
+
+def unpacked(packed: bytes) -> Index:
+    return Index.of(*pickle.loads(zlib.decompress(packed)))
 
 
 def unit(counts: dict, idf: np.ndarray) -> dict:
@@ -99,11 +107,18 @@ def unit(counts: dict, idf: np.ndarray) -> dict:
 
 
 class Model:
-    """Everything a task needs: terms, index, calibration. Its size is bounded by EXAMPLES and TERMS."""
+    """Everything a task needs: words, index, calibration. Its size is bounded by the words of EXAMPLES texts."""
 
     def __init__(self, terms: dict, index: "Index | None", rate: float, none: float, curve: tuple):
         self.terms, self.index, self.rate, self.none, self.curve = terms, index, rate, none, curve
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"terms": zlib.compress("\n".join(self.terms).encode("utf-8", "surrogatepass"), 1)}
+
+    def __setstate__(self, state: dict) -> None:
+        words = zlib.decompress(state["terms"]).decode("utf-8", "surrogatepass")
+        self.__dict__ = state | {"terms": {w: i for i, w in enumerate(words.split("\n"))} if words else {}}
+
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
         return float((cosines @ self.index.labels[places] + PRIOR * self.rate) / (cosines.sum() + PRIOR))
 
@@ -157,50 +172,67 @@ def counted(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, toxic int, words array<string>, counts array<long>")
 
 
-def frequencies(docs: DataFrame, terms: list) -> dict:
+def frequencies(docs: DataFrame, terms: dict) -> np.ndarray:
     """Documents of the whole table that hold each term; the tasks send at most one row a term."""
-    wanted = set(terms)
 
     def run(batches):
         total: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                total.update(wanted.intersection(words_of(text)))
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["term", "n"])
+                total.update(terms[w] for w in set(words_of(text)) if w in terms)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], ["term", "n"])
+
+    rows = docs.select(common.text_or_empty().alias("text")).mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(terms), dtype=np.int64)
+    df[rows["term"].to_numpy()] = rows["n"].to_numpy()
+    return df
+
+
+def telling(bad: np.ndarray, n: np.ndarray, rate: float) -> np.ndarray:
+    """What each word's weight is multiplied with: 1, and more for words of toxic examples."""
+    return np.array([1 - tail(b, k, rate) if b > 2 * rate * k else 1.0 for b, k in zip(bad.tolist(), n.tolist(), strict=True)])
+
+
+def votes(rows: DataFrame, model: Model) -> list:
+    """(vote, label) of every example with words, left out of its own neighbourhood, by id."""
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for i, words, counts in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "words", "counts")], strict=True):
+                query = unit({model.terms[w]: k for w, k in zip(words, counts, strict=True)}, model.index.idf)
+                found.append(model.vote(*model.index.nearest(query, int(np.searchsorted(model.index.ids, i)))))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.float64())], ["doc_id", "toxic", "vote"])
 
-    rows = docs.select(common.text_or_empty().alias("text")).mapInArrow(run, "term string, n long")
-    return {r["term"]: r["n"] for r in rows.groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    out = rows.where(F.size("words") > 0).mapInArrow(run, "doc_id long, toxic int, vote double").toArrow()
+    return sorted(zip(*[out[c].to_pylist() for c in ("doc_id", "vote", "toxic")], strict=True))
 
 
 def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Model:
-    """Choose the terms, count them over all documents, index and calibrate the sample."""
+    """Count the sample's words over all documents, weigh them, index and calibrate the sample."""
     with common.workspace(keep_last=False):
         rows = common.staged(counted(sample(docs, labels, limit)), "toxic-sample")
-        n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+        small = rows.toArrow().combine_chunks().sort_by("doc_id")
+        n = small.num_rows
         if not n:
             return Model({}, None, 0.0, 0.0, (1.0, 0.0))
-        rate = (toxic + 0.5) / (n + 1)
-        spread = rows.select("toxic", F.explode("words").alias("term")).groupBy("term").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
-        # a term that passes TAIL has at least this many toxic examples
-        least = max(2, math.ceil(math.log(TAIL) / math.log(rate)))
-        scored = sorted((tail(r["bad"], r["n"], rate), r["term"]) for r in spread.where((F.col("bad") >= least) & (F.col("bad") > 2 * rate * F.col("n"))).orderBy(F.desc(F.col("bad") / F.col("n")), F.desc("bad"), "term").limit(20 * TERMS).collect())
-        chosen = [t for p, t in scored if p <= math.log(TAIL)][:TERMS]
-        terms = {t: i for i, t in enumerate(chosen)}
-        df = frequencies(docs, chosen) if chosen else {}
-        total = docs.count()
-        idf = np.array([math.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in chosen])
-        picked = F.arrays_zip("words", "counts")
-        small = rows.select("doc_id", "toxic", F.filter(picked, lambda x: x["words"].isin(chosen) if chosen else F.lit(False)).alias("found")).where(F.size("found") > 0).orderBy("doc_id").collect()
-        vectors = [unit({terms[x["words"]]: x["counts"] for x in r["found"]}, idf) for r in small]
-        without, bad = n - len(small), toxic - sum(r["toxic"] for r in small)
-        none = (bad + rate) / (without + 1)
-        if not small:
+        toxic = small["toxic"].to_numpy()
+        rate = (toxic.sum() + 0.5) / (n + 1)
+        sizes = small["words"].combine_chunks().value_lengths().to_numpy()
+        none = float((toxic[sizes == 0].sum() + rate) / ((sizes == 0).sum() + 1))
+        words = small["words"].combine_chunks().flatten().dictionary_encode()
+        if not len(words):
             return Model({}, None, rate, none, (1.0, 0.0))
-        index = Index(vectors, [r["toxic"] for r in small], [r["doc_id"] for r in small], idf.tolist())
-        model = Model(terms, index, rate, none, (1.0, 0.0))
-        place = {int(d): i for i, d in enumerate(index.ids.tolist())}
-        votes = [model.vote(*index.nearest(v, place[r["doc_id"]])) for v, r in zip(vectors, small, strict=True)]
-        model.curve = fitted(votes, [r["toxic"] for r in small])
+        places, at = np.repeat(np.arange(n), sizes), words.indices.to_numpy()
+        terms = {w: i for i, w in enumerate(words.dictionary.to_pylist())}
+        held = np.bincount(at, minlength=len(terms))
+        bad = np.bincount(at, toxic[places], len(terms))
+        idf = np.log((1 + docs.count()) / (1 + frequencies(docs, terms))) + 1
+        weight = idf * telling(bad, held, rate)
+        counts = small["counts"].combine_chunks().flatten().to_numpy()
+        model = Model(terms, Index.of(places, at, counts, toxic, small["doc_id"].to_numpy(), weight), rate, none, (1.0, 0.0))
+        found = votes(rows, model)
+        model.curve = fitted([v for _, v, _ in found], [y for _, _, y in found])
         return model
 
 
