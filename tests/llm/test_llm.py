@@ -92,6 +92,15 @@ def test_urls(spark, tmp_path):
     assert urls.op1_urls(spark, empty).count() == 0
 
 
+def test_urls_of_farms_and_chains(spark):
+    links = {f"farm{k}.com": "bad.net" for k in range(50)} | {"far0.com": "worse.net"} | {f"far{k}.com": f"far{k - 1}.com" for k in range(1, 12)}
+    rows = [(src, f'<a href="http://{dst}/">z</a>') for src, dst in links.items()] + [("bad.net", ""), ("worse.net", ""), ("lone.com", '<a href="http://other.com/">z</a>')]
+    pages = spark.createDataFrame([(i, f"http://{host}/", html) for i, (host, html) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.host: r for r in urls.judged(pages).collect()}
+    assert {h for h, r in got.items() if r.verdict == "allow"} == {"lone.com"}
+    assert all(abs(got[f"far{k}.com"].distrust - 0.15 * 0.85 ** (k + 1)) < 1e-5 for k in range(12))
+
+
 # 2
 
 
