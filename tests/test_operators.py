@@ -1,6 +1,7 @@
 """Order-dependent operators against plain loops on random rows."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +158,19 @@ def test_classifier_precedence(spark):
     got = {r.id: (r.section, r.score) for r in classify.classified(rows, F.col("h"), words, "Church", hard=[("^licensed", "Church")], residual=[("nothing", "Other")]).collect()}
     assert got == {1: ("Law", 3), 2: ("Church", 1), 3: ("Other", 0), 4: ("Church", 6), 5: ("Law", 3)}
     assert [r.r for r in spark.range(1, 6).select(classify.reach(F.col("id")).alias("r")).collect()] == [0, 3, 5, 6, 7]
+
+
+def test_event_sizes(spark):
+    rng = random.Random(11)
+    told = [(i, [f"n{rng.randrange(60)}" for _ in range(2)] + ["everywhere"], [f"e{rng.randrange(4)}" for _ in range(rng.randrange(3))]) for i in range(160)]
+    df = Counter(n for _, names, _ in told for n in set(names))
+    label = {i: i for i, _, _ in told}
+    for i, a, x in told:
+        for j, b, y in told:
+            if set(x) & set(y) and any(2 <= df[n] <= 150 for n in set(a) & set(b)):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = {k: new if v == old else v for k, v in label.items()}
+    size = Counter(label.values())
+    got = cluster.event_sizes(spark.createDataFrame(told, "id long, names array<string>, events array<string>")).collect()
+    assert {r.id: (r.component, r.size) for r in got} == {i: (c, size[c]) for i, c in label.items()}
+    assert len(size) > 2 and max(size.values()) > 1

@@ -51,3 +51,18 @@ def headed(groups: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     kept = rows.join(heads, "component").where((F.col("id") == F.col("component")) | (F.size(F.array_intersect("w", "head")) >= least)).select("component", "id")
     sizes = kept.groupBy("component").agg(F.count("*").alias("size"))
     return kept.join(sizes, "component").where("size > 1")
+
+
+def event_edges(items: DataFrame, low: int = 2, high: int = 150) -> DataFrame:
+    """(a, b) that join up rows (id, names, events) sharing a name of low to high rows and an event word: links to each pair's least id."""
+    named = items.select("id", "events", F.explode(F.array_distinct("names")).alias("name"))
+    usual = named.groupBy("name").agg(F.count("*").alias("df")).where(F.col("df").between(low, high)).select("name")
+    posts = written(named.join(usual, "name", "left_semi").select("name", "id", F.explode(F.array_distinct("events")).alias("event")), "event-postings")
+    first = posts.groupBy("name", "event").agg(F.min("id").alias("a"))
+    return posts.join(first, ["name", "event"]).where("a < id").select("a", F.col("id").alias("b")).distinct()
+
+
+def event_sizes(items: DataFrame, low: int = 2, high: int = 150) -> DataFrame:
+    """(id, component, size) of the named event of every row (id, names, events)."""
+    found = written(components(items.select("id"), event_edges(items, low, high)), "events")
+    return found.join(found.groupBy("component").agg(F.count("*").alias("size")), "component").select("id", "component", "size")

@@ -8,7 +8,7 @@ from tidemark.functions import text as T
 from tidemark.operators import cluster, dedupe, furniture, history, pairs
 from tidemark.operators.dedupe import written
 from tidemark.plans import base
-from tidemark.plans.texts import ROWS_SQL, rows
+from tidemark.plans.texts import ROWS_SQL, proper_tokens, rows
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -60,11 +60,26 @@ SELECT id, min(label) AS component FROM walk GROUP BY id"""
 
 @query("event_components", COMPONENT_SQL)
 def event_components(spark, sf_dir):
-    """CLU-06: connected components over overlap pairs."""
+    """Connected components over the overlap pairs of CLU-02, as its SQL says; CLU-06 is event_sizes."""
     items, found = linked(spark, sf_dir)
     return cluster.components(items.select(F.col("doc_id").alias("id")), found)
 
 
+#: What event words begin with; a parameter of the caller's.
+EVENTS = "^(attack|kill|death|vote|elect|protest|visit|court|charg|strike|deal|war|law|report|launch|clos|order)"
+
+
+@query("event_sizes")
+def event_sizes(spark, sf_dir, events=EVENTS, stop=()):
+    """CLU-06, JON-07, AGG-04: no SQL; rows that share a proper name and an event word, held against a loop in the tests."""
+    items = written(rows(spark, sf_dir).select(F.col("doc_id").alias("id"), "headline", "w"), "items")
+    proper = written(proper_tokens(spark, sf_dir).select("word"), "proper")
+    names = items.select("id", F.explode(F.regexp_extract_all("headline", F.lit("([A-Z][A-Za-z'’-]+)"), F.lit(1))).alias("n")).select("id", F.lower("n").alias("word"))
+    names = names.where(~F.col("word").rlike(events) & ~F.col("word").isin(*stop)).join(proper, "word", "left_semi").groupBy("id").agg(F.collect_set("word").alias("names"))
+    told = items.join(names, "id", "left").select("id", F.coalesce("names", F.array().cast("array<string>")).alias("names"), F.filter("w", lambda x: x.rlike(events)).alias("events"))
+    return cluster.event_sizes(told)
+
+
 FOLD_SQL = f"""WITH RECURSIVE {ROWS_SQL}, toks AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(headline), '[^a-z ]', ' ', 'g'), ' '), lambda x: length(x) > 3) AS t FROM rows),
 grams AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS g FROM toks),
 post AS (SELECT g FROM grams GROUP BY g HAVING count(*) BETWEEN 3 AND 25), hit AS (SELECT doc_id, g FROM grams WHERE g IN (SELECT g FROM post)),
