@@ -322,14 +322,14 @@ def test_signatures_estimate_probability_jaccard():
 # 7
 
 
-def brute_lines(texts, ids):
+def brute_lines(texts, ids, share=800):
     rows = sorted((i, t or "") for i, t in zip(ids, texts, strict=True))
     seen, out = [], {}
     for i, t in rows:
         left = []
         for s in t.split("\n"):
             words = frozenset(w.encode() for w in s.replace("\t", " ").replace("\r", " ").replace("\x0b", " ").replace("\f", " ").split(" ") if w)
-            if words and any(1000 * len(words & x) >= 800 * len(words | x) for x in seen):
+            if words and any(1000 * len(words & x) >= share * len(words | x) for x in seen):
                 seen.append(words)
                 continue
             if words:
@@ -355,6 +355,40 @@ def test_lines(spark, corpus, tmp_path):
     assert {r[0]: (r[1], r[3]) for r in con.execute(lines.sql()).fetchall()} == got
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.6, 0.95])
+def test_lines_at_other_thresholds(spark, threshold):
+    rng = random.Random(7)
+    texts = ["aa bb cc\naa bb", "aa\naa bb"] + ["\n".join(prose(rng, rng.randrange(1, 9), 12) for _ in range(5)) for _ in range(60)]
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.deduped(documents(spark, texts), threshold).collect()}
+    assert got == brute_lines(texts, range(len(texts)), round(threshold * 1000))
+
+
+def test_lines_of_near_copies(spark):
+    """A group of near copies, one line that very many texts have, long lines and long texts."""
+    rng = random.Random(8)
+    base = prose(rng, 40, 5000).split()
+    copies = []
+    for _ in range(150):
+        words = list(base)
+        for _ in range(rng.randrange(7)):
+            words[rng.randrange(len(words))] = f"edit{rng.randrange(200)}"
+        copies.append(" ".join(words))
+    long = [prose(rng, 3000, 900) for _ in range(3)]
+    texts = copies + ["the very common line of all\n" + prose(rng, 12, 5000) for _ in range(100)] + long + [long[0] + " more", "\n".join(prose(rng, 9, 40) for _ in range(2000))]
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.deduped(documents(spark, texts)).collect()}
+    assert got == brute_lines(texts, range(len(texts)))
+
+
+def test_lines_keep_columns_of_clashing_names(spark):
+    names = ["n_lines", "n_removed", "__doc", "__h", "doc", "h", "kept", "line", "sid", "first", "text_hash", "a.b"]
+    docs = documents(spark, ["a b\na b", None, "c"])
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(k))
+    out = lines.deduped(docs)
+    assert out.columns == docs.columns + ["n_lines_", "n_removed_"]
+    assert sorted((r.doc_id, r.text, r.n_lines_, r.n_removed_, r.n_lines, r["a.b"]) for r in out.collect()) == [(0, "a b", 2, 1, 0, 11), (1, "", 1, 0, 0, 11), (2, "c", 1, 0, 0, 11)]
+
+
 def test_lines_edges(spark):
     out = sorted((str(r.doc_id), r.text, r.n_removed) for r in lines.deduped(documents(spark, ["a b\na b", "a b", "a b", None, "\n \n"], ids=[1, 2, None, 3, 4])).collect())
     assert out == [("1", "a b", 1), ("2", "", 1), ("3", "", 0), ("4", "\n \n", 0), ("None", "", 1)]

@@ -88,6 +88,25 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def without(df: DataFrame, *names: str) -> DataFrame:
-    """Drop helper columns that a caller's table happens to have under the same names."""
-    return df.drop(*[n for n in names if n in df.columns])
+def quoted(name: str) -> str:
+    """A column's name as an expression that also holds for names with dots."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def named(df: DataFrame, *names: str) -> list:
+    """The names, each with as many underscores behind it as no column of the caller's has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def free(df: DataFrame, *names: str) -> list:
+    """Names for helper columns: no column of the caller's has or begins with one."""
+    stem = "__"
+    while any(c.lower().startswith(stem) for c in df.columns):
+        stem += "_"
+    return [stem + n for n in names]

@@ -1,20 +1,31 @@
 """Line dedup by an exact set-similarity join (operator 7), in DataFrame functions only.
 
 A line's tokens are its distinct words, cut at ASCII white space. A line is removed if an earlier
-line (by doc_id, then place) has a Jaccard of 0.8 or more with it; lines without words stay.
+line (by doc_id, then place) has a Jaccard of the threshold or more with it; lines without words stay.
 
-1. Rarity. Occurrences are counted in a sketch of fixed size (words share counters), which orders
-   all tokens, rarest first, ties by hash. Any one order of all tokens gives exact results; this one
+1. Equal lines are one; the first is the only one that can stay. They are aggregated in each task
+   before the shuffle, so a hot line costs one row a task.
+2. Rarity. The words of all these lines are counted in a sketch of fixed size (words share counters),
+   which orders all tokens, rarest first, ties by hash. Any one order gives exact results; this one
    makes the rare ones come first.
-2. Lines with the same tokens are one set; its first line is the only one that can stay.
-3. A set is indexed under the tokens of its prefix: two sets at or over the threshold share one.
-   Pairs from this join must also pass the length filter, the positional filter, which bounds the
-   overlap by what is left after the shared token's places, and a bitmap that bounds the difference. Sets of up to three tokens have
-   no like but themselves and are not indexed.
-4. Surviving pairs are verified by their exact Jaccard; the later set of a pair loses its first line.
-
-Tokens travel as 63-bit numbers: 15 bits of rarity over 48 bits of hash. Nulls count as empty
-texts, a null id stands last; rows with the same id and text lose and keep the same lines.
+3. Witnesses. Lines with the same least token hash (as near copies mostly have) are compared with the
+   first of them alone. Those that it removes need no other witness, so that a group of near copies
+   costs one pair a copy and not one for every two.
+4. Index. A line is indexed under the tokens of its prefix: two lines at or over the threshold share one
+   (the smaller by the shorter prefix that suffices for it). Pairs from this join must also pass the
+   length filter, the positional filter, which bounds the overlap by what is left after the shared
+   token's places, and a parity map, which bounds the difference; two lines that are both removed
+   already are no pair. Then the shared tokens of both prefixes are counted, which bounds the overlap
+   by what is left after the prefix that ends first.
+5. Surviving pairs are verified by the exact Jaccard of their words; the later line of a pair goes.
+
+Tokens travel as 63-bit numbers: 7 bits of rarity over 56 bits of hash; two lines are taken for equal
+if 128 bits of hash agree. The threshold counts in thousandths.
+
+Nulls count as empty texts and a null id stands last; rows with the same id are ordered by their
+texts' hashes, and rows with the same id and text lose and keep the same lines. An empty table gives
+an empty table. Texts of any length are cut into lines; memory is bounded by the longest text. Columns
+of any other name are kept; where the caller has one named like a count, the count takes a longer name.
 """
 
 import json
@@ -24,10 +35,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common
 
-#: Counters of the rarity sketch (a power of two).
-COUNTERS = 1 << 15
+#: Counters of the rarity sketch (a power of two) and how many of them travel in a row.
+COUNTERS, CHUNK = 1 << 18, 1 << 12
+#: Steps of rarity for each doubling of a count; 127 of them in all.
+STEPS = 3
+#: Lines of more tokens have no parity map: all its bits would be used up.
+MAPPED = 150
 LAST = 2**63 - 1
-SPACE = "[ \\t\\u000B\\f\\r]+"
+BLANKS = " \t\x0b\f\r"
+UNUSUAL = "[\\t\\u000B\\f\\r]"
 
 
 def rows_of(docs: DataFrame) -> DataFrame:
@@ -35,83 +51,122 @@ def rows_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
-def rarity(rows: DataFrame) -> Column:
-    """The sketch as a constant array: for each counter 1000 times the log of its occurrences."""
-    words = rows.select(F.explode(F.split("text", "[ \\t\\n\\u000B\\f\\r]+")).alias("w"))
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(COUNTERS - 1)).cast("int").alias("at")).agg(F.count("*").alias("n")).select("at", F.least(F.floor(F.log2(F.col("n") + 1) * 600), F.lit(32767)).cast("int").alias("r"))
-    ranks = [0] * COUNTERS
-    for r in counts.toLocalIterator():  # COUNTERS rows at most
-        ranks[r["at"]] = r["r"]
-    return F.expr(f"from_json('{json.dumps(ranks)}', 'array<int>')")
+def words_in(line: Column) -> Column:
+    """The words of a line. Most lines have blanks alone, which are cut without a regular expression."""
+    return F.array_remove(F.when(F.rlike(line, F.lit(UNUSUAL)), F.split(line, "[ \\t\\u000B\\f\\r]+")).otherwise(F.split(line, " ")), "")
 
 
-def tokens(words: Column, ranks: Column) -> Column:
-    """A line's distinct words as numbers, rarest first."""
-    hashes = F.transform(F.array_distinct(F.filter(words, lambda w: w != "")), lambda w: F.xxhash64(w))
-    key = lambda x: F.shiftleft(F.get(ranks, x.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).cast("long"), 48).bitwiseOR(F.shiftrightunsigned(x, 16))
-    return F.sort_array(F.array_distinct(F.transform(hashes, key)))
+def equal_lines(rows: DataFrame) -> DataFrame:
+    """(sid, sid2, doc, h, line, string): the first of all equal lines with words."""
+    lines = rows.select("doc", "h", F.posexplode(F.split("text", "\n")).alias("line", "string")).where(F.trim(F.col("string"), F.lit(BLANKS)) != "")
+    first = F.min(F.struct("doc", "h", "line", "string")).alias("first")
+    return lines.groupBy(F.xxhash64("string").alias("sid"), F.xxhash64(F.lit(1), "string").alias("sid2")).agg(first).select("sid", "sid2", "first.*")
 
 
-def bitmap(keys: Column) -> Column:
-    """64 bits, each set if a token hashes to it."""
-    return F.aggregate(keys, F.lit(0).cast("long"), lambda bits, k: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
+def rarity(lines: DataFrame) -> Column:
+    """For each counter a long whose highest seven bits grow with the log of its occurrences, as a constant array."""
+    at = F.xxhash64("w").bitwiseAND(F.lit(COUNTERS - 1)).cast("int")
+    counts = lines.select(F.explode(words_in(F.col("string"))).alias("w")).groupBy(at.alias("at")).agg(F.count("*").alias("n"))
+    rank = F.least(F.floor(F.log2(F.col("n") + 1) * STEPS), F.lit(127)).cast("int")
+    rows = counts.groupBy(F.floor(F.col("at") / CHUNK)).agg(F.collect_list("at").alias("at"), F.collect_list(rank).alias("rank"))
+    ranks = [0] * COUNTERS
+    for part in rows.select("at", "rank").toArrow().to_pylist():  # COUNTERS entries at most, whatever the input
+        for place, r in zip(part["at"], part["rank"], strict=True):
+            ranks[place] = r << 56
+    return F.from_json(F.lit(json.dumps(ranks, separators=(",", ":"))), "array<bigint>")
+
+
+def tokenised(lines: DataFrame, ranks: Column, share: int) -> DataFrame:
+    """(sid, sid2, doc, h, line, n, bits, mh, prefix): of every line what the join needs."""
+    hashes = F.transform(words_in(F.col("string")), lambda w: F.xxhash64(w))
+    keys = F.transform("hashes", lambda x: F.get(ranks, x.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(x, 8)))
+    place = ["sid", "sid2", "doc", "h", "line"]
+    sets = lines.select(*place, hashes.alias("hashes")).select(*place, F.array_min("hashes").alias("mh"), F.sort_array(F.array_distinct(keys)).alias("keys"))
+    size = F.size("keys")
+    parity = F.aggregate("keys", F.lit(0).cast("long"), lambda bits, k: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
+    prefix = size - F.floor((size * share + 999) / 1000).cast("int") + 1
+    return sets.select(*place, size.alias("n"), F.when(size <= MAPPED, parity).alias("bits"), "mh", F.slice("keys", F.lit(1), prefix).alias("prefix"))
+
+
+def close(na: str, nb: str, ba: str, bb: str, share: int) -> Column:
+    """Length and parity: a bit that differs stands for a token that one line lacks; only so many may."""
+    length = F.least(na, nb) * 1000 >= F.greatest(na, nb) * share
+    bits = F.coalesce(F.bit_count(F.col(ba).bitwiseXOR(F.col(bb))), F.lit(0))
+    return length & (bits * (1000 + share) <= (F.col(na) + F.col(nb)) * (1000 - share))
+
+
+def renamed(df: DataFrame, **names: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(n) for c, n in names.items()])
+
+
+def beaten(pairs: DataFrame, sets: DataFrame, lines: DataFrame, share: int) -> DataFrame:
+    """(sid, sid2) of the later line of every pair (a, b) whose exact Jaccard reaches the threshold."""
+    wanted = lambda p: p.select(F.col("a").alias("sid")).union(p.select("b")).distinct()
+    begun = sets.select("sid", "n", "prefix").join(wanted(pairs), "sid")
+    both = pairs.join(renamed(begun, sid="a", n="na", prefix="x"), "a").join(renamed(begun, sid="b", n="nb", prefix="y"), "b")
+    # tokens up to the end of the prefix that ends first are in both prefixes, if they are in both lines
+    rest = F.when(F.element_at("x", -1) <= F.element_at("y", -1), F.col("na") - F.size("x")).otherwise(F.col("nb") - F.size("y"))
+    near = common.staged(both.where((F.size(F.array_intersect("x", "y")) + rest) * (1000 + share) >= (F.col("na") + F.col("nb")) * share).select("a", "b"), "line-near")
+    found = common.staged(lines.join(wanted(near), "sid").select("sid", "sid2", F.struct("doc", "h", "line").alias("place"), F.array_distinct(words_in(F.col("string"))).alias("words")), "line-texts")
+    cut = near.join(renamed(found, sid="a", sid2="a2", place="pa", words="x"), "a").join(renamed(found, sid="b", sid2="b2", place="pb", words="y"), "b")
+    alike = cut.where(F.size(F.array_intersect("x", "y")) * (1000 + share) >= (F.size("x") + F.size("y")) * share)
+    later = F.when(F.col("pa") < F.col("pb"), F.struct(F.col("b").alias("sid"), F.col("b2").alias("sid2"))).otherwise(F.struct(F.col("a").alias("sid"), F.col("a2").alias("sid2")))
+    out = common.staged(alike.select(later.alias("it")).select("it.*").distinct(), "line-beaten")
+    common.release(near)
+    common.release(found)
+    return out
+
+
+def witnessed(sets: DataFrame, share: int) -> DataFrame:
+    """Pairs (a, b) of each line and the first line with its least token hash, where they can be alike."""
+    leads = sets.groupBy("mh").agg(F.min(F.struct("doc", "h", "line", "sid", "n", "bits")).alias("lead"), F.count("*").alias("many")).where("many > 1")
+    leads = leads.select("mh", F.col("lead.sid").alias("a"), F.col("lead.n").alias("na"), F.col("lead.bits").alias("ba"))
+    met = renamed(sets, mh="mh", sid="b", n="nb", bits="bb").join(leads, "mh")
+    return common.staged(met.where((F.col("a") != F.col("b")) & close("na", "nb", "ba", "bb", share)).select("a", "b"), "line-pairs")
+
+
+def indexed(sets: DataFrame, lost: DataFrame, share: int) -> DataFrame:
+    """Pairs (a, b) of lines that share a token of their prefixes, one of them not in lost, where they can be alike."""
+    marked = sets.join(lost.select("sid", "sid2", F.lit(True).alias("gone")), ["sid", "sid2"], "left")
+    index = marked.select("sid", "n", "bits", F.coalesce("gone", F.lit(False)).alias("gone"), F.posexplode("prefix").alias("at", "token"))
+    a = renamed(index, token="token", sid="a", n="na", at="ia", bits="ba", gone="ga")
+    b = renamed(index, token="token", sid="b", n="nb", at="ib", bits="bb", gone="gb")
+    na, nb, ia, ib = (F.col(c) for c in ("na", "nb", "ia", "ib"))
+    # a is the smaller line; its shorter prefix reaches up to what the least overlap with a line of its own size leaves.
+    # least(.., nb) changes nothing: it keeps the test in the join, so that both sides read one exchange
+    short = na - F.floor((na * (2 * share) + (999 + share)) / (1000 + share)).cast("int") + 1
+    near = ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & (ia < F.least(short, nb)) & ~(F.col("ga") & F.col("gb"))
+    near = near & (F.least(na - ia, nb - ib) * (1000 + share) >= (na + nb) * share) & close("na", "nb", "ba", "bb", share)
+    return common.staged(a.join(b, "token").where(near).select("a", "b").distinct(), "line-pairs")
 
 
 def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFrame:
     """(doc, h, kept): the places of the lines with words that stay, of every document that has some."""
     with common.workspace():
         share = round(threshold * 1000)
-        rows = rows_of(docs)
-        ranks = rarity(rows)
-        lines = rows.select("doc", "h", F.posexplode(F.split("text", "\n")).alias("line", "string"))
-        sets = lines.select("doc", "h", "line", tokens(F.split("string", SPACE), ranks).alias("keys")).where(F.size("keys") > 0)
-        size = F.size("keys")
-        prefix = size - F.ceil(size * F.lit(share) / F.lit(1000) - F.lit(1e-9)).cast("int") + 1
-        sets = sets.select("doc", "h", "line", F.xxhash64("keys").alias("sid"), size.alias("n"), bitmap(F.col("keys")).alias("bits"), F.when(size > 3, F.slice("keys", F.lit(1), prefix)).alias("prefix"))
-        sets = common.staged(sets, "line-sets")
-        firsts = common.staged(sets.select("sid", F.struct("doc", "h", "line").alias("place")).groupBy("sid").agg(F.min("place").alias("first")), "line-firsts")
-        index = sets.where("prefix IS NOT NULL").select("sid", "n", "bits", F.posexplode("prefix").alias("at", "token"))
-        index = common.staged(index.groupBy("token", "sid", "n", "at", "bits").count().drop("count"), "line-prefixes")
-        common.release(sets)
-        a = index.select("token", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("bits").alias("ba"))
-        b = index.select("token", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("bits").alias("bb"))
-        overlap = F.col("na") + F.col("nb")
-        # length: the smaller is at least the share of the larger; position: the rest must still reach the overlap
-        near = (F.col("a") < F.col("b")) & (F.least("na", "nb") * 1000 >= F.greatest("na", "nb") * share) & (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) * (1000 + share) >= overlap * share)
-        # bits: a bit that differs stands for a token that one set lacks; so many tokens may differ at most
-        near = near & (F.bit_count(F.col("ba").bitwiseXOR(F.col("bb"))) * (1000 + share) <= overlap * (1000 - share))
-        pairs = common.staged(a.join(b, "token").where(near).select("a", "b").distinct(), "line-pairs")
-
-        wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-        where = wanted.join(firsts, "sid").groupBy(F.col("first.doc").alias("doc"), F.col("first.h").alias("h")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "sid")).alias("places"))
-        found = rows.join(where, ["doc", "h"]).select(F.split("text", "\n").alias("all"), "places").select(F.explode("places").alias("place"), "all").select("place.sid", F.get("all", F.col("place.line")).alias("string"))
-        found = common.staged(found, "line-texts")
-        left = found.select(F.col("sid").alias("a"), F.col("string").alias("x"))
-        right = found.select(F.col("sid").alias("b"), F.col("string").alias("y"))
-        words = lambda c: F.array_distinct(F.filter(F.split(c, SPACE), lambda w: w != ""))
-        cut = pairs.join(left, "a").join(right, "b").select("a", "b", words("x").alias("x"), words("y").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        alike = cut.where(both * (1000 + share) >= (F.size("x") + F.size("y")) * share).select("a", "b")
-        places = firsts.select("sid", "first")
-        ordered = alike.join(places.select(F.col("sid").alias("a"), F.col("first").alias("fa")), "a").join(places.select(F.col("sid").alias("b"), F.col("first").alias("fb")), "b")
-        beaten = ordered.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("sid")).distinct()
-        kept = firsts.join(beaten, "sid", "left_anti").groupBy(F.col("first.doc").alias("doc"), F.col("first.h").alias("h")).agg(F.collect_set("first.line").alias("kept"))
-        return common.staged(kept, "line-kept")
+        lines = common.staged(equal_lines(rows_of(docs)), "line-firsts")
+        sets = common.staged(tokenised(lines, rarity(lines), share), "line-sets")
+        lost = beaten(witnessed(sets, share), sets, lines, share)
+        more = beaten(indexed(sets, lost, share), sets, lines, share)
+        kept = sets.select("sid", "sid2", "doc", "h", "line").join(lost.union(more), ["sid", "sid2"], "left_anti")
+        return common.staged(kept.groupBy("doc", "h").agg(F.collect_list("line").alias("kept")), "line-kept")
 
 
 def deduped(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFrame:
     """The documents' columns with text and n_chars of what is left, and n_lines and n_removed."""
-    kept = kept_lines(docs, threshold).select(F.col("doc").alias("__doc"), F.col("h").alias("__h"), F.col("kept").alias("__kept"))
+    doc, h, whole, cut, left = common.free(docs, "doc", "h", "whole", "cut", "left")
+    kept = kept_lines(docs, threshold).select(F.col("doc").alias(doc), F.col("h").alias(h), F.col("kept").alias(left + "_kept"))
     text = common.text_or_empty()
-    keyed = docs.withColumns({"__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "__h": F.xxhash64(text), "__text": text})
-    joined = keyed.join(kept, ["__doc", "__h"], "left")
-    blank = "^[ \\t\\u000B\\f\\r]*$"
-    joined = joined.withColumn("__lines", F.split("__text", "\n")).withColumn("__set", F.coalesce("__kept", F.array().cast("array<int>")))
-    joined = joined.withColumn("__left", F.filter(F.col("__lines"), lambda s, i: F.array_contains(F.col("__set"), i) | s.rlike(blank)))
-    left = F.array_join("__left", "\n")
-    own = {"text": left, "n_chars": F.char_length(left).cast("long")}
-    columns = [own[c].alias(c) if c in own else F.col(c) for c in docs.columns]
-    return joined.select(*columns, F.size("__lines").alias("n_lines"), (F.size("__lines") - F.size("__left")).alias("n_removed"))
+    keyed = docs.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), h: F.xxhash64(text), whole: text})
+    joined = keyed.join(kept, [doc, h], "left")
+    joined = joined.withColumn(cut, F.split(whole, "\n")).withColumn(left + "_set", F.coalesce(left + "_kept", F.array().cast("array<int>")))
+    stays = lambda s, i: F.array_contains(F.col(left + "_set"), i) | (F.trim(s, F.lit(BLANKS)) == "")
+    joined = joined.withColumn(left, F.filter(F.col(cut), stays))
+    joined_text = F.array_join(left, "\n")
+    own = {"text": joined_text, "n_chars": F.char_length(joined_text).cast("long")}
+    columns = [own[c].alias(c) if c in own else F.col(common.quoted(c)) for c in docs.columns]
+    n_lines, n_removed = common.named(docs, "n_lines", "n_removed")
+    return joined.select(*columns, F.size(cut).alias(n_lines), (F.size(cut) - F.size(left)).alias(n_removed))
 
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
