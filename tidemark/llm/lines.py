@@ -29,6 +29,8 @@ of any other name are kept; where the caller has one named like a count, the cou
 """
 
 import json
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,14 +38,16 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 #: Counters of the rarity sketch (a power of two) and how many of them travel in a row.
-COUNTERS, CHUNK = 1 << 18, 1 << 12
+COUNTERS, CHUNK = 1 << 16, 1 << 12
+#: Lines of more tokens have no parity map: its bits would be used up.
+MAPPED = 240
 #: Steps of rarity for each doubling of a count; 127 of them in all.
 STEPS = 3
-#: Lines of more tokens have no parity map: all its bits would be used up.
-MAPPED = 150
 LAST = 2**63 - 1
 BLANKS = " \t\x0b\f\r"
-UNUSUAL = "[\\t\\u000B\\f\\r]"
+BLANK = "[ \\t\\u000B\\f\\r]+"
+#: Blanks that a split at single spaces does not cut.
+UNUSUAL = ("  ", "\t", "\x0b", "\f", "\r")
 
 
 def rows_of(docs: DataFrame) -> DataFrame:
@@ -52,13 +56,16 @@ def rows_of(docs: DataFrame) -> DataFrame:
 
 
 def words_in(line: Column) -> Column:
-    """The words of a line. Most lines have blanks alone, which are cut without a regular expression."""
-    return F.array_remove(F.when(F.rlike(line, F.lit(UNUSUAL)), F.split(line, "[ \\t\\u000B\\f\\r]+")).otherwise(F.split(line, " ")), "")
+    """The words of a line of equal_lines: its blanks are single spaces already."""
+    return F.split(line, " ")
 
 
 def equal_lines(rows: DataFrame) -> DataFrame:
-    """(sid, sid2, doc, h, line, string): the first of all equal lines with words."""
-    lines = rows.select("doc", "h", F.posexplode(F.split("text", "\n")).alias("line", "string")).where(F.trim(F.col("string"), F.lit(BLANKS)) != "")
+    """(sid, sid2, doc, h, line, string): the first of all lines that are equal but for blanks, with words and single spaces."""
+    marked = rows.withColumn("odd", reduce(or_, [F.contains("text", F.lit(x)) for x in UNUSUAL]))
+    lines = marked.select("doc", "h", "odd", F.posexplode(F.split("text", "\n")).alias("line", "string"))
+    plain = F.when(F.col("odd"), F.trim(F.regexp_replace("string", BLANK, " "))).otherwise(F.trim("string"))
+    lines = lines.select("doc", "h", "line", plain.alias("string")).where(F.col("string") != "")
     first = F.min(F.struct("doc", "h", "line", "string")).alias("first")
     return lines.groupBy(F.xxhash64("string").alias("sid"), F.xxhash64(F.lit(1), "string").alias("sid2")).agg(first).select("sid", "sid2", "first.*")
 
@@ -77,66 +84,80 @@ def rarity(lines: DataFrame) -> Column:
 
 
 def tokenised(lines: DataFrame, ranks: Column, share: int) -> DataFrame:
-    """(sid, sid2, doc, h, line, n, bits, mh, prefix): of every line what the join needs."""
+    """(sid, sid2, doc, h, line, n, bits, mh, prefix): of every line what the join needs; bits: a map of its prefix."""
     hashes = F.transform(words_in(F.col("string")), lambda w: F.xxhash64(w))
     keys = F.transform("hashes", lambda x: F.get(ranks, x.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(x, 8)))
     place = ["sid", "sid2", "doc", "h", "line"]
     sets = lines.select(*place, hashes.alias("hashes")).select(*place, F.array_min("hashes").alias("mh"), F.sort_array(F.array_distinct(keys)).alias("keys"))
-    size = F.size("keys")
     parity = F.aggregate("keys", F.lit(0).cast("long"), lambda bits, k: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
-    prefix = size - F.floor((size * share + 999) / 1000).cast("int") + 1
-    return sets.select(*place, size.alias("n"), F.when(size <= MAPPED, parity).alias("bits"), "mh", F.slice("keys", F.lit(1), prefix).alias("prefix"))
+    size = F.size("keys")
+    return sets.select(*place, size.alias("n"), F.when(size <= MAPPED, parity).otherwise(0).alias("bits"), "mh", F.slice("keys", F.lit(1), begun(size, share)).alias("prefix"))
+
 
+def begun(n: Column, share: int) -> Column:
+    """The tokens in the prefix of a line of n."""
+    return (n - F.call_function("div", n * share + 999, F.lit(1000)) + 1).cast("int")
 
-def close(na: str, nb: str, ba: str, bb: str, share: int) -> Column:
+
+def close(na: Column, nb: Column, ba: str, bb: str, share: int) -> Column:
     """Length and parity: a bit that differs stands for a token that one line lacks; only so many may."""
     length = F.least(na, nb) * 1000 >= F.greatest(na, nb) * share
-    bits = F.coalesce(F.bit_count(F.col(ba).bitwiseXOR(F.col(bb))), F.lit(0))
-    return length & (bits * (1000 + share) <= (F.col(na) + F.col(nb)) * (1000 - share))
+    return length & ((F.greatest(na, nb) > MAPPED) | (F.bit_count(F.col(ba).bitwiseXOR(F.col(bb))) * (1000 + share) <= (na + nb) * (1000 - share)))
 
 
 def renamed(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[F.col(c).alias(n) for c, n in names.items()])
 
 
-def beaten(pairs: DataFrame, sets: DataFrame, lines: DataFrame, share: int) -> DataFrame:
-    """(sid, sid2) of the later line of every pair (a, b) whose exact Jaccard reaches the threshold."""
-    wanted = lambda p: p.select(F.col("a").alias("sid")).union(p.select("b")).distinct()
-    begun = sets.select("sid", "n", "prefix").join(wanted(pairs), "sid")
-    both = pairs.join(renamed(begun, sid="a", n="na", prefix="x"), "a").join(renamed(begun, sid="b", n="nb", prefix="y"), "b")
-    # tokens up to the end of the prefix that ends first are in both prefixes, if they are in both lines
+def near_by_prefix(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """The pairs (a, b) that may still reach the threshold when the tokens both prefixes share are counted."""
+    own = sets.select("sid", "n", "prefix").join(members(pairs), "sid")
+    both = pairs.join(renamed(own, sid="a", n="na", prefix="x"), "a").join(renamed(own, sid="b", n="nb", prefix="y"), "b")
     rest = F.when(F.element_at("x", -1) <= F.element_at("y", -1), F.col("na") - F.size("x")).otherwise(F.col("nb") - F.size("y"))
-    near = common.staged(both.where((F.size(F.array_intersect("x", "y")) + rest) * (1000 + share) >= (F.col("na") + F.col("nb")) * share).select("a", "b"), "line-near")
-    found = common.staged(lines.join(wanted(near), "sid").select("sid", "sid2", F.struct("doc", "h", "line").alias("place"), F.array_distinct(words_in(F.col("string"))).alias("words")), "line-texts")
-    cut = near.join(renamed(found, sid="a", sid2="a2", place="pa", words="x"), "a").join(renamed(found, sid="b", sid2="b2", place="pb", words="y"), "b")
+    return common.staged(both.where((F.size(F.array_intersect("x", "y")) + rest) * (1000 + share) >= (F.col("na") + F.col("nb")) * share).select("a", "b"), "line-near")
+
+
+def members(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+
+
+def beaten(pairs: DataFrame, lines: DataFrame, share: int) -> DataFrame:
+    """(sid, sid2) of the later line of every pair (a, b) whose exact Jaccard reaches the threshold."""
+    found = common.staged(lines.join(members(pairs), "sid").select("sid", "sid2", F.struct("doc", "h", "line").alias("place"), F.array_distinct(words_in(F.col("string"))).alias("words")), "line-texts")
+    cut = pairs.join(renamed(found, sid="a", sid2="a2", place="pa", words="x"), "a").join(renamed(found, sid="b", sid2="b2", place="pb", words="y"), "b")
     alike = cut.where(F.size(F.array_intersect("x", "y")) * (1000 + share) >= (F.size("x") + F.size("y")) * share)
     later = F.when(F.col("pa") < F.col("pb"), F.struct(F.col("b").alias("sid"), F.col("b2").alias("sid2"))).otherwise(F.struct(F.col("a").alias("sid"), F.col("a2").alias("sid2")))
     out = common.staged(alike.select(later.alias("it")).select("it.*").distinct(), "line-beaten")
-    common.release(near)
     common.release(found)
     return out
 
 
 def witnessed(sets: DataFrame, share: int) -> DataFrame:
     """Pairs (a, b) of each line and the first line with its least token hash, where they can be alike."""
-    leads = sets.groupBy("mh").agg(F.min(F.struct("doc", "h", "line", "sid", "n", "bits")).alias("lead"), F.count("*").alias("many")).where("many > 1")
+    slim = sets.select("mh", "doc", "h", "line", "sid", "n", "bits")
+    leads = slim.groupBy("mh").agg(F.min(F.struct("doc", "h", "line", "sid", "n", "bits")).alias("lead"), F.count("*").alias("many")).where("many > 1")
     leads = leads.select("mh", F.col("lead.sid").alias("a"), F.col("lead.n").alias("na"), F.col("lead.bits").alias("ba"))
-    met = renamed(sets, mh="mh", sid="b", n="nb", bits="bb").join(leads, "mh")
-    return common.staged(met.where((F.col("a") != F.col("b")) & close("na", "nb", "ba", "bb", share)).select("a", "b"), "line-pairs")
+    met = renamed(slim, mh="mh", sid="b", n="nb", bits="bb").join(leads, "mh")
+    return common.staged(met.where((F.col("a") != F.col("b")) & close(F.col("na"), F.col("nb"), "ba", "bb", share)).select("a", "b"), "line-pairs")
 
 
 def indexed(sets: DataFrame, lost: DataFrame, share: int) -> DataFrame:
     """Pairs (a, b) of lines that share a token of their prefixes, one of them not in lost, where they can be alike."""
-    marked = sets.join(lost.select("sid", "sid2", F.lit(True).alias("gone")), ["sid", "sid2"], "left")
-    index = marked.select("sid", "n", "bits", F.coalesce("gone", F.lit(False)).alias("gone"), F.posexplode("prefix").alias("at", "token"))
-    a = renamed(index, token="token", sid="a", n="na", at="ia", bits="ba", gone="ga")
-    b = renamed(index, token="token", sid="b", n="nb", at="ib", bits="bb", gone="gb")
-    na, nb, ia, ib = (F.col(c) for c in ("na", "nb", "ia", "ib"))
-    # a is the smaller line; its shorter prefix reaches up to what the least overlap with a line of its own size leaves.
-    # least(.., nb) changes nothing: it keeps the test in the join, so that both sides read one exchange
-    short = na - F.floor((na * (2 * share) + (999 + share)) / (1000 + share)).cast("int") + 1
-    near = ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & (ia < F.least(short, nb)) & ~(F.col("ga") & F.col("gb"))
-    near = near & (F.least(na - ia, nb - ib) * (1000 + share) >= (na + nb) * share) & close("na", "nb", "ba", "bb", share)
+    marked = sets.join(lost.select("sid", "sid2", F.lit(1).alias("gone")), ["sid", "sid2"], "left")
+    index = marked.select("sid", "n", "bits", F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("at", "token"))
+    n, at = F.col("n"), F.col("at")
+    # a, the smaller line, is found by a shorter prefix: up to what the least overlap with a line of its own size leaves
+    short = at < n - F.call_function("div", n * (2 * share) + (999 + share), F.lit(1000 + share)) + 1
+    # one number holds a line's tokens and the token's place (28 bits each), whether that is in the shorter prefix and whether the line is removed
+    shape = F.shiftleft(n.cast("long"), 30).bitwiseOR(F.shiftleft(at.cast("long"), 2)).bitwiseOR((F.when(short, 2).otherwise(0) + F.col("gone")).cast("long"))
+    index = index.select("token", "sid", shape.alias("shape"), "bits")
+    a, b = renamed(index, token="token", sid="a", shape="va", bits="ba"), renamed(index, token="token", sid="b", shape="vb", bits="bb")
+    va, vb = F.col("va"), F.col("vb")
+    flag = lambda v, bit: v.bitwiseAND(F.lit(bit))
+    (na, ia), (nb, ib) = ((F.shiftright(v, 30).cast("int"), F.shiftright(v, 2).bitwiseAND(F.lit(2**28 - 1)).cast("int")) for v in (va, vb))
+    # vb & 0 is 0: it keeps the test in the join, so that both sides read one exchange
+    near = (flag(va, 2) > flag(vb, 0)) & ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & close(na, nb, "ba", "bb", share)
+    near = near & (F.least(na - ia, nb - ib) * (1000 + share) >= (na + nb) * share) & (flag(va, 1) + flag(vb, 1) < 2)
     return common.staged(a.join(b, "token").where(near).select("a", "b").distinct(), "line-pairs")
 
 
@@ -146,8 +167,8 @@ def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFra
         share = round(threshold * 1000)
         lines = common.staged(equal_lines(rows_of(docs)), "line-firsts")
         sets = common.staged(tokenised(lines, rarity(lines), share), "line-sets")
-        lost = beaten(witnessed(sets, share), sets, lines, share)
-        more = beaten(indexed(sets, lost, share), sets, lines, share)
+        lost = beaten(witnessed(sets, share), lines, share)
+        more = beaten(near_by_prefix(indexed(sets, lost, share), sets, share), lines, share)
         kept = sets.select("sid", "sid2", "doc", "h", "line").join(lost.union(more), ["sid", "sid2"], "left_anti")
         return common.staged(kept.groupBy("doc", "h").agg(F.collect_list("line").alias("kept")), "line-kept")
 
