@@ -216,8 +216,36 @@ def test_media(spark, corpus, tmp_path):
         padded = data + b"\xff" * (-len(data) % 576 or (0 if data else 576))
         r = got[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(data), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-32:]))
+        assert r.feature == slow_feature(padded)
     assert got[0].feature == got[25].feature and got[0].media_sha256 == got[25].media_sha256
     assert media.media(documents(spark, [])).count() == 0
+    odd = documents(spark, ["one", "one"], ids=[None, None]).withColumn("payload", F.lit("clash")).withColumn("feature", F.lit(0))
+    assert [(r.doc_id, r.n_bytes, len(r.payload)) for r in media.media(odd).collect()] == [(None, 3, 576)] * 2
+
+
+def slow_feature(padded):
+    """The hash from plain loops: means on a grid, cosine sums, bits against the median."""
+    rows = [padded[i : i + 576] for i in range(0, len(padded), 576)]
+    cuts = [k * len(rows) // 32 for k in range(32)] + [len(rows)]
+    grid = []
+    for k in range(32):
+        some = rows[cuts[k] : max(cuts[k + 1], cuts[k] + 1)] if len(rows) >= 32 else [rows[cuts[k]]]
+        grid.append([sum(sum(r[18 * c : 18 * c + 18]) for r in some) / (18 * len(some)) for c in range(32)])
+    wave = [[math.cos(math.pi * k * (2 * x + 1) / 64) * math.sqrt((1 if k == 0 else 2) / 32) for x in range(32)] for k in range(8)]
+    half = [[sum(wave[k][y] * grid[y][x] for y in range(32)) for x in range(32)] for k in range(8)]
+    low = [round(sum(half[k][x] * wave[m][x] for x in range(32)), 6) for k in range(8) for m in range(8)]
+    middle = sorted(low[1:])[31]
+    return f"{int(''.join(str(int(i > 0 and v > middle)) for i, v in enumerate(low)), 2):016x}"
+
+
+def test_png_rows_are_filtered_and_undone_together():
+    rng = np.random.default_rng(4)
+    smooth = (np.add.outer(np.arange(30) * 3, np.arange(64) * 2) + rng.integers(0, 4, (30, 64))).astype(np.uint8)
+    images = [smooth, rng.integers(0, 256, (5, 64), dtype=np.uint8), np.zeros((3, 64), dtype=np.uint8), smooth[:1], smooth.T.copy().reshape(30, 64)]
+    stored = [media.filtered_rows(media.write_png(x)) for x in images]
+    assert {k for kinds, _ in stored for k in kinds.tolist()} >= {0, 1, 2, 4}
+    for x, back in zip(images, media.unfilter(stored), strict=True):
+        assert (x == back).all()
 
 
 def test_png_filters_and_damage():
@@ -481,17 +509,64 @@ def test_every_licence_sentence_is_reachable(spark):
 # 9
 
 
-def test_nearest_is_exact():
+@pytest.mark.parametrize("common_words", [256, 8, 1])
+def test_nearest_is_exact(monkeypatch, common_words):
+    """Against all cosines, with words in every share of dense and sparse lists; ties by id."""
+    monkeypatch.setattr(toxicity, "COMMON", common_words)
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
     rng = random.Random(1)
-    idf = [1 + rng.random() for _ in range(40)]
-    vectors = [toxicity.unit({t: 1 + rng.randrange(3) for t in rng.sample(range(40), rng.randrange(1, 6))}, idf) for _ in range(500)]
-    index = toxicity.Index(vectors, [rng.randrange(2) for _ in vectors], list(range(500)), idf)
-    for _ in range(50):
-        q = toxicity.unit({t: 1 for t in rng.sample(range(40), rng.randrange(1, 6))}, idf)
-        places, cosines = index.nearest(q)
-        want = sorted((-round(sum(w * q.get(t, 0) for t, w in vectors[index.ids[p]].items()), 12), p) for p in range(500))
-        want = [x for x in want if x[0] < 0][: toxicity.NEIGHBOURS]
-        assert np.allclose([-c for c in cosines], [x[0] for x in want]) and len(places) == len(want)
+    idf = np.array([1 + rng.random() for _ in range(40)])
+    found = [{t: 1 + rng.randrange(3) for t in sorted(rng.sample(range(40), rng.randrange(1, 6)))} for _ in range(500)]
+    arrays = [np.array(x) for x in ([i for i, v in enumerate(found) for _ in v], [t for v in found for t in v], [n for v in found for n in v.values()])]
+    words, ids = [f"w{t}" for t in range(40)], np.arange(500) * 7
+    key, data = toxicity.Model.packed(words, (*arrays, np.array([rng.randrange(2) for _ in found]), ids, idf), 0.1, 0.1)
+    index = toxicity.Model.unpacked(key, data).index
+    unit = lambda v: dict(zip(v, toxicity.unit(np.array(list(v)), np.array(list(v.values()), dtype=float), idf), strict=True))
+    units = [unit(v) for v in found]
+    for k in range(80):
+        q = unit({t: 1 + rng.randrange(2) for t in rng.sample(range(40), rng.randrange(1, 6))})
+        skip = k if k % 2 else -1
+        places, cosines = index.nearest(np.array(list(q)), np.array(list(q.values())), skip)
+        exact = np.array([0.0 if p == skip else sum(w * q.get(t, 0) for t, w in units[p].items()) for p in range(500)])
+        want = np.sort(exact[exact > 0])[::-1][: toxicity.NEIGHBOURS]
+        assert len(places) == len(want) and np.allclose(cosines, want, atol=1e-6)
+        assert np.allclose(exact[index.ids[places] // 7], cosines, atol=1e-6)
+
+
+def test_scores_against_all_cosines(spark):
+    """The whole operator against a plain loop: every word, every example, the same votes and curve."""
+    rng = random.Random(15)
+    texts = [prose(rng, rng.randrange(0, 30), 60) + (" vile" if i % 5 == 0 else "") for i in range(150)] + [None]
+    docs, known = documents(spark, texts), spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(120)], "doc_id long, toxic int")
+    learnt = toxicity.learn(docs.union(docs.limit(5)), known)
+    model, curve = toxicity.Model.unpacked(*learnt[:2]), learnt[2]
+    ids = [i for i in range(120) if zlib.crc32(str(i).encode()) % 5]
+    assert model.ids.tolist() == ids
+    counts = {i: collections.Counter(toxicity.words_of(texts[i])) for i in ids}
+    vocabulary = sorted(set().union(*counts.values()))
+    rows = [t or "" for t in texts + texts[:5]]
+    bad = {w: sum(i % 5 == 0 for i in ids if w in counts[i]) for w in vocabulary}
+    held = {w: sum(w in counts[i] for i in ids) for w in vocabulary}
+    rate = (sum(i % 5 == 0 for i in ids) + 0.5) / (len(ids) + 1)
+    weight = {w: (math.log((1 + len(rows)) / (1 + sum(w in set(toxicity.words_of(t)) for t in rows))) + 1) * (1 - toxicity.tail(bad[w], held[w], rate) if bad[w] > 2 * rate * held[w] else 1.0) for w in vocabulary}
+
+    def unit(c):
+        v = {w: (1 + math.log(n)) * weight[w] for w, n in c.items() if w in weight}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    units = {i: unit(c) for i, c in counts.items() if c}
+
+    def vote(v, skip=None):
+        near = sorted(((-round(sum(x * v.get(w, 0) for w, x in u.items()), 6), i) for i, u in units.items() if i != skip))
+        near = [(-c, i) for c, i in near if c < 0][: toxicity.NEIGHBOURS]
+        return (sum(c * (i % 5 == 0) for c, i in near) + toxicity.PRIOR * rate) / (sum(c for c, _ in near) + toxicity.PRIOR)
+
+    want = toxicity.fitted([vote(units[i], i) for i in sorted(units)], [int(i % 5 == 0) for i in sorted(units)])
+    assert np.allclose(curve, want, rtol=1e-3)
+    for r in toxicity.scored(docs, learnt).collect():
+        mine = unit(collections.Counter(toxicity.words_of(texts[r.doc_id] or "")))
+        assert abs(r.score - (toxicity.curved(vote(mine), curve) if mine else model.none)) < 1e-3
 
 
 def test_toxicity(spark, tmp_path):
@@ -527,11 +602,12 @@ def test_toxicity_searches_every_example(spark):
     rare = [f"rare{k}" for k in range(12)]  # each in seven toxic examples and no clean one
     texts = [prose(rng, 30, 300) + (" " + rare[i % 12] if i < 84 else "") for i in range(600)]
     known = spark.createDataFrame([(i, int(i < 84)) for i in range(600)], "doc_id long, toxic int")
-    model = toxicity.learn(documents(spark, texts), known)
+    learnt = toxicity.learn(documents(spark, texts), known)
+    model = toxicity.Model.unpacked(*learnt[:2])
     examples = [i for i in range(600) if zlib.crc32(str(i).encode()) % 5]
-    assert model.index.ids.tolist() == examples  # clean ones, too
+    assert model.ids.tolist() == examples and sorted(model.index.ids.tolist())[-len(examples) :] == examples  # clean ones, too
     new = [prose(rng, 30, 300) + " " + w for w in rare] + [prose(rng, 30, 300) for _ in range(40)] + ["unheard", None]
-    got = [r for r in toxicity.scored(documents(spark, new), model).orderBy("doc_id").collect()]
+    got = [r for r in toxicity.scored(documents(spark, new), learnt).orderBy("doc_id").collect()]
     assert [r.predicted for r in got] == [1] * 12 + [0] * 42
     assert [len(r.evidence) for r in got] == [toxicity.NEIGHBOURS] * 52 + [0, 0]
     assert {y for r in got[12:52] for y in r.evidence} - set(range(84))
@@ -558,6 +634,15 @@ def test_pieces(spark, corpus, tmp_path):
         assert b"".join(data[b:e] for b, e in zip(r.begins, r.ends, strict=True)) == data or any(x == y for x, y in zip(r.begins[:-1], r.begins[1:], strict=True))
 
 
+def test_pieces_edges(spark):
+    odd = documents(spark, ["one two", "one two", None], ids=[None, None, 3]).withColumn("ids", F.lit("clash")).withColumn("begins", F.lit(0))
+    rows = pieces.encode(odd).collect()
+    assert [(r.doc_id, r.decoded) for r in rows] == [(None, "one two"), (None, "one two"), (3, "")] and rows[0].ids == rows[1].ids
+    assert pieces.encode(documents(spark, [])).count() == 0 and pieces.digests(documents(spark, [])).count() == 0
+    long = "many words of a long text " * 40000
+    assert pieces.encode(documents(spark, [long])).first().decoded == long
+
+
 def test_characters_map():
     """A compiled map by hand: a double array for "ab" -> "x" and "a" -> "y"."""
     import struct

@@ -4,6 +4,7 @@ import sys
 import uuid
 from contextlib import contextmanager
 
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +89,20 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def slices(batch, columns: str | tuple, rows: int = 256, size: int = 4_000_000):
+    """A record batch in parts of so many rows and of so many bytes in its text columns at most (or of one row)."""
+    columns = (columns,) if isinstance(columns, str) else columns
+    lengths = sum(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False).astype("int64") for c in columns)
+    total, begin = 0, 0
+    for at, n in enumerate(lengths.tolist()):
+        if at > begin and (at - begin == rows or total + n > size):
+            yield batch.slice(begin, at - begin)
+            total, begin = 0, at
+        total += n
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
+
+
 def quoted(name: str) -> str:
     """A column's name as an expression that also holds for names with dots."""
     return "`" + name.replace("`", "``") + "`"

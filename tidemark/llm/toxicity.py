@@ -3,19 +3,30 @@
 The labelled sample is bounded (EXAMPLES, by hash of the id). All examples, clean ones too, and all
 documents are TF-IDF vectors over all words of the sample; document frequencies are counted over all
 documents. No word is left out: a word that stands in toxic examples oftener than twice its share
-weighs more, by one and the strength (in nats) of the binomial bound that this is chance. The
-nearest examples by cosine are found exactly, from the postings of the text's words.
-Neighbours vote with their cosine; a logistic curve, fitted on leave-one-out votes of the sample,
-turns the vote into a calibrated score, and the neighbours are the evidence. A text with no word
-of the sample has the sample's smoothed rate among texts without words.
-
-Nulls count as empty texts and score as texts without words. Labels that are null are passed over;
-of several labels of one document the largest counts. Without any labelled example every score is 0.
+weighs more, by one and the strength (in nats) of the binomial bound that this is chance.
+
+The nearest examples by cosine are found exactly by an inverted index with block maxima. Examples are
+put into blocks of alike ones. The lists of the rarer words are summed for every example; for the COMMON
+most frequent words a block's largest weights bound what its examples can gain. Blocks are opened in
+the order of their bounds until no unopened one can hold a nearer example.
+
+Neighbours vote with their cosine; a logistic curve, fitted on leave-one-out votes of the sample, turns
+the vote into a calibrated score, and the neighbours are the evidence. A text with no word of the
+sample has the sample's smoothed rate among texts without words. As an id is no input of a score, a row
+of the sample finds itself among its neighbours; rows that are held out never do.
+
+Nulls count as empty texts and score as texts without words. Labels that are null are passed over; of
+several labels of one document the largest counts, and of several rows with one id the least text is
+learnt from. Equal cosines are ordered by id. Without any labelled example, as in an empty table, every
+score is 0. Batches are cut by bytes, so that long texts do not meet in memory. Columns of other names
+are ignored, and kept by accepted().
 """
 
 import math
 import pickle
 import re
+import sys
+import uuid
 import zlib
 from collections import Counter
 
@@ -25,11 +36,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
-from tidemark.llm.phrases import slices
+from tidemark.llm.common import slices
 
 #: Labelled documents that are learnt from, at most.
 EXAMPLES = 20_000
 NEIGHBOURS = 15
+#: Examples in a block, and frequent words that are bounded by block before they are summed.
+BLOCK, COMMON = 128, 256
 #: Votes that a neighbourhood starts with, at the sample's toxic rate.
 PRIOR = 0.5
 WORD = re.compile(r"\w+")
@@ -51,84 +64,142 @@ def tail(k: int, n: int, p: float) -> float:
     return -n * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0.0))
 
 
+def blocks_of(vectors: np.ndarray, size: int) -> np.ndarray:
+    """An order of the rows in which alike ones are neighbours: halves by the coordinate that varies most, until they fit a block."""
+    flat = vectors - vectors.mean(axis=0)
+    _, axes = np.linalg.eigh(flat.T @ flat)
+    points, out, todo = flat @ axes[:, -8:], [], [np.arange(len(vectors))]
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= size:
+            out.append(rows)
+            continue
+        widest = points[rows].var(axis=0).argmax()
+        rows = rows[np.argsort(points[rows, widest], kind="stable")]
+        middle = (len(rows) // 2 + size - 1) // size * size
+        todo += [rows[middle:], rows[:middle]]
+    return np.concatenate(out)
+
+
 class Index:
-    """Unit vectors of examples as postings by term; idf: the weight of each term."""
-
-    def __init__(self, vectors: list, labels: list, ids: list, idf: list):
-        sizes = [len(v) for v in vectors]
-        terms = np.fromiter((t for v in vectors for t in v), np.int64, sum(sizes))
-        weights = np.fromiter((w for v in vectors for w in v.values()), np.float64, sum(sizes))
-        self.fill(np.repeat(np.arange(len(vectors)), sizes), terms, weights, labels, ids, idf)
-
-    @classmethod
-    def of(cls, places: np.ndarray, terms: np.ndarray, counts: np.ndarray, labels, ids, idf) -> "Index":
-        """From the terms' counts in each example; it is sent to tasks as these, packed."""
-        self = cls.__new__(cls)
-        self.counted = (places.astype(np.int32), terms.astype(np.int32), counts.astype(np.int32), labels, ids, idf)
-        weights = (1 + np.log(counts)) * idf[terms]
-        weights /= np.sqrt(np.bincount(places, weights * weights, len(ids)))[places]
-        self.fill(places, terms, weights, labels, ids, idf)
-        return self
-
-    def __reduce__(self):
-        return unpacked, (zlib.compress(pickle.dumps(self.counted), 1),)
-
-    def fill(self, places: np.ndarray, terms: np.ndarray, weights: np.ndarray, labels, ids, idf) -> None:
-        self.labels = np.array(labels, dtype=np.float64)
-        self.ids = np.array(ids, dtype=np.int64)
-        self.idf = np.array(idf, dtype=np.float64)
-        order = np.argsort(terms, kind="stable")
-        self.places, self.weights = places[order].astype(np.intp), weights[order]
-        self.starts = np.searchsorted(terms[order], np.arange(len(self.idf) + 1))
-
-    def nearest(self, query: dict, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the nearest examples, nearest first, ties by place; skip: a place left out."""
-        scores = np.zeros(len(self.ids))
-        for term, weight in query.items():
-            part = slice(self.starts[term], self.starts[term + 1])
-            scores[self.places[part]] += weight * self.weights[part]
+    """Unit vectors of examples as lists by term, in blocks. Weights are 32-bit numbers; sums are of 64 bits."""
+
+    def __init__(self, places: np.ndarray, terms: np.ndarray, counts: np.ndarray, labels: np.ndarray, ids: np.ndarray, idf: np.ndarray):
+        n, self.idf = len(ids), np.asarray(idf, dtype=np.float64)
+        weights = (1 + np.log(counts)) * self.idf[terms]
+        weights = (weights / np.sqrt(np.bincount(places, weights * weights, n))[places]).astype(np.float32)
+        lengths = np.bincount(terms, minlength=len(self.idf))
+        common_terms = np.argsort(-lengths, kind="stable")[:COMMON]
+        self.column = np.full(len(self.idf), -1, dtype=np.int32)
+        self.column[common_terms] = np.arange(len(common_terms))
+        often = self.column[terms] >= 0
+        dense = np.zeros((n, len(common_terms)), dtype=np.float32)
+        dense[places[often], self.column[terms[often]]] = weights[often]
+        order = blocks_of(dense[:, :64].astype(np.float64), BLOCK)
+        count = -(-n // BLOCK)
+        self.home = np.empty(n, dtype=np.int32)
+        self.home[order] = np.arange(n)
+        self.ids, self.labels = np.full(count * BLOCK, -1, dtype=np.int64), np.zeros(count * BLOCK)
+        self.ids[:n], self.labels[:n] = np.asarray(ids)[order], np.asarray(labels)[order]
+        self.dense = np.zeros((count, BLOCK, dense.shape[1]), dtype=np.float32)
+        self.dense.reshape(count * BLOCK, -1)[:n] = dense[order]
+        self.most = self.dense.max(axis=1)
+        seldom = np.flatnonzero(~often)
+        seldom = seldom[np.argsort(terms[seldom], kind="stable")]
+        self.places, self.weights = self.home[places[seldom]].astype(np.intp), weights[seldom]
+        self.starts = np.searchsorted(terms[seldom], np.arange(len(self.idf) + 1))
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the nearest examples, nearest first, ties by id; skip: the number of an example left out."""
+        count = len(self.dense)
+        column = self.column[terms]
+        often = column >= 0
+        query = np.zeros(self.dense.shape[2])
+        query[column[often]] = weights[often]
+        rare = terms[~often]
+        low = self.starts[rare]
+        size = self.starts[rare + 1] - low
+        at = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        sums = np.bincount(self.places[at], self.weights[at] * np.repeat(weights[~often], size), count * BLOCK)
         if skip >= 0:
-            scores[skip] = 0
-        least = np.partition(scores, -NEIGHBOURS)[-NEIGHBOURS] if len(scores) > NEIGHBOURS else 0.0
-        found = np.flatnonzero((scores > 0) & (scores >= least - 1e-11))
-        cosines = np.round(scores[found], 12)
-        best = np.lexsort((found, -cosines))[:NEIGHBOURS]
+            sums[self.home[skip]] = -2.0 * count
+        sums = sums.reshape(count, BLOCK)
+        short = query.astype(np.float32)
+        bounds = sums.max(axis=1) + self.most @ short + 1e-5
+        scores, least, tops = np.full((count, BLOCK), -1.0), 0.0, np.zeros(0)
+        for b in np.argsort(-bounds).tolist():
+            if bounds[b] < least or bounds[b] <= 1e-5:
+                break
+            scores[b] = gained = sums[b] + self.dense[b] @ short
+            better = gained[gained > least]
+            if len(better):
+                tops = np.concatenate([tops, better])
+                if len(tops) >= NEIGHBOURS:
+                    tops = np.partition(tops, -NEIGHBOURS)[-NEIGHBOURS:]
+                    least = tops[0]
+        found = np.flatnonzero(scores.ravel() >= max(least - 2e-5, 1e-12))
+        cosines = np.round(sums.ravel()[found] + self.dense.reshape(count * BLOCK, -1)[found].astype(np.float64) @ query, 12)
+        best = np.lexsort((self.ids[found], -cosines))[:NEIGHBOURS]
+        best = best[cosines[best] > 0]
         return found[best], cosines[best]
 
 
-def unpacked(packed: bytes) -> Index:
-    return Index.of(*pickle.loads(zlib.decompress(packed)))
-
-
-def unit(counts: dict, idf: np.ndarray) -> dict:
-    weights = {t: (1 + math.log(n)) * idf[t] for t, n in counts.items()}
-    norm = math.sqrt(sum(w * w for w in weights.values()))
-    return {t: w / norm for t, w in weights.items()} if norm > 0 else {}
+def unit(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    weights = (1 + np.log(counts)) * idf[terms]
+    return weights / math.sqrt(float(weights @ weights))
 
 
 class Model:
-    """Everything a task needs: words, index, calibration. Its size is bounded by the words of EXAMPLES texts."""
-
-    def __init__(self, terms: dict, index: "Index | None", rate: float, none: float, curve: tuple):
-        self.terms, self.index, self.rate, self.none, self.curve = terms, index, rate, none, curve
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"terms": zlib.compress("\n".join(self.terms).encode("utf-8", "surrogatepass"), 1)}
-
-    def __setstate__(self, state: dict) -> None:
-        words = zlib.decompress(state["terms"]).decode("utf-8", "surrogatepass")
-        self.__dict__ = state | {"terms": {w: i for i, w in enumerate(words.split("\n"))} if words else {}}
+    """Everything a task needs: words, index, calibration. Its size is bounded by the words of EXAMPLES texts.
+
+    It travels packed and is unpacked once by each Python worker, which keeps the latest model only.
+    """
+
+    def __init__(self, words: list, counted: "tuple | None", rate: float, none: float):
+        self.rate, self.none = rate, none
+        self.terms = {w: i for i, w in enumerate(words)}
+        self.ids = None if counted is None else counted[4]
+        self.index = None if counted is None else Index(*counted)
+
+    @staticmethod
+    def packed(words: list, counted: "tuple | None", rate: float, none: float) -> tuple[str, bytes]:
+        """A key and the model as bytes: words, term numbers as steps within an example, counts; numbers byte by byte, which packs well."""
+        if counted is not None:
+            places, terms, counts, labels, ids, idf = counted
+            steps = np.where(np.diff(places, prepend=-1) > 0, terms, np.diff(terms, prepend=0)).astype("<i4")
+            counted = (np.bincount(places, minlength=len(ids)).astype("<i4"), *[x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in (steps, counts.astype("<i4"))], labels, ids, idf.astype(np.float64))
+        return uuid.uuid4().hex, zlib.compress(pickle.dumps(("\n".join(words).encode("utf-8", "surrogatepass"), counted, rate, none)), 6)
+
+    @staticmethod
+    def unpacked(key: str, data: bytes) -> "Model":
+        kept = vars(sys).setdefault("tidemark_models", {})
+        if key not in kept:
+            kept.clear()
+            words, counted, rate, none = pickle.loads(zlib.decompress(data))
+            words = words.decode("utf-8", "surrogatepass").split("\n") if words else []
+            if counted is not None:
+                sizes, steps, counts, *rest = counted
+                steps, counts = (np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel().astype(np.int64) for x in (steps, counts))
+                sums = np.cumsum(steps)
+                first = np.cumsum(sizes) - sizes
+                some = sizes > 0
+                before = np.zeros(len(sizes), dtype=np.int64)
+                before[some] = sums[first[some]] - steps[first[some]]
+                counted = (np.repeat(np.arange(len(sizes)), sizes), sums - np.repeat(before, sizes), counts, *rest)
+            kept[key] = Model(words, counted, rate, none)
+        return kept[key]
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
         return float((cosines @ self.index.labels[places] + PRIOR * self.rate) / (cosines.sum() + PRIOR))
 
-    def score(self, text: str) -> tuple[float, list]:
+    def score(self, text: str, curve: tuple) -> tuple[float, list]:
         terms = self.terms
-        counts = Counter(terms[w] for w in words_of(text) if w in terms)
+        counts = Counter([terms[w] for w in words_of(text) if w in terms])
         if not counts or self.index is None:
             return self.none, []
-        places, cosines = self.index.nearest(unit(counts, self.index.idf))
-        return curved(self.vote(places, cosines), self.curve), self.index.ids[places].tolist()
+        at, n = np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), np.float64, len(counts))
+        places, cosines = self.index.nearest(at, unit(at, n, self.index.idf))
+        return curved(self.vote(places, cosines), curve), self.index.ids[places].tolist()
 
 
 def curved(vote: float, curve: tuple) -> float:
@@ -155,10 +226,11 @@ def fitted(votes: list, labels: list) -> tuple:
 
 
 def sample(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
-    """doc_id, text and label of the bounded sample; the ids are at most `limit`, so they are broadcast."""
+    """doc_id, toxic and text of the bounded sample, a row for each id; the ids are at most `limit`, so they are broadcast."""
     known = labels.where(~held_out()).where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def counted(rows: DataFrame) -> DataFrame:
@@ -166,24 +238,29 @@ def counted(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            found = [Counter(words_of(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([list(c) for c in found], pa.list_(pa.string())), pa.array([list(c.values()) for c in found], pa.list_(pa.int64()))], ["doc_id", "toxic", "words", "counts"])
+            for part in slices(batch, "text"):
+                found = [Counter(words_of(t)) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array([list(c) for c in found], pa.list_(pa.string())), pa.array([list(c.values()) for c in found], pa.list_(pa.int64()))], ["doc_id", "toxic", "words", "counts"])
 
-    return rows.mapInArrow(run, "doc_id long, toxic int, words array<string>, counts array<long>")
+    return rows.select("doc_id", "toxic", "text").mapInArrow(run, "doc_id long, toxic int, words array<string>, counts array<long>")
 
 
-def frequencies(docs: DataFrame, terms: dict) -> np.ndarray:
-    """Documents of the whole table that hold each term; the tasks send at most one row a term."""
+def frequencies(docs: DataFrame, words: list) -> np.ndarray:
+    """Documents of the whole table that hold each word; the tasks send at most one row a word."""
+    data = zlib.compress("\n".join(words).encode("utf-8", "surrogatepass"), 6)
 
     def run(batches):
-        total: Counter = Counter()
+        terms = {w: i for i, w in enumerate(zlib.decompress(data).decode("utf-8", "surrogatepass").split("\n"))}
+        total = np.zeros(len(terms), dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total.update(terms[w] for w in set(words_of(text)) if w in terms)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], ["term", "n"])
+            for part in slices(batch, "text"):
+                found = [terms[w] for text in part.column("text").to_pylist() for w in set(words_of(text)) if w in terms]
+                total += np.bincount(np.array(found, dtype=np.int64), minlength=len(terms))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["term", "n"])
 
     rows = docs.select(common.text_or_empty().alias("text")).mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(len(terms), dtype=np.int64)
+    df = np.zeros(len(words), dtype=np.int64)
     df[rows["term"].to_numpy()] = rows["n"].to_numpy()
     return df
 
@@ -193,57 +270,66 @@ def telling(bad: np.ndarray, n: np.ndarray, rate: float) -> np.ndarray:
     return np.array([1 - tail(b, k, rate) if b > 2 * rate * k else 1.0 for b, k in zip(bad.tolist(), n.tolist(), strict=True)])
 
 
-def votes(rows: DataFrame, model: Model) -> list:
-    """(vote, label) of every example with words, left out of its own neighbourhood, by id."""
+def votes(rows: DataFrame, key: str, data: bytes) -> list:
+    """(doc_id, vote, label) of every example with words, left out of its own neighbourhood, by id."""
 
     def run(batches):
+        model = Model.unpacked(key, data)
         for batch in batches:
             found = []
             for i, words, counts in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "words", "counts")], strict=True):
-                query = unit({model.terms[w]: k for w, k in zip(words, counts, strict=True)}, model.index.idf)
-                found.append(model.vote(*model.index.nearest(query, int(np.searchsorted(model.index.ids, i)))))
+                at = np.array([model.terms[w] for w in words], dtype=np.int64)
+                places, cosines = model.index.nearest(at, unit(at, np.array(counts, dtype=np.float64), model.index.idf), int(np.searchsorted(model.ids, i)))
+                found.append(model.vote(places, cosines))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.float64())], ["doc_id", "toxic", "vote"])
 
     out = rows.where(F.size("words") > 0).mapInArrow(run, "doc_id long, toxic int, vote double").toArrow()
     return sorted(zip(*[out[c].to_pylist() for c in ("doc_id", "vote", "toxic")], strict=True))
 
 
-def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Model:
-    """Count the sample's words over all documents, weigh them, index and calibrate the sample."""
+def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> tuple[str, bytes, tuple]:
+    """Count the sample's words over all documents, weigh them, index and calibrate the sample: the packed model and its curve."""
     with common.workspace(keep_last=False):
         rows = common.staged(counted(sample(docs, labels, limit)), "toxic-sample")
         small = rows.toArrow().combine_chunks().sort_by("doc_id")
         n = small.num_rows
         if not n:
-            return Model({}, None, 0.0, 0.0, (1.0, 0.0))
+            return *Model.packed([], None, 0.0, 0.0), (1.0, 0.0)
         toxic = small["toxic"].to_numpy()
         rate = (toxic.sum() + 0.5) / (n + 1)
         sizes = small["words"].combine_chunks().value_lengths().to_numpy()
         none = float((toxic[sizes == 0].sum() + rate) / ((sizes == 0).sum() + 1))
         words = small["words"].combine_chunks().flatten().dictionary_encode()
         if not len(words):
-            return Model({}, None, rate, none, (1.0, 0.0))
+            return *Model.packed([], None, rate, none), (1.0, 0.0)
         places, at = np.repeat(np.arange(n), sizes), words.indices.to_numpy()
-        terms = {w: i for i, w in enumerate(words.dictionary.to_pylist())}
-        held = np.bincount(at, minlength=len(terms))
-        bad = np.bincount(at, toxic[places], len(terms))
-        idf = np.log((1 + docs.count()) / (1 + frequencies(docs, terms))) + 1
-        weight = idf * telling(bad, held, rate)
         counts = small["counts"].combine_chunks().flatten().to_numpy()
-        model = Model(terms, Index.of(places, at, counts, toxic, small["doc_id"].to_numpy(), weight), rate, none, (1.0, 0.0))
-        found = votes(rows, model)
-        model.curve = fitted([v for _, v, _ in found], [y for _, _, y in found])
-        return model
+        # frequent words get the small numbers and stand first in their examples: this packs well
+        held = np.bincount(at, minlength=len(words.dictionary))
+        order = np.argsort(-held, kind="stable")
+        names = words.dictionary.take(pa.array(order)).to_pylist()
+        number = np.empty(len(order), dtype=np.int64)
+        number[order] = np.arange(len(order))
+        sort = np.lexsort((number[at], places))
+        places, at, counts, held = places[sort], number[at][sort], counts[sort], held[order]
+        bad = np.bincount(at, toxic[places], len(names))
+        idf = np.log((1 + docs.count()) / (1 + frequencies(docs, names))) + 1
+        weight = idf * telling(bad, held, rate)
+        key, data = Model.packed(names, (places, at, counts, toxic, small["doc_id"].to_numpy(), weight), rate, none)
+        found = votes(rows, key, data)
+        return key, data, fitted([v for _, v, _ in found], [y for _, _, y in found])
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
+def scored(docs: DataFrame, learnt: tuple[str, bytes, tuple]) -> DataFrame:
     """doc_id, score, predicted and the ids of the nearest examples of every row."""
     rows = docs.select("doc_id", common.text_or_empty().alias("text"))
+    key, data, curve = learnt
 
     def run(batches):
+        model = Model.unpacked(key, data)
         for batch in batches:
-            for part in slices(batch):
-                found = [model.score(t) for t in part.column("text").to_pylist()]
+            for part in slices(batch, "text"):
+                found = [model.score(t, curve) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([f[0] for f in found], pa.float64()), pa.array([int(f[0] >= 0.5) for f in found], pa.int32()), pa.array([f[1] for f in found], pa.list_(pa.int64()))], ["doc_id", "score", "predicted", "evidence"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int, evidence array<long>")
@@ -258,14 +344,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that are not predicted toxic, with their own columns."""
-    model = learn(docs, labels)
-    flag, columns = "__toxic_text", docs.columns
+    key, data, curve = learn(docs, labels)
+    (flag,) = common.free(docs, "toxic_text")
+    columns = docs.columns
 
     def run(batches):
+        model = Model.unpacked(key, data)
         for batch in batches:
-            for part in slices(batch):
-                texts = part.column(flag).to_pylist()
-                keep = pa.array([model.score(t)[0] < 0.5 for t in texts], pa.bool_())
+            for part in slices(batch, flag):
+                keep = pa.array([model.score(t, curve)[0] < 0.5 for t in part.column(flag).to_pylist()], pa.bool_())
                 yield part.filter(keep).select(columns)
 
     return docs.withColumn(flag, common.text_or_empty()).mapInArrow(run, docs.schema)
