@@ -1,13 +1,15 @@
 """Media columns (operator 5): PNG files in binary columns, read back and hashed.
 
 write_png() frames 8-bit grey samples as PNG chunks (length, type, data, CRC-32) around one zlib
-stream; read_png() walks the chunks, tests every checksum, inflates, and undoes the five row
-filters with numpy. feature() is a low-frequency cosine-transform hash: the samples are averaged
+stream, each row under the filter that suits it best; read_png() walks the chunks, tests every
+checksum, inflates, and undoes the five row filters with numpy. feature() is a low-frequency cosine-transform hash: the samples are averaged
 onto a 32 by 32 grid, transformed, and the 8 by 8 lowest frequencies (without the mean) are
 compared with their median, 64 bits in all.
 
-Nulls count as empty texts; an empty text is stored as 576 bytes of 255. Equal texts give equal
-files and features. Rows are handled one at a time, so memory is bounded by the longest text.
+Nulls count as empty texts; an empty text is stored as 576 bytes of 255. Equal texts, also of repeated
+rows, give equal files and features; frequencies equal to the median have a bit of 0. An empty table
+gives an empty table, null ids stay null, and columns of any other name are left out. Rows are handled
+one at a time and leave in parts of bounded bytes, so memory is bounded by the longest text.
 """
 
 import hashlib
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
+from tidemark.llm.common import slices
 
 #: The contract's row width: payloads are padded to a positive multiple of this.
 WIDTH = 576
@@ -36,11 +39,28 @@ def chunk(kind: bytes, data: bytes) -> bytes:
     return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(data, zlib.crc32(kind)))
 
 
+def predicted(kind: int, left: np.ndarray, above: np.ndarray, corner: np.ndarray) -> np.ndarray:
+    """What each filter expects of samples from their neighbours (16-bit numbers): none, left, above, their mean, the nearest of three."""
+    if kind == 0:
+        return np.zeros_like(left)
+    if kind in (1, 2):
+        return left if kind == 1 else above
+    if kind == 3:
+        return (left + above) >> 1
+    a, b, c = np.abs(above - corner), np.abs(left - corner), np.abs(left + above - 2 * corner)
+    return np.where((a <= b) & (a <= c), left, np.where(b <= c, above, corner))
+
+
 def write_png(samples: np.ndarray, level: int = 1) -> bytes:
-    """A grey 8-bit PNG. Rows are stored unfiltered, which suits text better than differences."""
+    """A grey 8-bit PNG. Each row takes the filter whose differences are least in sum, as signed numbers; of equal ones the first."""
     rows, width = samples.shape
-    raw = np.zeros((rows, width + 1), dtype=np.uint8)
-    raw[:, 1:] = samples
+    x = samples.astype(np.int16)
+    left, above, corner = np.zeros_like(x), np.zeros_like(x), np.zeros_like(x)
+    left[:, 1:], above[1:], corner[1:, 1:] = x[:, :-1], x[:-1], x[:-1, :-1]
+    rest = np.stack([(x - predicted(k, left, above, corner)).astype(np.uint8) for k in range(5)])
+    kinds = np.abs(rest.view(np.int8).astype(np.int16)).sum(axis=2, dtype=np.int64).argmin(axis=0)
+    raw = np.empty((rows, width + 1), dtype=np.uint8)
+    raw[:, 0], raw[:, 1:] = kinds, rest[kinds, np.arange(rows)]
     return SIGNATURE + chunk(b"IHDR", struct.pack(">IIBBBBB", width, rows, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw.tobytes(), level)) + chunk(b"IEND", b"")
 
 
@@ -63,38 +83,48 @@ def chunks(png: bytes):
     raise ValueError("no end chunk")
 
 
-def unfilter(kinds: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Undo the filters of 8-bit grey rows: 0 none, 1 left, 2 above, 3 mean of both, 4 nearest predictor."""
-    if not kinds.any():
-        return rows
-    out, above = np.empty_like(rows), np.zeros(rows.shape[1], dtype=np.uint8)
-    for i, kind in enumerate(kinds.tolist()):
-        row = rows[i]
-        if kind == 0:
-            above = row
-        elif kind == 1:
-            above = np.cumsum(row, dtype=np.uint64).astype(np.uint8)
-        elif kind == 2:
-            above = row + above
-        elif kind in (3, 4):
-            left, corner, line = 0, 0, bytearray(len(row))
-            for j, (x, up) in enumerate(zip(row.tolist(), above.tolist(), strict=True)):
-                if kind == 3:
-                    guess = (left + up) >> 1
-                else:
-                    a, b, c = abs(up - corner), abs(left - corner), abs(left + up - 2 * corner)
-                    guess = left if a <= b and a <= c else up if b <= c else corner
-                left, corner = (x + guess) & 255, up
-                line[j] = left
-            above = np.frombuffer(bytes(line), dtype=np.uint8)
-        else:
-            raise ValueError(f"filter {kind}")
-        out[i] = above
+def unfilter(images: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """Undo the filters of 8-bit grey images of one width, each given as (kind of every row, rows).
+
+    Kinds: 0 none, 1 left, 2 above, 3 mean of both, 4 nearest of three. A sample needs its left, upper and
+    corner neighbours, which stand on the two diagonals before its own, so all samples of a diagonal are
+    undone at a time, those of all images together. Images without filters are given back as they are.
+    """
+    for kinds, _ in images:
+        if len(kinds) and kinds.max() > 4:
+            raise ValueError(f"filter {kinds.max()}")
+    some = [k for k, (kinds, _) in enumerate(images) if kinds.any()]
+    out = [rows for _, rows in images]
+    if not some:
+        return out
+    counts = np.array([len(out[k]) for k in some])
+    width = out[some[0]].shape[1]
+    begin = np.cumsum(counts + 1) - counts  # of each image, below a row of zeros
+    depth = np.concatenate([np.arange(n) for n in counts])
+    place = np.repeat(begin, counts) + depth
+    kinds = np.concatenate([images[k][0] for k in some])
+    rows = np.concatenate([out[k] for k in some])
+    # by depth, so that the rows of a diagonal stand together
+    order = np.argsort(depth, kind="stable")
+    depth, place, kinds, rows = depth[order], place[order], kinds[order], rows[order]
+    edges = np.searchsorted(depth, np.arange(counts.max() + 1))
+    done = np.zeros((int((counts + 1).sum()), width + 1), dtype=np.int16)
+    flat, line = done.reshape(-1), width + 1
+    for d in range(width + int(counts.max()) - 1):
+        low, high = edges[max(0, d - width + 1)], edges[min(int(counts.max()), d + 1)]
+        column = d - depth[low:high]
+        at = place[low:high] * line + column + 1
+        left, up, corner = flat[at - 1], flat[at - line], flat[at - line - 1]
+        kind = kinds[low:high]
+        guess = np.select([kind == 0, kind == 1, kind == 2, kind == 3], [0, left, up, (left + up) >> 1], predicted(4, left, up, corner))
+        flat[at] = (rows[np.arange(low, high), column] + guess) & 255
+    for k, b, n in zip(some, begin.tolist(), counts.tolist(), strict=True):
+        out[k] = done[b : b + n, 1:].astype(np.uint8)
     return out
 
 
-def read_png(png: bytes) -> np.ndarray:
-    """The samples of an 8-bit grey PNG, every checksum tested."""
+def filtered_rows(png: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The filter of every row and the rows as stored of an 8-bit grey PNG, every checksum tested."""
     head, body = None, []
     for kind, data in chunks(png):
         if kind == b"IHDR":
@@ -108,7 +138,12 @@ def read_png(png: bytes) -> np.ndarray:
     if len(flat) != rows * (width + 1):
         raise ValueError("wrong number of samples")
     raw = np.frombuffer(flat, dtype=np.uint8).reshape(rows, width + 1)
-    return unfilter(raw[:, 0], raw[:, 1:])
+    return raw[:, 0], raw[:, 1:]
+
+
+def read_png(png: bytes) -> np.ndarray:
+    """The samples of an 8-bit grey PNG."""
+    return unfilter([filtered_rows(png)])[0]
 
 
 def cosines(n: int, low: int) -> np.ndarray:
@@ -138,12 +173,12 @@ def feature(samples: np.ndarray) -> str:
 FIELDS = [("n_bytes", pa.int64(), "long"), ("media", pa.binary(), "binary"), ("payload", pa.binary(), "binary"), ("feature", pa.string(), "string")]
 
 
-def store(text: str) -> tuple:
-    """Unpadded length, the PNG, the payload as read back from the PNG, and its feature."""
-    data = text.encode("utf-8", "replace")
-    png = write_png(np.frombuffer(payload(data), dtype=np.uint8).reshape(-1, WIDTH))
-    samples = read_png(png)
-    return len(data), png, samples.tobytes(), feature(samples)
+def store(texts: list[str]) -> list[tuple]:
+    """Of every text: unpadded length, the PNG, the payload as read back from the PNG, and its feature."""
+    data = [text.encode("utf-8", "replace") for text in texts]
+    pngs = [write_png(np.frombuffer(payload(d), dtype=np.uint8).reshape(-1, WIDTH)) for d in data]
+    read = unfilter([filtered_rows(png) for png in pngs])
+    return [(len(d), png, samples.tobytes(), feature(samples)) for d, png, samples in zip(data, pngs, read, strict=True)]
 
 
 def media(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -168,9 +203,8 @@ def _mapped(docs: DataFrame, id_column: str, text_column: str, fields: list, fin
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):  # files of many texts at once would fill memory
-                part = batch.slice(at, 256)
-                rows = [finish(store(t)) for t in part.column(1).to_pylist()]
+            for part in slices(batch, "text"):  # files of many texts at once would fill memory
+                rows = [finish(row) for row in store(part.column(1).to_pylist())]
                 columns = [pa.array(c, kind) for c, (_, kind, _) in zip(zip(*rows, strict=True), fields, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", *[name for name, _, _ in fields]])
 
