@@ -8,8 +8,12 @@ byte lengths, laid end to end over the alignment, give each piece's span in the
 
 No piece of a model usually holds a word boundary inside it; merges then never cross one, so
 words are segmented once and remembered (a bounded table). Models that do have such pieces are
-segmented text by text. Nulls count as empty texts; an empty text has the end id alone.
-Repeated rows give repeated results and other columns are left alone.
+segmented text by text. Decoding is the library's own.
+
+Nulls count as empty texts; an empty text has the end id alone. Repeated rows give repeated results, null
+ids stay null, an empty table gives an empty table, and columns of any other name are left out. Of
+equally good merges the library takes the leftmost. Texts are taken in parts of bounded bytes, so
+memory is bounded by the longest text.
 """
 
 import hashlib
@@ -23,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
+from tidemark.llm.common import slices
 
 SPACE = "▁"
 #: Segmented words remembered by a Python worker at most (it starts anew when full).
@@ -85,7 +90,6 @@ class Pieces:
         self.names = [str(i) for i in range(len(pieces))]
         marks = np.array([0 if k == 6 else p.count(SPACE) for p, k in zip(pieces, kinds, strict=True)], dtype=np.int64)
         self.plain_lengths = self.lengths - marks * (len(SPACE.encode()) - 1)
-        self.surfaces = [bytes([int(p[3:-1], 16)]) if k == 6 else b"" if k == 3 else p.replace(SPACE, " ").encode() for p, k in zip(pieces, kinds, strict=True)]
         self.end = self.library.eos_id()
         usual = [p for p, k in zip(pieces, kinds, strict=True) if k == 1]
         own = any(k == 4 for k in kinds)
@@ -190,12 +194,9 @@ class Pieces:
             out.append((f"{said} {self.end}" if said else str(self.end), np.append(ids, np.int32(self.end)), np.append(begins, n), np.append(ends, n)))
         return out
 
-    def decode(self, ids: np.ndarray) -> str:
-        """As the library decodes ids that an encoding gave."""
-        if not (self.plain and self.by_word):
-            return self.library.decode(ids.tolist())
-        text = b"".join(map(self.surfaces.__getitem__, ids.tolist())).decode("utf-8", "replace")
-        return text[1:] if text[:1] == " " else text
+    def decode(self, ids: list[np.ndarray]) -> list[str]:
+        """The texts that the library decodes ids to."""
+        return self.library.decode([x.tolist() for x in ids], num_threads=1) if ids else []
 
 
 def model_bytes(path: str | None = None) -> bytes:
@@ -220,14 +221,13 @@ def encode(docs: DataFrame, model: str | None = None, id_column: str = "doc_id",
         "ids": (pa.list_(pa.int32()), lambda pieces, r: r[1]),
         "begins": (pa.list_(pa.int64()), lambda pieces, r: r[2]),
         "ends": (pa.list_(pa.int64()), lambda pieces, r: r[3]),
-        "decoded": (pa.string(), lambda pieces, r: pieces.decode(r[1])),
+        "decoded": (pa.string(), lambda pieces, r: pieces.decode([r[1]])[0]),
     }
 
     def run(batches):
         pieces = Pieces(blob)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, "text"):
                 rows = pieces.encode_many(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([made[o][1](pieces, r) for r in rows], made[o][0]) for o in outputs]], ["doc_id", *outputs])
 
@@ -243,17 +243,17 @@ def digests(docs: DataFrame, model: str | None = None, id_column: str = "doc_id"
     blob = model_bytes(model)
     kept = docs.select(F.col(id_column).alias("doc_id"), common.text_or_empty(text_column).alias("text"))
 
-    def one(pieces: Pieces, said: str, ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple:
+    def one(said: str, ids: np.ndarray, begins: np.ndarray, ends: np.ndarray, decoded: str) -> tuple:
         gaps = int(np.maximum(begins[1:] - ends[:-1], 0).sum()) + int(begins[0]) if len(ids) > 1 else 0
         spans = np.stack([begins, ends]).astype("<i8").tobytes()
-        return len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(pieces.decode(ids).encode()).hexdigest(), gaps, hashlib.md5(spans).hexdigest()
+        return len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), gaps, hashlib.md5(spans).hexdigest()
 
     def run(batches):
         pieces = Pieces(blob)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows = [one(pieces, *r) for r in pieces.encode_many(part.column(1).to_pylist())]
+            for part in slices(batch, "text"):
+                found = pieces.encode_many(part.column(1).to_pylist())
+                rows = [one(*r, text) for r, text in zip(found, pieces.decode([r[1] for r in found]), strict=True)]
                 kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_uncovered", "spans_md5"])
 
