@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
-from tidemark.llm.phrases import Words, mixed, rolled, slices
+from tidemark.llm.common import slices
+from tidemark.llm.phrases import Words, mixed, rolled
 
 REGISTERS = 128
 BAND = 4
@@ -110,7 +111,7 @@ def signed(rows: DataFrame) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            for part in slices(batch, 256):
+            for part in slices(batch, "text"):
                 texts = part.column("text").to_pylist()
                 owner, values, counts = shingles(texts)
                 marks = signatures(owner, values, weigh(counts), len(texts))
@@ -127,7 +128,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 64):
+            for part in slices(batch, ("x", "y"), 64):
                 both = part.column("x").to_pylist() + part.column("y").to_pylist()
                 owner, values, counts = shingles(both)
                 edges = np.searchsorted(owner, np.arange(len(both) + 1))
@@ -160,7 +161,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 256):
+            for part in slices(batch, "text"):
                 owner, values, counts = shingles(part.column("text").to_pylist())
                 edges = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
                 sets, weights = [], []

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
+from tidemark.llm.common import slices
 
 WINDOW = 13
 ANCHOR = 7
@@ -129,17 +130,12 @@ class Windows(Words):
         return rolled(h, WINDOW, 0xAF251AF3B0F025B5 + 2 * salt)[self.place[chosen]].view(np.int64)
 
 
-def slices(batch: pa.RecordBatch, rows: int = 512):
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
-
-
 def anchors_of(docs: DataFrame) -> DataFrame:
     """(doc, anchors): each document's distinct anchors."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, "text", 512):
                 w = Windows(part.column("text").to_pylist())
                 new = w.changes()
                 counts = np.bincount(w.owner[new], minlength=part.num_rows)
@@ -185,7 +181,7 @@ def confirmed(hot: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 256):
+            for part in slices(batch, "text"):
                 w = Windows(part.column("text").to_pylist())
                 keep, _ = among(w.owner, w.anchor, part.column("anchors"))
                 ids = part.column("doc").to_numpy(zero_copy_only=False)
@@ -208,7 +204,7 @@ def runs(hot: DataFrame, shards: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 256):
+            for part in slices(batch, "text"):
                 w = Windows(part.column("text").to_pylist())
                 keep, where = among(w.owner, w.anchor, part.column("anchors"))
                 copies = part.column("copies").flatten().to_numpy()[where].astype(np.int64)
@@ -222,9 +218,11 @@ def runs(hot: DataFrame, shards: int) -> DataFrame:
                 last = np.append(begins[1:], len(keep)) - 1 if len(begins) else begins
                 ids, hs = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "h"))
                 n, streamed = copies[begins], stream[begins]
+                # by id and text, so that the copies of one text go to different shards
+                dealt = (mixed(ids.view(np.uint64) + mixed(hs.view(np.uint64))) >> np.uint64(2)).astype(np.int64)
                 many = np.where(streamed, 1, n)
                 row = np.repeat(np.arange(len(begins)), many)
-                copy = np.where(streamed[row], hs[owner[begins]][row] % np.maximum(n[row], 1), np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many))
+                copy = np.where(streamed[row], dealt[owner[begins]][row] % np.maximum(n[row], 1), np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many))
                 key = mixed(anchor[begins][row].view(np.uint64) + mixed(copy.astype(np.uint64) + np.uint64(1)))
                 texts = [w.data[b:e] for b, e in zip(w.start[w.place[keep[begins]]].tolist(), w.end[w.place[keep[last]] + WINDOW - 1].tolist(), strict=True)]
                 columns = [(key % np.uint64(shards)).astype(np.int32), streamed[row].astype(np.int32), ids[owner[begins]][row], hs[owner[begins]][row], at[begins][row].astype(np.int32), pa.array(texts, pa.binary()).take(pa.array(row, pa.int64()))]
