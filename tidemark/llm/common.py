@@ -56,7 +56,7 @@ def workspace(keep_last: bool = True):
             OPEN[-1].extend(kept)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write a step's table to the shared folder and read it back.
 
     This cuts lineage so that a lost executor costs one step, and lets Spark drop the step's
@@ -68,7 +68,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(key, None)
     spark.conf.set(key, "true")
     try:
-        df.write.parquet(at)
+        df.write.option("compression", compression).parquet(at)
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     out = spark.read.schema(df.schema).parquet(at)

@@ -8,15 +8,14 @@ line (by doc_id, then place) has a Jaccard of the threshold or more with it; lin
 2. Rarity. The words of all these lines are counted in a sketch of fixed size (words share counters),
    which orders all tokens, rarest first, ties by hash. Any one order gives exact results; this one
    makes the rare ones come first.
-3. Witnesses. Lines with the same least token hash (as near copies mostly have) are compared with the
-   first of them alone. Those that it removes need no other witness, so that a group of near copies
-   costs one pair a copy and not one for every two.
+3. Witnesses. Lines with the same least or greatest token hash (as near copies mostly have) are compared
+   with the first of them alone. Those that it removes need no other witness, so that a group of near
+   copies costs one pair a copy and not one for every two.
 4. Index. A line is indexed under the tokens of its prefix: two lines at or over the threshold share one
    (the smaller by the shorter prefix that suffices for it). Pairs from this join must also pass the
    length filter, the positional filter, which bounds the overlap by what is left after the shared
    token's places, and a parity map, which bounds the difference; two lines that are both removed
-   already are no pair. Then the shared tokens of both prefixes are counted, which bounds the overlap
-   by what is left after the prefix that ends first.
+   already are no pair.
 5. Surviving pairs are verified by the exact Jaccard of their words; the later line of a pair goes.
 
 Tokens travel as 63-bit numbers: 7 bits of rarity over 56 bits of hash; two lines are taken for equal
@@ -39,8 +38,8 @@ from tidemark.llm import common
 
 #: Counters of the rarity sketch (a power of two) and how many of them travel in a row.
 COUNTERS, CHUNK = 1 << 16, 1 << 12
-#: Lines of more tokens have no parity map: its bits would be used up.
-MAPPED = 240
+#: Lines of more tokens have a parity map of two words, as the bits of one would be used up.
+WIDE = 100
 #: Steps of rarity for each doubling of a count; 127 of them in all.
 STEPS = 3
 LAST = 2**63 - 1
@@ -88,10 +87,16 @@ def tokenised(lines: DataFrame, ranks: Column, share: int) -> DataFrame:
     hashes = F.transform(words_in(F.col("string")), lambda w: F.xxhash64(w))
     keys = F.transform("hashes", lambda x: F.get(ranks, x.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(x, 8)))
     place = ["sid", "sid2", "doc", "h", "line"]
-    sets = lines.select(*place, hashes.alias("hashes")).select(*place, F.array_min("hashes").alias("mh"), F.sort_array(F.array_distinct(keys)).alias("keys"))
-    parity = F.aggregate("keys", F.lit(0).cast("long"), lambda bits, k: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
+    sets = lines.select(*place, hashes.alias("hashes")).select(*place, F.array(F.array_min("hashes"), F.array_max("hashes")).alias("ends"), F.sort_array(F.array_distinct(keys)).alias("keys"))
     size = F.size("keys")
-    return sets.select(*place, size.alias("n"), F.when(size <= MAPPED, parity).otherwise(0).alias("bits"), "mh", F.slice("keys", F.lit(1), begun(size, share)).alias("prefix"))
+    sets = sets.select("*", F.when(size > WIDE, F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) != 0)).otherwise(F.array().cast("array<bigint>")).alias("odd"))
+    sets = sets.select("*", F.when(size > WIDE, F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) == 0)).otherwise(F.col("keys")).alias("even"))
+    return sets.select(*place, size.alias("n"), parity("even").alias("bits"), parity("odd").alias("bits2"), "ends", F.slice("keys", F.lit(1), begun(size, share)).alias("prefix"))
+
+
+def parity(keys: str) -> Column:
+    """64 bits, each set if an odd number of tokens hashes to it."""
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda bits, k: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def begun(n: Column, share: int) -> Column:
@@ -99,24 +104,21 @@ def begun(n: Column, share: int) -> Column:
     return (n - F.call_function("div", n * share + 999, F.lit(1000)) + 1).cast("int")
 
 
-def close(na: Column, nb: Column, ba: str, bb: str, share: int) -> Column:
-    """Length and parity: a bit that differs stands for a token that one line lacks; only so many may."""
+def close(na: Column, nb: Column, share: int) -> Column:
+    """Length and parity: a bit that differs stands for a token that one line lacks; only so many may.
+
+    A map of two words folds into the map of one, for pairs of which one line has one word alone.
+    """
     length = F.least(na, nb) * 1000 >= F.greatest(na, nb) * share
-    return length & ((F.greatest(na, nb) > MAPPED) | (F.bit_count(F.col(ba).bitwiseXOR(F.col(bb))) * (1000 + share) <= (na + nb) * (1000 - share)))
+    first, second = F.col("ba").bitwiseXOR(F.col("bb")), F.col("ca").bitwiseXOR(F.col("cb"))
+    differ = F.when(F.least(na, nb) > WIDE, F.bit_count(first) + F.bit_count(second)).otherwise(F.bit_count(first.bitwiseXOR(second)))
+    return length & (differ * (1000 + share) <= (na + nb) * (1000 - share))
 
 
 def renamed(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[F.col(c).alias(n) for c, n in names.items()])
 
 
-def near_by_prefix(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """The pairs (a, b) that may still reach the threshold when the tokens both prefixes share are counted."""
-    own = sets.select("sid", "n", "prefix").join(members(pairs), "sid")
-    both = pairs.join(renamed(own, sid="a", n="na", prefix="x"), "a").join(renamed(own, sid="b", n="nb", prefix="y"), "b")
-    rest = F.when(F.element_at("x", -1) <= F.element_at("y", -1), F.col("na") - F.size("x")).otherwise(F.col("nb") - F.size("y"))
-    return common.staged(both.where((F.size(F.array_intersect("x", "y")) + rest) * (1000 + share) >= (F.col("na") + F.col("nb")) * share).select("a", "b"), "line-near")
-
-
 def members(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
 
@@ -133,30 +135,30 @@ def beaten(pairs: DataFrame, lines: DataFrame, share: int) -> DataFrame:
 
 
 def witnessed(sets: DataFrame, share: int) -> DataFrame:
-    """Pairs (a, b) of each line and the first line with its least token hash, where they can be alike."""
-    slim = sets.select("mh", "doc", "h", "line", "sid", "n", "bits")
-    leads = slim.groupBy("mh").agg(F.min(F.struct("doc", "h", "line", "sid", "n", "bits")).alias("lead"), F.count("*").alias("many")).where("many > 1")
-    leads = leads.select("mh", F.col("lead.sid").alias("a"), F.col("lead.n").alias("na"), F.col("lead.bits").alias("ba"))
-    met = renamed(slim, mh="mh", sid="b", n="nb", bits="bb").join(leads, "mh")
-    return common.staged(met.where((F.col("a") != F.col("b")) & close(F.col("na"), F.col("nb"), "ba", "bb", share)).select("a", "b"), "line-pairs")
+    """Pairs (a, b) of each line and the first line with its least or greatest token hash, where they can be alike."""
+    slim = sets.select(F.explode("ends").alias("end"), "doc", "h", "line", "sid", "n", "bits", "bits2")
+    leads = slim.groupBy("end").agg(F.min(F.struct("doc", "h", "line", "sid", "n", "bits", "bits2")).alias("lead"), F.count("*").alias("many")).where("many > 1")
+    leads = leads.select("end", F.col("lead.sid").alias("a"), F.col("lead.n").alias("na"), F.col("lead.bits").alias("ba"), F.col("lead.bits2").alias("ca"))
+    met = renamed(slim, end="end", sid="b", n="nb", bits="bb", bits2="cb").join(leads, "end")
+    return common.staged(met.where((F.col("a") != F.col("b")) & close(F.col("na"), F.col("nb"), share)).select("a", "b").distinct(), "line-pairs")
 
 
 def indexed(sets: DataFrame, lost: DataFrame, share: int) -> DataFrame:
     """Pairs (a, b) of lines that share a token of their prefixes, one of them not in lost, where they can be alike."""
     marked = sets.join(lost.select("sid", "sid2", F.lit(1).alias("gone")), ["sid", "sid2"], "left")
-    index = marked.select("sid", "n", "bits", F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("at", "token"))
+    index = marked.select("sid", "n", "bits", "bits2", F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("at", "token"))
     n, at = F.col("n"), F.col("at")
     # a, the smaller line, is found by a shorter prefix: up to what the least overlap with a line of its own size leaves
     short = at < n - F.call_function("div", n * (2 * share) + (999 + share), F.lit(1000 + share)) + 1
     # one number holds a line's tokens and the token's place (28 bits each), whether that is in the shorter prefix and whether the line is removed
     shape = F.shiftleft(n.cast("long"), 30).bitwiseOR(F.shiftleft(at.cast("long"), 2)).bitwiseOR((F.when(short, 2).otherwise(0) + F.col("gone")).cast("long"))
-    index = index.select("token", "sid", shape.alias("shape"), "bits")
-    a, b = renamed(index, token="token", sid="a", shape="va", bits="ba"), renamed(index, token="token", sid="b", shape="vb", bits="bb")
+    index = index.select("token", "sid", shape.alias("shape"), "bits", "bits2")
+    a, b = renamed(index, token="token", sid="a", shape="va", bits="ba", bits2="ca"), renamed(index, token="token", sid="b", shape="vb", bits="bb", bits2="cb")
     va, vb = F.col("va"), F.col("vb")
     flag = lambda v, bit: v.bitwiseAND(F.lit(bit))
     (na, ia), (nb, ib) = ((F.shiftright(v, 30).cast("int"), F.shiftright(v, 2).bitwiseAND(F.lit(2**28 - 1)).cast("int")) for v in (va, vb))
     # vb & 0 is 0: it keeps the test in the join, so that both sides read one exchange
-    near = (flag(va, 2) > flag(vb, 0)) & ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & close(na, nb, "ba", "bb", share)
+    near = (flag(va, 2) > flag(vb, 0)) & ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & close(na, nb, share)
     near = near & (F.least(na - ia, nb - ib) * (1000 + share) >= (na + nb) * share) & (flag(va, 1) + flag(vb, 1) < 2)
     return common.staged(a.join(b, "token").where(near).select("a", "b").distinct(), "line-pairs")
 
@@ -165,10 +167,10 @@ def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFra
     """(doc, h, kept): the places of the lines with words that stay, of every document that has some."""
     with common.workspace():
         share = round(threshold * 1000)
-        lines = common.staged(equal_lines(rows_of(docs)), "line-firsts")
+        lines = common.staged(equal_lines(rows_of(docs)), "line-firsts", "zstd")
         sets = common.staged(tokenised(lines, rarity(lines), share), "line-sets")
         lost = beaten(witnessed(sets, share), lines, share)
-        more = beaten(near_by_prefix(indexed(sets, lost, share), sets, share), lines, share)
+        more = beaten(indexed(sets, lost, share), lines, share)
         kept = sets.select("sid", "sid2", "doc", "h", "line").join(lost.union(more), ["sid", "sid2"], "left_anti")
         return common.staged(kept.groupBy("doc", "h").agg(F.collect_list("line").alias("kept")), "line-kept")
 
