@@ -39,7 +39,7 @@ from tidemark.llm import common
 from tidemark.llm.common import slices
 
 #: Labelled documents that are learnt from, at most.
-EXAMPLES = 20_000
+EXAMPLES = 10_000
 NEIGHBOURS = 15
 #: Examples in a block, and frequent words that are bounded by block before they are summed.
 BLOCK, COMMON = 128, 256
@@ -166,8 +166,11 @@ class Model:
         """A key and the model as bytes: words, term numbers as steps within an example, counts; numbers byte by byte, which packs well."""
         if counted is not None:
             places, terms, counts, labels, ids, idf = counted
-            steps = np.where(np.diff(places, prepend=-1) > 0, terms, np.diff(terms, prepend=0)).astype("<i4")
-            counted = (np.bincount(places, minlength=len(ids)).astype("<i4"), *[x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in (steps, counts.astype("<i4"))], labels, ids, idf.astype(np.float64))
+            terms = np.asarray(terms, dtype="<i4")
+            steps = np.diff(terms, prepend=np.int32(0))
+            first = np.flatnonzero(np.diff(places, prepend=-1))
+            steps[first] = terms[first]
+            counted = (np.bincount(places, minlength=len(ids)).astype("<i4"), *[x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in (steps.astype("<i4"), counts.astype("<i4"))], labels, ids, idf.astype(np.float64))
         return uuid.uuid4().hex, zlib.compress(pickle.dumps(("\n".join(words).encode("utf-8", "surrogatepass"), counted, rate, none)), 6)
 
     @staticmethod
@@ -291,35 +294,43 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> tuple[st
     """Count the sample's words over all documents, weigh them, index and calibrate the sample: the packed model and its curve."""
     with common.workspace(keep_last=False):
         rows = common.staged(counted(sample(docs, labels, limit)), "toxic-sample")
-        small = rows.toArrow().combine_chunks().sort_by("doc_id")
-        n = small.num_rows
+        sizes = F.size("words")
+        n, toxic, silent, silent_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.when(sizes == 0, 1)), F.coalesce(F.sum(F.when(sizes == 0, F.col("toxic"))), F.lit(0))).first()
         if not n:
             return *Model.packed([], None, 0.0, 0.0), (1.0, 0.0)
-        toxic = small["toxic"].to_numpy()
-        rate = (toxic.sum() + 0.5) / (n + 1)
-        sizes = small["words"].combine_chunks().value_lengths().to_numpy()
-        none = float((toxic[sizes == 0].sum() + rate) / ((sizes == 0).sum() + 1))
-        words = small["words"].combine_chunks().flatten().dictionary_encode()
-        if not len(words):
+        rate = (toxic + 0.5) / (n + 1)
+        none = float((silent_toxic + rate) / (silent + 1))
+        # frequent words get the small numbers: this packs well
+        words = rows.select(F.explode("words").alias("word"), "toxic").groupBy("word").agg(F.count("*").alias("held"), F.sum("toxic").alias("bad")).toArrow().sort_by([("held", "descending"), ("word", "ascending")])
+        if not words.num_rows:
             return *Model.packed([], None, rate, none), (1.0, 0.0)
-        places, at = np.repeat(np.arange(n), sizes), words.indices.to_numpy()
-        counts = small["counts"].combine_chunks().flatten().to_numpy()
-        # frequent words get the small numbers and stand first in their examples: this packs well
-        held = np.bincount(at, minlength=len(words.dictionary))
-        order = np.argsort(-held, kind="stable")
-        names = words.dictionary.take(pa.array(order)).to_pylist()
-        number = np.empty(len(order), dtype=np.int64)
-        number[order] = np.arange(len(order))
-        sort = np.lexsort((number[at], places))
-        places, at, counts, held = places[sort], number[at][sort], counts[sort], held[order]
-        bad = np.bincount(at, toxic[places], len(names))
-        idf = np.log((1 + docs.count()) / (1 + frequencies(docs, names))) + 1
-        weight = idf * telling(bad, held, rate)
-        key, data = Model.packed(names, (places, at, counts, toxic, small["doc_id"].to_numpy(), weight), rate, none)
+        held, bad, names = words["held"].to_numpy(), words["bad"].to_numpy(), words["word"].to_pylist()
+        del words
+        weight = (np.log((1 + docs.count()) / (1 + frequencies(docs, names))) + 1) * telling(bad, held, rate)
+        key, data = Model.packed(names, (*postings(rows, names), weight), rate, none)
+        del names, weight
         found = votes(rows, key, data)
         return key, data, fitted([v for _, v, _ in found], [y for _, _, y in found])
 
 
+def postings(rows: DataFrame, names: list) -> tuple:
+    """places, terms, counts, labels and ids of the examples by id, terms in order within each; numbers alone reach the driver."""
+    data = zlib.compress("\n".join(names).encode("utf-8", "surrogatepass"), 6)
+
+    def run(batches):
+        terms = {w: i for i, w in enumerate(zlib.decompress(data).decode("utf-8", "surrogatepass").split("\n"))}
+        for batch in batches:
+            found = [sorted(zip([terms[w] for w in words], counts, strict=True)) for words, counts in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
+            lists = [pa.array([[x[k] for x in f] for f in found], pa.list_(pa.int32())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *lists], ["doc_id", "toxic", "terms", "counts"])
+
+    small = rows.select("doc_id", "toxic", "words", "counts").mapInArrow(run, "doc_id long, toxic int, terms array<int>, counts array<int>").toArrow().sort_by("doc_id").combine_chunks()
+    terms = small["terms"].combine_chunks()
+    sizes = terms.value_lengths().to_numpy()
+    places = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    return places, terms.flatten().to_numpy(), small["counts"].combine_chunks().flatten().to_numpy(), small["toxic"].to_numpy(), small["doc_id"].to_numpy()
+
+
 def scored(docs: DataFrame, learnt: tuple[str, bytes, tuple]) -> DataFrame:
     """doc_id, score, predicted and the ids of the nearest examples of every row."""
     rows = docs.select("doc_id", common.text_or_empty().alias("text"))
