@@ -73,8 +73,9 @@ def test_dates(spark, value, want):
     ("Israel-Gaza war - live updates - BBC", "", ("Israel-Gaza war - live updates", "BBC")),
     (None, None, ("", "")),
 ])
-def test_titles(title, source, want):
-    assert mastheads.strip_name(title, source) == want
+def test_titles(spark, title, source, want):
+    got = mastheads.stripped(spark.createDataFrame([(title, source)], "title string, source string"), "title", "source").first()
+    assert (got.title, got.name) == want
 
 
 def test_feeds(spark):

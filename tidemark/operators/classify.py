@@ -96,5 +96,5 @@ def importance(n: Column, tier: Column, outcome: Column, future: Column, process
     one = lambda c, v: F.when(c, v).otherwise(0)
     spread = F.when(small_market, F.greatest(reach(n), F.lit(3))).otherwise(reach(n))
     stage = F.when(outcome & ~future, 8).when(process | future, 3).otherwise(0)
-    fresh = F.when(age <= window / 3, 2).when(age > window * 0.75, -2).otherwise(0)
+    fresh = F.when(age <= window / 3, 2).when(age > window * 4 / 3, -2).otherwise(0)
     return spread + F.least(F.lit(9), 3 * tier) + stage - one(comment, 2) + one(scale, 3) + one(source_tier, 4) + one(followed, 5) + F.least(F.lit(6), score) + F.coalesce(fresh, F.lit(0)) - one(signal_comment, 4) + one(signal_document, 4)

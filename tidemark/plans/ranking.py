@@ -71,9 +71,9 @@ def classify_documents(spark, sf_dir):
     return classed(spark, sf_dir).select("doc_id", "section", "score")
 
 
-#: Importance from what the corpus offers: length as outcome, marks as process, months by hash as age.
+#: Importance from what the corpus offers: length as outcome, marks as process, a remainder as age, beyond four thirds of the window.
 IMPORTANCE_SQL = f"""{CLASSED_SQL}, n AS (SELECT headline AS h, count(*) AS n FROM r GROUP BY 1),
-im AS (SELECT cl.*, n, CAST(CASE WHEN n > 1 THEN least(7, CAST(round(3 * log2(n)) AS INTEGER)) ELSE 0 END + least(9, 3 * (doc_id % 4)) + CASE WHEN n_chars > 4000 THEN 8 WHEN contains(headline, ',') THEN 3 ELSE 0 END - CASE WHEN contains(headline, '|') THEN 2 ELSE 0 END + CASE WHEN n_chars > 10000 THEN 3 ELSE 0 END + CASE WHEN source IN ('src0', 'src5') THEN 4 ELSE 0 END + CASE WHEN source = 'src7' THEN 5 ELSE 0 END + least(6, score) + CASE WHEN doc_id % 36 <= 12 THEN 2 WHEN doc_id % 36 > 27 THEN -2 ELSE 0 END AS INTEGER) AS importance FROM cl JOIN n ON h = headline)"""
+im AS (SELECT cl.*, n, CAST(CASE WHEN n > 1 THEN least(7, CAST(round(3 * log2(n)) AS INTEGER)) ELSE 0 END + least(9, 3 * (doc_id % 4)) + CASE WHEN n_chars > 4000 THEN 8 WHEN contains(headline, ',') THEN 3 ELSE 0 END - CASE WHEN contains(headline, '|') THEN 2 ELSE 0 END + CASE WHEN n_chars > 10000 THEN 3 ELSE 0 END + CASE WHEN source IN ('src0', 'src5') THEN 4 ELSE 0 END + CASE WHEN source = 'src7' THEN 5 ELSE 0 END + least(6, score) + CASE WHEN doc_id % 60 <= 12 THEN 2 WHEN doc_id % 60 > 48 THEN -2 ELSE 0 END AS INTEGER) AS importance FROM cl JOIN n ON h = headline)"""
 
 
 def important(spark, sf_dir):
@@ -83,7 +83,7 @@ def important(spark, sf_dir):
     no = F.lit(False)
     value = classify.importance(
         F.col("n"), F.col("doc_id") % 4, F.col("n_chars") > 4000, no, F.contains("headline", F.lit(",")), F.contains("headline", F.lit("|")), F.col("n_chars") > 10000,
-        F.col("source").isin("src0", "src5"), F.col("source") == "src7", F.col("score"), F.col("doc_id") % 36, F.lit(36), no, no, no,
+        F.col("source").isin("src0", "src5"), F.col("source") == "src7", F.col("score"), F.col("doc_id") % 60, F.lit(36), no, no, no,
     )
     return rows.withColumn("importance", value.cast("int"))
 
@@ -130,7 +130,7 @@ def quota_share_cap(spark, sf_dir):
 
 @query("section_cap", f"WITH {REGION_SQL}, d AS (SELECT o_orderkey, section, row_number() OVER (PARTITION BY section ORDER BY prio, o_orderkey) AS k FROM o) SELECT o_orderkey, k > CASE section WHEN 'F' THEN 400 ELSE 300 END AS cut FROM d")
 def section_cap(spark, sf_dir):
-    """WIN-03, WIN-04, WIN-10."""
+    """WIN-03, WIN-04."""
     cap = F.when(F.col("section") == "F", 400).otherwise(300)
     return select.section_capped(picked(spark, sf_dir), "section", ["prio", "o_orderkey"], cap).select("o_orderkey", "cut")
 
@@ -260,7 +260,7 @@ def sibling_texts(spark, sf_dir):
 
 @query("suppression_list", f"""SELECT doc_id, CASE WHEN contains(lower(text), 'all rights reserved') THEN 'furniture' WHEN n_chars < 60 THEN 'short' WHEN regexp_matches({HEADLINE_SQL}, '(?i){opening('erth|reth')}') AND NOT regexp_matches({HEADLINE_SQL}, '(?i){whole('that')}') THEN 'filler' END AS reason FROM documents""")
 def suppression_list(spark, sf_dir):
-    """FLT-09 to FLT-13: an ordered list of rules, a rescue inside one."""
+    """FLT-09: an ordered list of rules, a rescue inside one; desk.chaff_reasons has FLT-10 and FLT-11 whole."""
     docs = base.table(spark, sf_dir, "documents").withColumn("headline", T.headline(F.col("text")))
     rules = [("furniture", F.contains(F.lower("text"), F.lit("all rights reserved"))), ("short", F.col("n_chars") < 60), ("filler", classify.matches(F.col("headline"), opening("erth|reth")) & ~classify.matches(F.col("headline"), whole("that")))]
     return docs.select("doc_id", classify.suppressed(rules).alias("reason"))
