@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedupe import written
+from tidemark.operators.dedupe import discarded, written
 
 
 def stars(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -22,9 +22,11 @@ def stars(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
         won = written(undecided.join(blocked, "id", "left_anti"), "star-leaders")
         leaders = won if leaders is None else leaders.union(won)
         taken = live.join(won.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id"))
-        undecided = written(undecided.join(won, "id", "left_anti").join(taken, "id", "left_anti"), "star-left")
+        before, undecided = undecided, written(undecided.join(won, "id", "left_anti").join(taken, "id", "left_anti"), "star-left")
+        discarded(before)
         if undecided.isEmpty():
             break
+    discarded(undecided)
     lead = leaders.select(F.col("id").alias("a"))
     members = edges.join(lead, "a", "left_semi").join(leaders.select(F.col("id").alias("b")), "b", "left_anti").groupBy("b").agg(F.min("a").alias("lead"))
     return leaders.select("id", F.col("id").alias("lead")).union(members.select(F.col("b").alias("id"), "lead"))
@@ -33,15 +35,17 @@ def stars(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 def components(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, component): the least id of each connected component, by label passing with shortcuts."""
     both = written(pairs.select("a", "b").union(pairs.select("b", "a")).distinct(), "component-edges")
-    labels = written(nodes.select("id", F.col("id").alias("label")).distinct(), "component-labels")
+    table = labels = written(nodes.select("id", F.col("id").alias("label")).distinct(), "component-labels")
     while True:
         seen = both.join(labels, both["b"] == labels["id"]).groupBy(F.col("a").alias("id")).agg(F.min("label").alias("seen"))
         step = labels.join(seen, "id", "left").select("id", F.col("label").alias("was"), F.least("label", F.coalesce("seen", "label")).alias("label"))
         up = step.select(F.col("id").alias("label"), F.col("label").alias("above"))
         new = written(step.join(up, "label").select("id", "was", F.least("label", "above").alias("label")), "component-labels")
+        discarded(table)
         if new.where("label <> was").isEmpty():
+            discarded(both)
             return new.select("id", F.col("label").alias("component"))
-        labels = new.select("id", "label")
+        table, labels = new, new.select("id", "label")
 
 
 def headed(groups: DataFrame, sets: DataFrame, least: int) -> DataFrame:

@@ -6,18 +6,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write a round to the shared folder and read it back: a lost executor costs one round."""
-    spark = df.sparkSession
+def shared_dir(spark) -> str:
+    """The folder that spark.checkpoint.dir names; a temporary one only on a local master without the setting, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.tidemark.shared.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
         import tempfile
 
         folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.tidemark.shared.dir", folder)
-    at = f"{folder}/{label}-{uuid.uuid4().hex}"
+    return folder
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write a round to the shared folder and read it back: a lost executor costs one round."""
+    spark = df.sparkSession
+    at = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    out._written = at
+    return out
+
+
+def discarded(table: DataFrame) -> None:
+    """Delete a round's table that no later round and no result reads."""
+    session = table.sparkSession
+    path = session._jvm.org.apache.hadoop.fs.Path(table._written)
+    path.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def greedy(rows: DataFrame, id_column: str, order: list, keys: tuple[str, str]) -> DataFrame:
@@ -38,9 +54,11 @@ def greedy(rows: DataFrame, id_column: str, order: list, keys: tuple[str, str])
         won = written(undecided.join(m1, "k1").join(m2, "k2").where("rank = m1 AND rank = m2").select("id", "k1", "k2"), "greedy-kept")
         kept = won if kept is None else kept.unionByName(won)
         left = undecided.join(won.select("k1"), "k1", "left_anti").join(won.select("k2"), "k2", "left_anti")
-        undecided = written(left, "greedy-left")
+        before, undecided = undecided, written(left, "greedy-left")
+        discarded(before)
         if undecided.isEmpty():
             break
+    discarded(undecided)
     return rows.select(F.col(id_column).alias("id")).join(kept.select("id", F.lit(True).alias("kept")), "id", "left").select("id", F.coalesce("kept", F.lit(False)).alias("kept"))
 
 

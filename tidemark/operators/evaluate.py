@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.select import ranked
+
 
 def concordance(rows: DataFrame, edition: str, label: str, score: str) -> DataFrame:
     """Share of pairs with different labels that the score orders the same way, ties half, by edition.
@@ -24,16 +26,16 @@ def concordance(rows: DataFrame, edition: str, label: str, score: str) -> DataFr
 
 
 def precision_at(rows: DataFrame, edition: str, order: list, hit: str, k: int = 40) -> DataFrame:
+    """Share of hits among the first k of an edition; every task keeps its first k before the shuffle."""
     place = F.row_number().over(Window.partitionBy(edition).orderBy(*order))
     return rows.withColumn("__n", place).where(F.col("__n") <= k).groupBy(edition).agg(F.avg(F.col(hit).cast("double")).alias("precision"))
 
 
 def recall_in_top(rows: DataFrame, edition: str, order: list, hit: str, parts: int = 10) -> DataFrame:
     """Share of the hits that stand in the first tenth of an edition."""
-    place = F.row_number().over(Window.partitionBy(edition).orderBy(*order))
-    size = F.count("*").over(Window.partitionBy(edition))
+    sizes = rows.groupBy(edition).agg(F.count("*").alias("__all"))
+    marked = ranked(rows, [edition], order, "__n").join(sizes, edition)
     top = (F.col("__n") <= F.floor(F.col("__all") / parts)) & F.col(hit)
-    marked = rows.withColumn("__n", place).withColumn("__all", size)
     return marked.groupBy(edition).agg((F.count(F.when(top, 1)) / F.count(F.when(F.col(hit), 1))).alias("recall"))
 
 

@@ -30,3 +30,12 @@ def furniture_runs(rows: DataFrame, id_column: str, host: str, text: str, known:
     hits = spread.join(known.select("host", "gram"), ["host", "gram"], "left_semi").select("id", F.explode(F.sequence(F.col("at"), F.col("at") + (n - 1))).alias("word")).distinct()
     island = F.col("word") - F.row_number().over(Window.partitionBy("id").orderBy("word"))
     return hits.withColumn("island", island).groupBy("id", "island").agg(F.min("word").alias("begin"), F.count("*").alias("length")).where(F.col("length") >= least_run).drop("island")
+
+
+def bridged(runs: DataFrame, most: int = BRIDGE) -> DataFrame:
+    """(id, begin, length): runs with at most `most` words between them are one cut, those words included."""
+    each = Window.partitionBy("id").orderBy("begin")
+    gap = F.col("begin") - F.lag(F.col("begin") + F.col("length")).over(each)
+    marked = runs.withColumn("new", F.when(gap <= most, 0).otherwise(1)).withColumn("cut", F.sum("new").over(each))
+    ends = marked.groupBy("id", "cut").agg(F.min("begin").alias("begin"), F.max(F.col("begin") + F.col("length")).alias("end"))
+    return ends.select("id", "begin", (F.col("end") - F.col("begin")).alias("length"))

@@ -12,18 +12,28 @@ def distinctive(today: DataFrame, past: DataFrame, names: str, low: int = 2, hig
     return both.groupBy("word").agg(F.count("*").alias("df")).where(F.col("df").between(low, high)).select("word")
 
 
+def rarer(rows: DataFrame, key: str, words: str, df: DataFrame, without: int = min(WITH_NAME, ENOUGH) - 1) -> DataFrame:
+    """(key, word) without the most frequent words of each row, ties by word."""
+    counted = rows.select(key, F.explode(words).alias("word")).join(df, "word").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("all"))
+    return counted.select(key, F.explode(F.slice("all", F.lit(1), F.greatest(F.size("all") - without, F.lit(0)))).alias("x")).select(key, "x.word")
+
+
 def ran_before(today: DataFrame, past: DataFrame, key: str, words: str, names: str, edition: str, known: DataFrame | None = None, veto: Column | None = None) -> DataFrame:
     """(key, past_id, edition, shared): each row's latest match.
 
     Two headlines match if they share 0.55 of the smaller set, when that has four words, or five words,
     or a distinctive name and three words. Every arm needs three shared words or a ratio of a set of four
-    (three words), so rows meet under words; names only add to pairs that share words already.
+    (three words), so rows meet under words; names only add to pairs that share words already. Of three
+    shared words one is not among the two most frequent of either side, so these two are left out of the
+    search and shared words are counted on the pairs it finds.
     """
+    both = today.select(F.explode(words).alias("word")).unionByName(past.select(F.explode(words).alias("word")))
+    df = both.groupBy("word").agg(F.count("*").alias("df"))
     a = today.select(F.col(key), F.col(words).alias("wa"), F.col(names).alias("na"))
     b = past.select("past_id", F.col(edition).alias("edition"), F.col(words).alias("wb"), F.col(names).alias("nb"))
-    left, right = a.select(key, F.explode("wa").alias("word")), b.select("past_id", F.explode("wb").alias("word"))
-    candidates = left.join(right, "word").groupBy(key, "past_id").agg(F.count("*").cast("int").alias("shared")).where(f"shared >= {min(WITH_NAME, ENOUGH)}")
-    pairs = candidates.join(a, key).join(b, "past_id")
+    left, right = rarer(a, key, "wa", df), rarer(b, "past_id", "wb", df)
+    met = left.join(right, "word").select(key, "past_id").distinct()
+    pairs = met.join(a, key).join(b, "past_id").withColumn("shared", F.size(F.array_intersect("wa", "wb"))).where(F.col("shared") >= min(WITH_NAME, ENOUGH))
     small = F.least(F.size("wa"), F.size("wb"))
     linked = ((small >= LEAST_WORDS) & (F.col("shared") >= F.lit(RATIO) * small)) | (F.col("shared") >= ENOUGH)
     if known is not None:

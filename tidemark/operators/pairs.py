@@ -26,14 +26,26 @@ def overlapping(rows: DataFrame, id_column: str, words: str, labels: tuple, unco
     """(a, b, shared) with a < b: pairs whose word sets overlap enough.
 
     Two sets overlap enough if what they share (without format labels) is 0.55 of the smaller set or
-    five words, and at least one shared word is not common. That word makes the blocking complete:
-    rows meet only under words that are uncommon and not labels, each of bounded frequency.
+    five words, and at least one shared word is not common. The smaller set of n words thus needs
+    min(5, ceil(0.55 n)) shared ones. Words are ordered from the rarest; of so many shared words the
+    rarest stands, in both sets, before the last need - 1 words, and it is not common if any is. So rows
+    meet under these words alone, the smaller set under its own need, the larger under every need up to
+    its own; frequent words of a set fall out of the search.
     """
     sets = rows.select(F.col(id_column).alias("id"), F.col(words).alias("w")).where(F.size("w") >= least_words)
-    spread = sets.select("id", F.explode("w").alias("word")).where(~F.col("word").isin(*labels)) if labels else sets.select("id", F.explode("w").alias("word"))
-    blocked = spread.join(uncommon.select("word"), "word", "left_semi")
-    a, b = blocked.select("word", F.col("id").alias("a")), blocked.select("word", F.col("id").alias("b"))
-    candidates = a.join(b, "word").where("a < b").select("a", "b").distinct()
+    counts = word_counts(sets, "w").join(uncommon.select("word", F.lit(True).alias("rare")), "word", "left")
+    spread = sets.select("id", F.size("w").alias("n"), F.explode("w").alias("word"))
+    spread = spread.where(~F.col("word").isin(*labels)) if labels else spread
+    order = F.struct(F.coalesce("rare", F.lit(False)).alias("rare"), "df", "word")
+    told = spread.join(counts, "word").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct((~order["rare"]).alias("common"), "df", "word"))).alias("all"))
+    need = F.least(F.lit(ENOUGH), F.ceil(F.col("n") * F.lit(RATIO) - F.lit(1e-9)).cast("int"))
+    told = told.withColumn("need", need)
+    before = lambda k: F.filter(F.slice("all", F.lit(1), F.greatest(F.size("all") - k + 1, F.lit(0))), lambda x: ~x["common"])
+    small = told.select("id", "n", "need", F.explode(before(F.col("need"))).alias("x")).select("x.word", "need", F.col("id").alias("s"), F.col("n").alias("ns"))
+    large = told.select("id", "n", "all", F.explode(F.expr("sequence(1, need)")).alias("need"))
+    large = large.select("id", "n", "need", F.explode(before(F.col("need"))).alias("x")).select("x.word", "need", F.col("id").alias("l"), F.col("n").alias("nl"))
+    met = small.join(large, ["word", "need"]).where((F.col("s") != F.col("l")) & (F.col("ns") <= F.col("nl")))
+    candidates = met.select(F.least("s", "l").alias("a"), F.greatest("s", "l").alias("b")).distinct()
     x, y = sets.select(F.col("id").alias("a"), F.col("w").alias("wa")), sets.select(F.col("id").alias("b"), F.col("w").alias("wb"))
     both = F.array_except(F.array_intersect("wa", "wb"), F.array(*[F.lit(v) for v in labels])) if labels else F.array_intersect("wa", "wb")
     joined = candidates.join(x, "a").join(y, "b").select("a", "b", F.size(both).alias("shared"), F.least(F.size("wa"), F.size("wb")).alias("small"))

@@ -14,8 +14,8 @@ QUERIES: dict = {}
 SQL: dict = {}
 query = partial(base.register, QUERIES, SQL)
 
-LABELS = tuple(sorted({"opinion", "comment", "commentary", "analysi", "editorial", "column", "podcast", "listen"}))
-#: Words of more rows than this block nothing: they are common from here on.
+#: Format labels as they stand in stemmed words: each without a last s, where it has one.
+LABELS = tuple(sorted({x.removesuffix("s") for x in T.FORMAT_LABELS}))
 PAIR_SQL = f"""WITH {ROWS_SQL}, df AS (SELECT word, count(*) AS df FROM (SELECT unnest(w) AS word FROM sig) GROUP BY word),
 unc AS (SELECT word FROM df WHERE df < greatest(15.0, {pairs.COMMON_SHARE} * (SELECT count(*) FROM documents))),
 ex AS (SELECT doc_id, unnest(w) AS word FROM sig WHERE len(w) >= 3), bl AS (SELECT * FROM ex WHERE word IN (SELECT word FROM unc) AND word NOT IN ({base.quoted(LABELS)})),
@@ -175,9 +175,17 @@ def host_ngram_furniture(spark, sf_dir):
 isl AS (SELECT doc_id, word, word - row_number() OVER (PARTITION BY doc_id ORDER BY word) AS i FROM hits)
 SELECT doc_id AS id, CAST(min(word) AS INTEGER) AS "begin", count(*) AS length FROM isl GROUP BY doc_id, i HAVING count(*) >= 10""")
 def furniture_runs(spark, sf_dir):
-    """WIN-09: runs of learned furniture, ten words at least."""
+    """WIN-09's runs of learned furniture, ten words at least; furniture_cuts joins them."""
     docs = base.table(spark, sf_dir, "documents")
     known = written(furniture.learned(docs, "source", "text", 3, 0.0), "furniture")
     return furniture.furniture_runs(docs, "doc_id", "source", "text", known)
 
 
+@query("furniture_cuts", GRAM_SQL + """, hits AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 6)) AS word FROM g JOIN df ON df.host = g.source AND df.gram = g.gram),
+isl AS (SELECT doc_id, word, word - row_number() OVER (PARTITION BY doc_id ORDER BY word) AS i FROM hits),
+r AS (SELECT doc_id, min(word) AS b, max(word) + 1 AS e FROM isl GROUP BY doc_id, i HAVING count(*) >= 10),
+m AS (SELECT *, sum(CASE WHEN b - p <= 3 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY b) AS c FROM (SELECT *, lag(e) OVER (PARTITION BY doc_id ORDER BY b) AS p FROM r))
+SELECT doc_id AS id, CAST(min(b) AS INTEGER) AS "begin", max(e) - min(b) AS length FROM m GROUP BY doc_id, c""")
+def furniture_cuts(spark, sf_dir):
+    """WIN-09: runs with up to three words between them are one cut."""
+    return furniture.bridged(furniture_runs(spark, sf_dir))

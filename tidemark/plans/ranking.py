@@ -138,16 +138,15 @@ def section_cap(spark, sf_dir):
 @query("tier_order", "SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderpriority, o_orderkey) AS INTEGER) AS place FROM orders")
 def tier_order(spark, sf_dir):
     """WIN-04, WIN-11."""
-    rank = F.row_number().over(select.Window.partitionBy("o_orderstatus").orderBy("o_orderpriority", "o_orderkey"))
-    return base.table(spark, sf_dir, "orders").select("o_orderkey", rank.alias("place"))
+    rows = base.table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority", "o_orderkey")
+    return select.ranked(rows, ["o_orderstatus"], ["o_orderpriority", "o_orderkey"], "place").select("o_orderkey", "place")
 
 
 PLACED_SQL = f"{REGION_SQL}, pl AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY price DESC, o_orderkey) AS pos FROM o)"
 
 
 def positioned(spark, sf_dir):
-    rank = F.row_number().over(select.Window.partitionBy("section").orderBy(F.desc("price"), "o_orderkey"))
-    return picked(spark, sf_dir).withColumn("pos", rank)
+    return select.ranked(picked(spark, sf_dir), ["section"], [F.desc("price"), "o_orderkey"], "pos")
 
 
 @query("outlet_round_robin", f"WITH {PLACED_SQL}, m AS (SELECT *, min(pos) OVER (PARTITION BY section, tier) AS bl, row_number() OVER (PARTITION BY section, tier, outlet ORDER BY pos) AS tn, min(pos) OVER (PARTITION BY section, tier, outlet) AS fi FROM pl) SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY section ORDER BY bl, tn, fi) AS INTEGER) AS final FROM m")

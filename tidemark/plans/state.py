@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates
 from tidemark.operators import state, window
-from tidemark.operators.dedupe import written
+from tidemark.operators.dedupe import shared_dir, written
 from tidemark.plans import base
 from tidemark.streaming import flows
 
@@ -145,28 +145,32 @@ def streamed(spark, sf_dir):
     return spark.readStream.schema(rows.schema).parquet(rows.inputFiles()[0].rsplit("/", 1)[0])
 
 
-def memory_table(spark, stream, mode):
-    name = f"t{uuid.uuid4().hex}"
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.tidemark.shared.dir")
-    flows.run_once(stream, name, f"{folder}/{name}", mode)
-    return spark.table(name)
+def streamed_rows(spark, stream, mode):
+    return flows.run_once(stream, f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}", mode)
 
 
 @query("stream_dedupe", "SELECT DISTINCT user_id FROM events")
 def stream_dedupe(spark, sf_dir):
     """STM-01: each key once, however often it comes inside the watermark."""
     once = flows.seen_once(streamed(spark, sf_dir).select("user_id", "ts"), "user_id", "ts", "60 days")
-    return memory_table(spark, once, "append").select("user_id")
+    return streamed_rows(spark, once, "append").select("user_id")
 
 
 @query("stream_daily", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS edition, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_daily(spark, sf_dir):
     """STM-08: complete mode gives the whole table's counts."""
-    days = memory_table(spark, flows.daily(streamed(spark, sf_dir), "ts"), "complete")
+    days = streamed_rows(spark, flows.daily(streamed(spark, sf_dir), "ts"), "complete")
     return days.select(F.date_format("edition.start", "yyyy-MM-dd").alias("edition"), "event_type", "n")
 
 
 @query("stream_first_seen", "SELECT CAST(user_id AS VARCHAR) AS key, epoch_us(min(ts)) AS micros FROM events GROUP BY user_id")
 def stream_first_seen(spark, sf_dir):
     """STM-03: complete mode gives each key's first sighting."""
-    return memory_table(spark, flows.first_sightings(streamed(spark, sf_dir), "user_id", "ts"), "complete")
+    return streamed_rows(spark, flows.first_sightings(streamed(spark, sf_dir), "user_id", "ts"), "complete")
+
+
+@query("stream_first_seen_kept", "SELECT CAST(user_id AS VARCHAR) AS key, epoch_us(min(ts)) AS micros FROM events GROUP BY user_id")
+def stream_first_seen_kept(spark, sf_dir):
+    """STM-03 with a time to live: state holds the periods that the watermark covers, the merge takes the earliest."""
+    seen = streamed_rows(spark, flows.first_sightings(streamed(spark, sf_dir), "user_id", "ts", "21 days"), "update")
+    return seen.groupBy("key").agg(F.min("micros").alias("micros"))

@@ -9,10 +9,18 @@ def seen_once(stream: DataFrame, key: str, time: str, window: str = "168 hours")
     return stream.withWatermark(time, window).dropDuplicatesWithinWatermark([key])
 
 
-def first_sightings(stream: DataFrame, key: str, time: str) -> DataFrame:
-    """(key, micros): the earliest time of each key, updated as earlier ones arrive. Retention is applied
-    when the result is merged into the stored sightings (operators.state.merged)."""
-    return stream.groupBy(F.col(key).cast("string").alias("key")).agg(F.min(F.unix_micros(time)).alias("micros"))
+def first_sightings(stream: DataFrame, key: str, time: str, kept: str | None = None) -> DataFrame:
+    """(key, micros): the earliest time of each key, updated as earlier ones arrive.
+
+    kept: how long a sighting stays in the stream's state (such as "21 days"). A key's sightings are then
+    grouped by periods of that length, so that the watermark can drop the past ones; the earliest of them
+    is taken when the result is merged into the stored table (operators.state.merged), which applies its
+    own retention. Without it state holds every key.
+    """
+    keyed = stream.select(F.col(key).cast("string").alias("key"), F.col(time).alias("at"))
+    if kept is None:
+        return keyed.groupBy("key").agg(F.min(F.unix_micros("at")).alias("micros"))
+    return keyed.withWatermark("at", kept).groupBy("key", F.window("at", kept)).agg(F.min(F.unix_micros("at")).alias("micros")).select("key", "micros")
 
 
 def daily(stream: DataFrame, time: str, late: str = "36 hours") -> DataFrame:
@@ -20,11 +28,19 @@ def daily(stream: DataFrame, time: str, late: str = "36 hours") -> DataFrame:
     return stream.withWatermark(time, late).groupBy(F.window(time, "1 day").alias("edition"), "event_type").agg(F.count("*").alias("n"))
 
 
-def run_once(stream: DataFrame, name: str, checkpoint: str, mode: str = "append"):
-    """Drive what is there now through a stream into a memory table, and wait."""
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return q
+def run_once(stream: DataFrame, target: str, mode: str = "append") -> DataFrame:
+    """Drive what is there now through a stream into files in the shared folder, wait, and read them.
+
+    Complete and update results replace the ones before, so the folder holds the last batch alone.
+    """
+
+    def replace(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/rows")
+
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{target}/checkpoint").trigger(availableNow=True)
+    query = writer.format("parquet").start(f"{target}/rows") if mode == "append" else writer.foreachBatch(replace).start()
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{target}/rows")
 
 
 def publish_batches(stream: DataFrame, target: str, checkpoint: str):
