@@ -58,6 +58,18 @@ def workspace(keep_last: bool = True):
             OPEN[-1].extend(kept)
 
 
+@contextmanager
+def cleaning(spark: SparkSession):
+    """Let Spark drop a query's shuffle files as soon as it has ended."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write a step's table to the shared folder and read it back.
 
@@ -66,25 +78,42 @@ def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/tidemark-{label}-{uuid.uuid4().hex}"
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
+    with cleaning(spark):
         df.write.option("compression", compression).parquet(at)
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     out = spark.read.schema(df.schema).parquet(at)
-    out._stage = at
+    return kept(out, at)
+
+
+def bucketed(df: DataFrame, label: str, key: str, compression: str = "snappy") -> DataFrame:
+    """As staged(), but dealt by the hash of a key into as many buckets as a shuffle has partitions: joins on it don't shuffle the table.
+
+    The files stand in the shared folder; the session's catalogue holds the layout until release().
+    """
+    spark = df.sparkSession
+    name = f"tidemark_{label.replace('-', '_')}_{uuid.uuid4().hex}"
+    at = f"{shared_dir(spark)}/{name}"
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    with cleaning(spark):
+        df.write.option("compression", compression).option("path", at).bucketBy(buckets, key).format("parquet").saveAsTable(name)
+    out = spark.table(name)
+    out._table = name
+    return kept(out, at)
+
+
+def kept(table: DataFrame, at: str) -> DataFrame:
+    table._stage = at
     if OPEN:
-        OPEN[-1].append(out)
-    return out
+        OPEN[-1].append(table)
+    return table
 
 
 def release(table: DataFrame) -> None:
     """Delete a step's table that no later step reads."""
-    jvm, session = table.sparkSession._jvm, table.sparkSession._jsparkSession
-    path = jvm.org.apache.hadoop.fs.Path(table._stage)
-    path.getFileSystem(session.sessionState().newHadoopConf()).delete(path, True)
+    spark = table.sparkSession
+    if hasattr(table, "_table"):
+        spark.sql(f"DROP TABLE IF EXISTS {table._table}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(table._stage)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def text_or_empty(name: str = "text") -> Column:

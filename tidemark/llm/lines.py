@@ -16,7 +16,10 @@ line (by doc_id, then place) has a Jaccard of the threshold or more with it; lin
    length filter, the positional filter, which bounds the overlap by what is left after the shared
    token's places, and a parity map, which bounds the difference; two lines that are both removed
    already are no pair.
-5. Surviving pairs are verified by the exact Jaccard of their words; the later line of a pair goes.
+5. Surviving pairs are verified by the exact Jaccard of their words; the later line of a pair goes. A
+   line is held against the first of its pairs, and if it stays, against the others.
+
+The tables of lines are bucketed by the hash of the line, so that the joins on it shuffle pairs alone.
 
 Tokens travel as 63-bit numbers: 7 bits of rarity over 56 bits of hash; two lines are taken for equal
 if 128 bits of hash agree. The threshold counts in thousandths.
@@ -59,14 +62,33 @@ def words_in(line: Column) -> Column:
     return F.split(line, " ")
 
 
-def equal_lines(rows: DataFrame) -> DataFrame:
-    """(sid, sid2, doc, h, line, string): the first of all lines that are equal but for blanks, with words and single spaces."""
+def lines_of(rows: DataFrame) -> DataFrame:
+    """(doc, h, line, string) of every line with words, its blanks made single spaces."""
     marked = rows.withColumn("odd", reduce(or_, [F.contains("text", F.lit(x)) for x in UNUSUAL]))
     lines = marked.select("doc", "h", "odd", F.posexplode(F.split("text", "\n")).alias("line", "string"))
     plain = F.when(F.col("odd"), F.trim(F.regexp_replace("string", BLANK, " "))).otherwise(F.trim("string"))
-    lines = lines.select("doc", "h", "line", plain.alias("string")).where(F.col("string") != "")
-    first = F.min(F.struct("doc", "h", "line", "string")).alias("first")
-    return lines.groupBy(F.xxhash64("string").alias("sid"), F.xxhash64(F.lit(1), "string").alias("sid2")).agg(first).select("sid", "sid2", "first.*")
+    return lines.select("doc", "h", "line", plain.alias("string")).where(F.col("string") != "")
+
+
+def equal_lines(rows: DataFrame) -> DataFrame:
+    """(sid, sid2, doc, h, line, string, mixed): the first of all lines that are equal but for blanks.
+
+    Aggregated by 64 bits alone, by which the table is bucketed; mixed: lines of several second hashes met.
+    """
+    lines = lines_of(rows)
+    lines = lines.select(F.xxhash64("string").alias("sid"), F.xxhash64(F.lit(1), "string").alias("sid2"), F.struct("doc", "h", "line", "string").alias("place"))
+    firsts = lines.groupBy("sid").agg(F.min("place").alias("first"), F.min("sid2").alias("sid2"), F.max("sid2").alias("other"))
+    return firsts.select("sid", "sid2", "first.*", (F.col("sid2") != F.col("other")).alias("mixed"))
+
+
+def apart(firsts: DataFrame, rows: DataFrame) -> DataFrame:
+    """The first lines with those put right whose 64-bit hash other lines share (about one in some 1e10 lines has such a twin)."""
+    if firsts.where("mixed").isEmpty():
+        return firsts.drop("mixed")
+    twins = firsts.where("mixed").select("sid")
+    lines = lines_of(rows).select(F.xxhash64("string").alias("sid"), F.xxhash64(F.lit(1), "string").alias("sid2"), F.struct("doc", "h", "line", "string").alias("place"))
+    split = lines.join(twins, "sid", "left_semi").groupBy("sid", "sid2").agg(F.min("place").alias("first")).select("sid", "sid2", "first.*")
+    return firsts.where("NOT mixed").drop("mixed").unionByName(split)
 
 
 def rarity(lines: DataFrame) -> Column:
@@ -119,17 +141,29 @@ def renamed(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[F.col(c).alias(n) for c, n in names.items()])
 
 
-def members(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-
-
-def beaten(pairs: DataFrame, lines: DataFrame, share: int) -> DataFrame:
+def beaten(pairs: DataFrame, lines: DataFrame, share: int, at_once: bool = False) -> DataFrame:
     """(sid, sid2) of the later line of every pair (a, b) whose exact Jaccard reaches the threshold."""
-    found = common.staged(lines.join(members(pairs), "sid").select("sid", "sid2", F.struct("doc", "h", "line").alias("place"), F.array_distinct(words_in(F.col("string"))).alias("words")), "line-texts")
-    cut = pairs.join(renamed(found, sid="a", sid2="a2", place="pa", words="x"), "a").join(renamed(found, sid="b", sid2="b2", place="pb", words="y"), "b")
-    alike = cut.where(F.size(F.array_intersect("x", "y")) * (1000 + share) >= (F.size("x") + F.size("y")) * share)
-    later = F.when(F.col("pa") < F.col("pb"), F.struct(F.col("b").alias("sid"), F.col("b2").alias("sid2"))).otherwise(F.struct(F.col("a").alias("sid"), F.col("a2").alias("sid2")))
-    out = common.staged(alike.select(later.alias("it")).select("it.*").distinct(), "line-beaten")
+    places = lines.select("sid", "sid2", F.struct("doc", "h", "line").alias("place"))
+    told = pairs.hint("shuffle_hash").join(renamed(places, sid="a", sid2="a2", place="pa"), "a").hint("shuffle_hash").join(renamed(places, sid="b", sid2="b2", place="pb"), "b")
+    one, two = (F.struct(F.col(f"p{x}").alias("place"), F.col(x).alias("sid"), F.col(f"{x}2").alias("sid2")) for x in "ab")
+    first = F.col("pa") < F.col("pb")
+    told = told.select(F.when(first, one).otherwise(two).alias("early"), F.when(first, two).otherwise(one).alias("late"))
+    told = common.staged(told.select("early.place", F.col("early.sid").alias("a"), F.col("early.sid2").alias("a2"), F.col("late.sid").alias("b"), F.col("late.sid2").alias("b2")), "line-ordered")
+    if at_once:
+        return alike(told, lines, share)
+    leads = common.staged(told.groupBy("b", "b2").agg(F.min(F.struct("place", "a", "a2")).alias("e")).select("e.a", "e.a2", "b", "b2"), "line-leads")
+    lost = alike(leads, lines, share)
+    rest = told.join(renamed(lost, sid="b", sid2="b2"), ["b", "b2"], "left_anti").join(leads, ["a", "a2", "b", "b2"], "left_anti")
+    return lost.union(alike(common.staged(rest.select("a", "a2", "b", "b2"), "line-rest"), lines, share))
+
+
+def alike(pairs: DataFrame, lines: DataFrame, share: int) -> DataFrame:
+    """(sid, sid2) of b of the pairs (a, a2, b, b2) whose words have the Jaccard, each once."""
+    wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct().hint("shuffle_hash")
+    found = common.staged(lines.join(wanted, "sid").select("sid", "sid2", F.array_distinct(words_in(F.col("string"))).alias("words")), "line-texts")
+    cut = pairs.join(renamed(found, sid="a", sid2="a2", words="x"), ["a", "a2"]).join(renamed(found, sid="b", sid2="b2", words="y"), ["b", "b2"])
+    close_enough = F.size(F.array_intersect("x", "y")) * (1000 + share) >= (F.size("x") + F.size("y")) * share
+    out = common.staged(cut.where(close_enough).select(F.col("b").alias("sid"), F.col("b2").alias("sid2")).distinct(), "line-beaten")
     common.release(found)
     return out
 
@@ -145,8 +179,10 @@ def witnessed(sets: DataFrame, share: int) -> DataFrame:
 
 def indexed(sets: DataFrame, lost: DataFrame, share: int) -> DataFrame:
     """Pairs (a, b) of lines that share a token of their prefixes, one of them not in lost, where they can be alike."""
-    marked = sets.join(lost.select("sid", "sid2", F.lit(1).alias("gone")), ["sid", "sid2"], "left")
-    index = marked.select("sid", "n", "bits", "bits2", F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("at", "token"))
+    # joined by the bucket's hash alone; should twins of one hash double a line here, pairs are made distinct below
+    marked = sets.join(lost.select("sid", F.col("sid2").alias("lost2")).hint("shuffle_hash"), "sid", "left")
+    gone = F.when(F.col("lost2") == F.col("sid2"), 1).otherwise(0)
+    index = marked.select("sid", "n", "bits", "bits2", gone.alias("gone"), F.posexplode("prefix").alias("at", "token"))
     n, at = F.col("n"), F.col("at")
     # a, the smaller line, is found by a shorter prefix: up to what the least overlap with a line of its own size leaves
     short = at < n - F.call_function("div", n * (2 * share) + (999 + share), F.lit(1000 + share)) + 1
@@ -167,9 +203,10 @@ def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFra
     """(doc, h, kept): the places of the lines with words that stay, of every document that has some."""
     with common.workspace():
         share = round(threshold * 1000)
-        lines = common.staged(equal_lines(rows_of(docs)), "line-firsts", "zstd")
-        sets = common.staged(tokenised(lines, rarity(lines), share), "line-sets")
-        lost = beaten(witnessed(sets, share), lines, share)
+        rows = rows_of(docs)
+        lines = apart(common.bucketed(equal_lines(rows), "line-firsts", "sid", "zstd"), rows)
+        sets = common.bucketed(tokenised(lines, rarity(lines), share), "line-sets", "sid")
+        lost = beaten(witnessed(sets, share), lines, share, at_once=True)
         more = beaten(indexed(sets, lost, share), lines, share)
         kept = sets.select("sid", "sid2", "doc", "h", "line").join(lost.union(more), ["sid", "sid2"], "left_anti")
         return common.staged(kept.groupBy("doc", "h").agg(F.collect_list("line").alias("kept")), "line-kept")
