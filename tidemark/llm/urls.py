@@ -13,7 +13,9 @@ The SQL keeps eight rounds and LEAST as a plain threshold; the two agree where n
 hosts, as in the test tables, and on the small graphs of the tests that compare them.
 
 A null url, or one without "://", has an empty host and path, fits no rule and is allowed. Pages
-of one host, repeated pages and repeated links add up; an empty table gives an empty result.
+of one host, repeated pages and repeated links add up; an empty table gives an empty result. Of rules
+of one length the first in the alphabet wins. Pages of any length are searched for links; a null page has
+none. Columns of any other name are not read.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +30,8 @@ DAMPING, ROUNDS, LEAST, SEED_SHARE = 0.85, 8, 0.02, 0.5
 STRIDE = 4
 #: No rank changes by more than this in the last round; MOST rounds are enough for it, as a round's total change shrinks by DAMPING.
 SETTLED, MOST = 1e-6, 200
+#: Hosts that are broadcast at most, of about 100 bytes each; beyond that the join is salted.
+BROADCAST_HOSTS, SALTS = 100_000, 32
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -93,8 +97,14 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     rows = ruled(pages, rules)
     share = lambda says: (F.avg(F.when(F.col("ruled") == says, 1.0).otherwise(0.0)) >= SEED_SHARE).cast("double")
     seeds = rows.where("host <> ''").groupBy("host").agg(share("allow").alias("good"), share("block").alias("bad"))
-    ranks = spread(common.staged(links(pages), "url-links"), seeds)
-    scored = rows.join(ranks, "host", "left").select("page_id", "host", "path", "rule", "ruled", F.round(F.coalesce("trust", F.lit(0.0)), 9).alias("trust"), F.round(F.coalesce("distrust", F.lit(0.0)), 9).alias("distrust"), F.coalesce("full", F.lit(1.0)).alias("full"))
+    with common.workspace():
+        ranks = common.staged(spread(common.staged(links(pages), "url-links"), seeds), "url-hosts")
+    if ranks.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS:
+        joined = rows.join(F.broadcast(ranks), "host", "left")
+    else:  # a host's pages are dealt to SALTS tasks
+        salted = ranks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
+    scored = joined.select("page_id", "host", "path", "rule", "ruled", F.round(F.coalesce("trust", F.lit(0.0)), 9).alias("trust"), F.round(F.coalesce("distrust", F.lit(0.0)), 9).alias("distrust"), F.coalesce("full", F.lit(1.0)).alias("full"))
     guess = F.when((F.col("distrust") >= LEAST * F.least(F.col("full") - (1 - DAMPING), F.lit(1.0))) & (F.col("distrust") > F.col("trust")), "block").otherwise("allow")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("ruled", guess).alias("verdict"), "trust", "distrust")
 
