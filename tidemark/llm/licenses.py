@@ -6,13 +6,17 @@ space) with a mark wherever a sentence may begin or end: at newlines and, before
 inside it (wrapped lines, "free software: you can", an url on a line of its own) count as blanks. Of
 sentences that begin at one mark the longest is taken, and the search goes on behind it. The
 identifiers found, in order, are matched against licence rules, which are sequences of identifiers:
-every rule whose sequence stands in the text's sequence fits, unless a rule before it holds the same
-place, that is, names it among the rules it supersedes. Sentences that are not known may stand between.
+every rule whose sequence stands in the text's sequence fits, unless a rule that supersedes it does. Where
+the greater rule's sequence holds the lesser's, it does so at its own places alone (a second text of two
+clauses beside one of three is found); a notice goes wherever the text it speaks of is found. Sentences
+that are not known may stand between.
 
 The SQL looks up single lines and parts of lines only; the two agree where no sentence is wrapped or
 has a mark inside, as in the test tables.
 
-Nulls count as empty texts, which have no licence. Each row is judged by itself, without a shuffle.
+Nulls count as empty texts, which have no licence. Each row is judged by itself, without a shuffle, so
+repeated rows have equal results and null ids stay null; an empty table gives an empty table, texts of any
+length are searched whole, and columns of any other name are not read.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +53,28 @@ SENTENCES = {
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-names",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "bsd-warranty",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "isc-warranty",
+    "this source code form is subject to the terms of the mozilla public license v 2.0": "mpl2-subject",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla.org mpl 2.0": "mpl2-copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla.org mpl 2.0": "mpl2-copy",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license or at your option any later version": "lgpl21-later",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl3-later",
+    "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "lgpl-warranty",
+    "see the gnu lesser general public license for more details": "lgpl-see",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl3-later",
+    "see the gnu affero general public license for more details": "agpl-see",
+    "you should have received a copy of the gnu general public license along with this program": "gpl-copy",
+    "spdx license identifier mit": "spdx-mit",
+    "spdx license identifier apache 2.0": "spdx-apache-2",
+    "spdx license identifier bsd 2 clause": "spdx-bsd-2",
+    "spdx license identifier bsd 3 clause": "spdx-bsd-3",
+    "spdx license identifier isc": "spdx-isc",
+    "spdx license identifier mpl 2.0": "spdx-mpl-2",
+    "spdx license identifier gpl 2.0 or later": "spdx-gpl-2-later",
+    "spdx license identifier gpl 3.0 or later": "spdx-gpl-3-later",
     "this is free and unencumbered software released into the public domain": "unlicense",
     "all rights reserved": "all-rights",
 }
@@ -61,6 +87,19 @@ RULES = (
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary"), ()),
     ("GPL-3.0-or-later", ("gpl3-later", "gpl-warranty", "gpl-see"), ("GPL-3.0 (notice)",)),
     ("GPL-2.0-or-later", ("gpl2-later", "gpl-warranty", "gpl-see"), ()),
+    ("AGPL-3.0-or-later", ("agpl3-later", "gpl-warranty", "agpl-see"), ()),
+    ("LGPL-2.1-or-later", ("lgpl21-later", "lgpl-warranty", "lgpl-see"), ()),
+    ("LGPL-3.0-or-later", ("lgpl3-later", "lgpl-warranty", "lgpl-see"), ()),
+    ("MPL-2.0", ("mpl2-subject", "mpl2-copy"), ()),
+    ("ISC", ("isc-grant", "isc-warranty"), ()),
+    ("SPDX MIT", ("spdx-mit",), ()),
+    ("SPDX Apache-2.0", ("spdx-apache-2",), ()),
+    ("SPDX BSD-2-Clause", ("spdx-bsd-2",), ()),
+    ("SPDX BSD-3-Clause", ("spdx-bsd-3",), ()),
+    ("SPDX ISC", ("spdx-isc",), ()),
+    ("SPDX MPL-2.0", ("spdx-mpl-2",), ()),
+    ("SPDX GPL-2.0-or-later", ("spdx-gpl-2-later",), ()),
+    ("SPDX GPL-3.0-or-later", ("spdx-gpl-3-later",), ()),
     ("MIT (notice)", ("mit-notice",), ()),
     ("Apache-2.0 (notice)", ("apache-notice",), ()),
     ("GPL-3.0 (notice)", ("gpl3-notice",), ()),
@@ -86,17 +125,32 @@ def pattern() -> str:
     return r"\n(" + "|".join(s.replace(".", r"\.").replace(" ", r"[ \n]") for s in longest) + r")(?=\n)"
 
 
+def written(sequence: tuple) -> str:
+    return "".join(f"|{x}|" for x in sequence)
+
+
+def within(small: tuple, large: tuple) -> bool:
+    return any(large[i : i + len(small)] == small for i in range(len(large)))
+
+
 def scanned(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, found (identifiers in order) and licences (in the rules' order) of every row."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     ids = F.transform(F.regexp_extract_all(marked(common.text_or_empty(text_column)), F.lit(pattern()), F.lit(1)), lambda s: F.element_at(known, F.translate(s, "\n", " ")))
-    rows = docs.select(F.col(id_column).alias("doc_id"), ids.alias("found")).withColumn("path", F.concat(F.lit("|"), F.array_join("found", "|"), F.lit("|")))
-    fits = {name: F.instr("path", "|" + "|".join(sequence) + "|") > 0 for name, sequence, _ in RULES}
-    over = {name: [other for other, _, below in RULES if name in below] for name in fits}
+    # every identifier between marks of its own, so that a sequence can be taken out without a trace
+    path = F.array_join(F.transform("found", lambda x: F.concat(F.lit("|"), x, F.lit("|"))), "")
+    rows = docs.select(F.col(id_column).alias("doc_id"), ids.alias("found")).withColumn("path", path)
     names = []
-    for name, fit in fits.items():
-        for other in over[name]:
-            fit = fit & ~fits[other]
+    for name, sequence, _ in RULES:
+        above = [(other, held) for other, held, below in RULES if name in below]
+        left = F.col("path")
+        for _, held in above:
+            if within(sequence, held):
+                left = F.replace(left, F.lit(written(held)), F.lit(""))
+        fit = F.contains(left, F.lit(written(sequence)))
+        for _, held in above:
+            if not within(sequence, held):
+                fit = fit & ~F.contains("path", F.lit(written(held)))
         names.append(F.when(fit, name))
     return rows.select("doc_id", "found", F.filter(F.array(*names), lambda x: x.isNotNull()).alias("licences"))
 
@@ -109,14 +163,17 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql() -> str:
     case = "CASE s " + " ".join(f"WHEN '{s}' THEN '{i}'" for s, i in SENTENCES.items()) + " END"
-    fits = {name: "instr(path, '|" + "|".join(sequence) + "|') > 0" for name, sequence, _ in RULES}
     names = []
-    for name, fit in fits.items():
-        others = [other for other, _, below in RULES if name in below]
-        names.append("CASE WHEN " + " AND ".join([fit, *[f"NOT ({fits[o]})" for o in others]]) + f" THEN '{name}' END")
+    for name, sequence, _ in RULES:
+        above = [held for _, held, below in RULES if name in below]
+        left = "path"
+        for held in [h for h in above if within(sequence, h)]:
+            left = f"replace({left}, '{written(held)}', '')"
+        tests = [f"contains({left}, '{written(sequence)}')", *[f"NOT contains(path, '{written(h)}')" for h in above if not within(sequence, h)]]
+        names.append("CASE WHEN " + " AND ".join(tests) + f" THEN '{name}' END")
     return f"""WITH cut AS (SELECT doc_id, list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?;:])[ \\t\\r]+', '\\1' || chr(10), 'g'), chr(10)),
   lambda s: regexp_replace(regexp_replace(translate(s, '{UPPER}', '{LOWER}'), '[^a-z0-9.]+', ' ', 'g'), '^[ .]+|[ .]+$', '', 'g')) AS parts FROM documents),
 ids AS (SELECT doc_id, list_filter(list_transform(parts, lambda s: {case}), lambda x: x IS NOT NULL) AS found FROM cut),
-paths AS (SELECT doc_id, found, '|' || coalesce(array_to_string(found, '|'), '') || '|' AS path FROM ids)
+paths AS (SELECT doc_id, found, coalesce(array_to_string(list_transform(found, lambda x: '|' || x || '|'), ''), '') AS path FROM ids)
 SELECT doc_id, CAST(len(found) AS INTEGER) AS n_sentences, coalesce(array_to_string(found, ','), '') AS sentences,
   coalesce(array_to_string(list_filter([{", ".join(names)}], lambda x: x IS NOT NULL), ','), '') AS licences FROM paths"""
