@@ -133,6 +133,47 @@ def test_mixing_edges(spark, monkeypatch):
     assert mixing.mixed(documents(spark, [])).count() == 0
 
 
+def test_mixing_rare_source_of_great_weight(spark, tmp_path):
+    """One character at a third of the weight: a rate of hundreds, summed from parts; the SQL agrees."""
+    texts = ["x"] + ["y" * 300] * 4 + ["z" * 250] * 3
+    docs = documents(spark, texts, sources=["rare"] + ["s"] * 4 + ["t"] * 3)
+    weights = {"rare": 1, "s": 1, "t": 1}
+    rates = {r.source: r for r in mixing.rates(docs, weights=weights).collect()}
+    assert rates["rare"].rate == pytest.approx(1951 / 3) and rates["rare"].parts == 10 and all(len(r.cdf) < 230 for r in rates.values())
+    n = mixing.mixed(docs, weights=weights).where("source = 'rare'").count()
+    assert abs(n - 650) < 6 * 650**0.5
+
+    def inverse(rate, *parts):
+        u = (int(hashlib.md5(":".join(map(str, (mixing.SEED, 0, *parts))).encode()).hexdigest()[:13], 16) + 0.5) / 2.0**52
+        p = total = math.exp(-rate)
+        k = 0
+        while total <= u:
+            k += 1
+            p *= rate / k
+            total += p
+        return k
+
+    assert n == inverse(1951 / 3 - 640) + sum(inverse(64, j) for j in range(1, 11))
+    steep = documents(spark, ["a"] + ["b" * 30000] * 200, sources=["one"] + ["many"] * 200)
+    folder = written(steep, tmp_path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    assert mixing.rates(steep).where("parts > 0").count() == 1
+    assert sorted(map(str, con.execute(mixing.sql()).fetchall())) == sorted(str((r.doc_id, r.source, r.copy, r.text)) for r in mixing.op2_mixing(spark, folder).collect())
+
+
+def test_mixing_keeps_columns_of_clashing_names(spark):
+    names = ["copy", "cdf", "rate", "parts", "__source", "__u", "__copies", "__order", "size", "weight", "a.b"]
+    docs = documents(spark, ["text", "more text", None], sources=["s", "t", None])
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(k))
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns + ["copy_"]
+    assert all(r.copy == 0 and r["a.b"] == 10 and r["__u"] == 5 for r in out.collect())
+    plain = mixing.mixed(documents(spark, ["text", "more text", None], sources=["s", "t", None])).collect()
+    assert sorted((r.doc_id, r.copy_) for r in out.collect()) == sorted((r.doc_id, r.copy) for r in plain)
+
+
 # 3
 
 
@@ -162,6 +203,56 @@ def test_fingerprints(spark, corpus, tmp_path):
     assert len(got[0].fingerprint) == fingerprints.BINS
 
 
+def slow_fingerprint(text):
+    """Bins, densification and packed bits by plain loops; hashes chain as the engine's do, from 42."""
+    import struct
+
+    import xxhash
+
+    def h(form, *parts):
+        seed = 42
+        for kind, x in zip(form, parts, strict=True):
+            seed = xxhash.xxh64(x if kind == "b" else struct.pack(f"<{kind}", x), seed=seed).intdigest()
+        return seed - 2**64 if seed >= 2**63 else seed
+
+    words = [h("b", w) for w in (text or "").encode().split()]
+    found = [h("qqqqq", *words[i : i + 5]) for i in range(len(words) - 4)] if len(words) >= 5 else [h("q" * len(words), *words)]
+    least = {}
+    for x in found:
+        b, value = (x & (2**63 - 1)) >> 55, x & (2**55 - 1)
+        least[b] = min(value, least.get(b, value))
+    tables = fingerprints.probes()
+    out = []
+    for i in range(256):
+        order = [i, *[t[i] for t in tables], *sorted(range(256), key=lambda b: h("ii", i, b) & ~255 | b)]
+        out.append(f"{h('qi', next(least[b] for b in order if b in least), i) & 15:x}")
+    return "".join(out)
+
+
+def test_fingerprints_equal_plain_loops(spark):
+    rng = random.Random(12)
+    texts = [None, "", "one", "one two three four", "one two three four five", "a b c d e f", prose(rng, 12), prose(rng, 40), prose(rng, 300), prose(rng, 3000), "tab\tnew\nline and five words  more"]
+    got = {r.doc_id: r.fp for r in fingerprints.fingerprinted(documents(spark, [t or "" for t in texts]), "text", "fp").collect()}
+    assert [got[i] for i in range(len(texts))] == [slow_fingerprint(t) for t in texts]
+
+
+@pytest.mark.parametrize("parts", ["1", "7", "40"])
+def test_followers_of_ties_and_missing_ids(spark, parts):
+    """Many rows without an id and many with one id: every row but one has the next in order."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        rng = random.Random(13)
+        rows = [(-(2**63), f"t{rng.randrange(40)}") for _ in range(150)] + [(5, f"u{i}") for i in range(100)] + [(i, f"v{i}") for i in range(6, 200)]
+        df = spark.createDataFrame(rows, "place long, text string")
+        ties = {r.text: r.t for r in df.select("text", F.xxhash64("text").alias("t")).distinct().collect()}
+        order = sorted(rows, key=lambda r: (r[0], ties[r[1]], r[1]))
+        want = sorted((a[0], a[1], b[1]) for a, b in zip(order, order[1:] + order[:1], strict=True))
+        assert sorted((r.place, r.text, r.next_text) for r in fingerprints.with_next(df, "place", ["text"]).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_fingerprints_of_one_and_none(spark, tmp_path):
     r = fingerprints.op3_fingerprints(spark, written(documents(spark, ["only one text here is"]), tmp_path)).first()
     assert r.near_next == 1.0
@@ -501,6 +592,17 @@ def test_licenses_of_standard_notices(spark):
     assert got == [want for _, want in cases]
 
 
+def test_more_notices_and_places(spark):
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.\n"
+    isc = 'Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH\nREGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY\nAND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE.\n'
+    lgpl = "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.\n\nThis library is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU\nLesser General Public License for more details.\n"
+    bsd2 = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n"
+    bsd3 = bsd2 + "\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n"
+    texts = [mpl, isc, lgpl, "# SPDX-License-Identifier: Apache-2.0\nimport os", bsd2, bsd3, bsd3 + "\nAnother part.\n\n" + bsd2, None]
+    got = {r.doc_id: r.licences for r in licenses.scanned(documents(spark, texts)).collect()}
+    assert [got[i] for i in range(8)] == [["MPL-2.0"], ["ISC"], ["LGPL-2.1-or-later"], ["SPDX Apache-2.0"], ["BSD-2-Clause"], ["BSD-3-Clause"], ["BSD-3-Clause", "BSD-2-Clause"], []]
+
+
 def test_every_licence_sentence_is_reachable(spark):
     got = [r.found for r in licenses.scanned(documents(spark, [s.upper().replace(" ", "\n", 3) for s in licenses.SENTENCES])).orderBy("doc_id").collect()]
     assert got == [[i] for i in licenses.SENTENCES.values()]

@@ -1,8 +1,9 @@
 """Document fingerprints by one-permutation MinHash (operator 3), in DataFrame functions only.
 
 Every five-word shingle is hashed once; its low bits name a bin and the rest is its value, and
-each bin keeps its least value. An empty bin takes the value of the first filled bin among a
-sequence of bins drawn by hashing its number (optimal densification). The lowest BITS bits of
+each bin keeps its least value. An empty bin takes the value of the first filled bin in an order of
+all bins that is drawn for it alone (optimal densification): PROBES bins are tried, then the order
+goes on by hashes of both bins. The lowest BITS bits of
 each bin's value, hashed with the bin so that copies of one value do not all collide at once, are
 packed into hex digits. Two fingerprints that agree in a share p of their bins have
 an estimated Jaccard of (p - c) / (1 - c), where c = 2 ** -BITS is the share that agrees by chance.
@@ -10,7 +11,9 @@ an estimated Jaccard of (p - c) / (1 - c), where c = 2 ** -BITS is the share tha
 Least values are found without exploding a text: hashes are sorted as numbers whose high bits are
 the bin, and the first of each bin stays. Nulls count as empty texts; a text of fewer than five
 words has one shingle, all its words. Equal texts have equal fingerprints; two texts without words
-are alike to 1.
+are alike to 1. Texts of any length are hashed whole; an empty table gives an empty table. Rows with
+one id stand in the order of their texts' hashes, and a null id before all others. Columns of any other
+name are not read.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,7 +40,7 @@ def probes() -> list:
 
 def fingerprinted(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add the fingerprint of a text column. Helper columns are made in steps, so that each is made once."""
-    words, hashes, full = f"__{out}_w", f"__{out}_h", f"__{out}_f"
+    words, hashes, full, filled = f"__{out}_w", f"__{out}_h", f"__{out}_f", f"__{out}_b"
     n = common.SHINGLE_WORDS
     shift = 63 - (BINS.bit_length() - 1)
     low = (1 << shift) - 1
@@ -51,15 +54,16 @@ def fingerprinted(df: DataFrame, text: str, out: str) -> DataFrame:
     h = F.col(hashes)
     firsts = F.filter(h, lambda x, i: (i == 0) | (F.shiftright(x, shift) != F.shiftright(F.get(h, i - 1), shift)))
     df = df.withColumn(full, F.transform(firsts, lambda x: F.nullif(x.bitwiseAND(F.lit(low)), F.lit(low))))
-    return df.withColumn(out, packed(F.col(full))).drop(words, hashes, full)
+    df = df.withColumn(filled, F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.get(F.col(full), b).isNotNull()))
+    return df.withColumn(out, packed(F.col(full), F.col(filled))).drop(words, hashes, full, filled)
 
 
-def packed(full: Column) -> Column:
-    """Densify and pack an array of values by bin, nulls where a bin is empty."""
+def packed(full: Column, filled: Column) -> Column:
+    """Densify and pack an array of values by bin, nulls where a bin is empty; filled: the bins that are not."""
     tables = [F.array(*[F.lit(b) for b in line]) for line in probes()]
-    # after the probes every bin is swept from the bin's own place on
-    sweep = lambda i: F.get(F.filter(F.concat(F.slice(full, i + 1, F.lit(BINS)), full), lambda x: x.isNotNull()), F.lit(0))
-    dense = F.transform(full, lambda v, i: F.coalesce(v, *[F.get(full, F.get(t, i)) for t in tables], sweep(i)))
+    # the order of all bins for one bin: by the hash of both, the bin itself in the lowest bits
+    rest = lambda i: F.get(full, F.array_min(F.transform(filled, lambda b: F.xxhash64(i, b).bitwiseAND(F.lit(-BINS)).bitwiseOR(b.cast("long")))).bitwiseAND(F.lit(BINS - 1)).cast("int"))
+    dense = F.transform(full, lambda v, i: F.coalesce(v, *[F.get(full, F.get(t, i)) for t in tables], rest(i)))
     return F.lower(F.array_join(F.transform(dense, lambda v, i: F.hex(F.xxhash64(v, i).bitwiseAND(F.lit(2**BITS - 1)))), ""))
 
 
@@ -70,30 +74,44 @@ def likeness(a: Column, b: Column) -> Column:
     return F.greatest(F.lit(0.0), (same - chance) / (1 - chance))
 
 
+def own_tasks(spark: SparkSession, parts: int) -> list:
+    """For each of so many ranges a number that hash partitioning sends to a task of its own."""
+    task = F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts))
+    found = spark.range(parts * 40).groupBy(task.alias("task")).agg(F.min("id").alias("id")).orderBy("task").collect()
+    return [r["id"] for r in found] + list(range(parts * 40, parts * 41 - len(found)))
+
+
 def with_next(rows: DataFrame, order: str, carried: list[str]) -> DataFrame:
     """Add next_<column> of the row that follows in ascending order of a long column (last: the first).
 
     Rows are dealt to ranges of the order; the first row of each range is also sent to the range
-    before it, so each range finds its last row's follower. One shuffle, no range is special.
-    Ties are ordered by the carried columns.
+    before it, so each range finds its last row's follower. One shuffle, and a task for each range.
+    A value that fills several ranges, such as that of rows without an id, is dealt on by the hash of the
+    first carried column, which orders its rows; rows alike in both stand in any order, as they are equal.
     """
     spark = rows.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = sorted(set(rows.select(F.col(order).cast("double").alias("o")).stat.approxQuantile("o", [k / parts for k in range(1, parts)], 0.2 / parts))) if parts > 1 else []
+    rows = rows.withColumn("__tie", F.xxhash64(carried[0]))
+    cuts = sorted(rows.select(F.col(order).cast("double").alias("o")).stat.approxQuantile("o", [k / parts for k in range(1, parts)], 0.2 / parts)) if parts > 1 else []
     bounds = F.array(*[F.lit(int(c)) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    bucket = F.size(F.filter(bounds, lambda x: x <= F.col(order)))
-    heads = sorted((r["b"], r["o"]) for r in rows.groupBy(bucket.alias("b")).agg(F.min(order).alias("o")).collect())  # a row for each range at most
-    before = {o: heads[i - 1][0] for i, (_, o) in enumerate(heads)}
+    below, at = F.size(F.filter(bounds, lambda x: x < F.col(order))), F.size(F.filter(bounds, lambda x: x == F.col(order)))
+    share = (F.shiftrightunsigned(F.col("__tie").bitwiseXOR(F.lit(-(2**63))), 11) / F.lit(2.0**53)).cast("double")
+    bucket = below + F.when(at > 0, F.least(at, 1 + F.floor(share * at).cast("int"))).otherwise(0)
+    heads = sorted((r["b"], r["o"]["o"], r["o"]["t"]) for r in rows.groupBy(bucket.alias("b")).agg(F.min(F.struct(F.col(order).alias("o"), F.col("__tie").alias("t"))).alias("o")).collect())  # a row for each range at most
+    before = {f"{o} {t}": heads[i - 1][0] for i, (_, o, t) in enumerate(heads)}
     own = rows.withColumn("__bucket", bucket).withColumn("__late", F.lit(False))
     if not heads:
-        return own.select("*", *[F.col(c).alias(f"next_{c}") for c in carried]).drop("__bucket", "__late")
+        return own.select("*", *[F.col(c).alias(f"next_{c}") for c in carried]).drop("__bucket", "__late", "__tie")
+    place = F.concat_ws(" ", F.col(order).cast("string"), F.col("__tie").cast("string"))
     ends = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
     sent = F.array(F.struct(F.col("__bucket").alias("b"), F.lit(False).alias("late")))
-    extra = F.struct(ends[F.col(order)].cast("int").alias("b"), F.lit(True).alias("late"))
-    dealt = own.withColumn("__sent", F.explode(F.when(F.col(order).isin(list(before)), F.concat(sent, F.array(extra))).otherwise(sent)))
-    window = "OVER (PARTITION BY __sent.b ORDER BY __sent.late, {0}, {1})".format(order, ", ".join(carried))
+    extra = F.struct(ends[place].cast("int").alias("b"), F.lit(True).alias("late"))
+    first = F.col(order).isin([o for _, o, _ in heads]) & place.isin(list(before))
+    dealt = own.withColumn("__sent", F.explode(F.when(first, F.concat(sent, F.array(extra))).otherwise(sent)))
+    dealt = dealt.withColumn("__task", F.get(F.array(*[F.lit(x).cast("int") for x in own_tasks(spark, parts)]), F.col("__sent.b")))
+    window = f"OVER (PARTITION BY __task ORDER BY __sent.late, {order}, __tie, {', '.join(carried)})"
     out = dealt.select("*", *[F.expr(f"lead({c}) {window}").alias(f"next_{c}") for c in carried])
-    return out.where("NOT __sent.late").drop("__bucket", "__late", "__sent")
+    return out.where("NOT __sent.late").drop("__bucket", "__late", "__sent", "__tie", "__task")
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
