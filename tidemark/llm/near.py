@@ -15,7 +15,9 @@ which give out only links: first the closest of each member and class, then any
 Pairs within a class add nothing to it. Classes are the connected components of the links.
 
 Nulls count as empty texts. A text of fewer than five words has one shingle, all its words. Rows
-with one id are one document. A row without an id takes a negative number made from its text.
+with one id are one document. A row without an id takes a negative number made from its text. An empty
+table has no classes. Texts of any length are compared whole, in batches of bounded bytes. Members that
+are equally close are taken by their least id. Columns of any other name are kept by keep_first().
 """
 
 import numpy as np
@@ -270,7 +272,8 @@ def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_first(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFrame:
     """The rows of one document of each class: the one with the least id; of repeated rows one."""
-    found = classes(docs, threshold).where("node = class").select(F.col("node").alias("__node"))
+    (node,) = common.free(docs, "node")
+    found = classes(docs, threshold).where("node = class").select(F.col("node").alias(node))
     text = common.text_or_empty("text")
     own = F.coalesce(F.col("doc_id").cast("long"), -1 - F.abs(F.xxhash64(text) % (1 << 62)))
-    return docs.withColumn("__node", own).join(found, "__node").dropDuplicates(["__node"]).select(*docs.columns)
+    return docs.withColumn(node, own).join(found, node).dropDuplicates([node]).select(*[F.col(common.quoted(c)) for c in docs.columns])

@@ -17,7 +17,9 @@ with a smaller id, judged on the input.
    dealt over several copies of its patterns.
 
 Nulls count as empty texts, which have no words; a null id stands after all others. Rows with the
-same id never cover each other; repeated rows get equal results.
+same id never cover each other; repeated rows get equal results, as all rows without an id are of one
+such id. An empty table gives an empty table. Texts are taken whole, in batches of bounded bytes, and
+columns of any other name are not read.
 """
 
 import hashlib

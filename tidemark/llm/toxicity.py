@@ -356,14 +356,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that are not predicted toxic, with their own columns."""
     key, data, curve = learn(docs, labels)
-    (flag,) = common.free(docs, "toxic_text")
-    columns = docs.columns
+    # by place, as Arrow functions take no names with dots
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    columns, text = plain.columns, f"c{[c.lower() for c in docs.columns].index('text')}"
 
     def run(batches):
         model = Model.unpacked(key, data)
         for batch in batches:
-            for part in slices(batch, flag):
-                keep = pa.array([model.score(t, curve)[0] < 0.5 for t in part.column(flag).to_pylist()], pa.bool_())
+            for part in slices(batch, "text"):
+                keep = pa.array([model.score(t, curve)[0] < 0.5 for t in part.column("text").to_pylist()], pa.bool_())
                 yield part.filter(keep).select(columns)
 
-    return docs.withColumn(flag, common.text_or_empty()).mapInArrow(run, docs.schema)
+    return plain.withColumn("text", common.text_or_empty(text)).mapInArrow(run, plain.schema).toDF(*docs.columns)
