@@ -8,8 +8,8 @@ line (by doc_id, then place) has a Jaccard of the threshold or more with it; lin
 2. Rarity. The words of all these lines are counted in a sketch of fixed size (words share counters),
    which orders all tokens, rarest first, ties by hash. Any one order gives exact results; this one
    makes the rare ones come first.
-3. Witnesses. Lines with the same least or greatest token hash (as near copies mostly have) are compared
-   with the first of them alone. Those that it removes need no other witness, so that a group of near
+3. Witnesses. Lines with the same least or greatest token hash or the same rarest token (as near copies
+   mostly have) are compared with the first of them alone. Those that it removes need no other witness, so that a group of near
    copies costs one pair a copy and not one for every two.
 4. Index. A line is indexed under the tokens of its prefix: two lines at or over the threshold share one
    (the smaller by the shorter prefix that suffices for it). Pairs from this join must also pass the
@@ -113,7 +113,7 @@ def tokenised(lines: DataFrame, ranks: Column, share: int) -> DataFrame:
     size = F.size("keys")
     sets = sets.select("*", F.when(size > WIDE, F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) != 0)).otherwise(F.array().cast("array<bigint>")).alias("odd"))
     sets = sets.select("*", F.when(size > WIDE, F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) == 0)).otherwise(F.col("keys")).alias("even"))
-    return sets.select(*place, size.alias("n"), parity("even").alias("bits"), parity("odd").alias("bits2"), "ends", F.slice("keys", F.lit(1), begun(size, share)).alias("prefix"))
+    return sets.select(*place, size.alias("n"), parity("even").alias("bits"), parity("odd").alias("bits2"), F.array_append("ends", F.element_at("keys", 1)).alias("ends"), F.slice("keys", F.lit(1), begun(size, share)).alias("prefix"))
 
 
 def parity(keys: str) -> Column:
@@ -169,7 +169,7 @@ def alike(pairs: DataFrame, lines: DataFrame, share: int) -> DataFrame:
 
 
 def witnessed(sets: DataFrame, share: int) -> DataFrame:
-    """Pairs (a, b) of each line and the first line with its least or greatest token hash, where they can be alike."""
+    """Pairs (a, b) of each line and the first line with its least or greatest token hash or its rarest token, where they can be alike."""
     slim = sets.select(F.explode("ends").alias("end"), "doc", "h", "line", "sid", "n", "bits", "bits2")
     leads = slim.groupBy("end").agg(F.min(F.struct("doc", "h", "line", "sid", "n", "bits", "bits2")).alias("lead"), F.count("*").alias("many")).where("many > 1")
     leads = leads.select("end", F.col("lead.sid").alias("a"), F.col("lead.n").alias("na"), F.col("lead.bits").alias("ba"), F.col("lead.bits2").alias("ca"))
