@@ -5,7 +5,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
-from tidemark.operators import cluster, dedupe, furniture, history, pairs
+from tidemark.operators import cluster, dedupe, desk, furniture, history, pairs, stages
 from tidemark.operators.dedupe import written
 from tidemark.plans import base
 from tidemark.plans.texts import ROWS_SQL, proper_tokens, rows
@@ -189,3 +189,55 @@ SELECT doc_id AS id, CAST(min(b) AS INTEGER) AS "begin", max(e) - min(b) AS leng
 def furniture_cuts(spark, sf_dir):
     """WIN-09: runs with up to three words between them are one cut."""
     return furniture.bridged(furniture_runs(spark, sf_dir))
+
+#: Words that stand for stages of a story, and a vocabulary for their facts; parameters of the caller's.
+CLASSES = {"rise": "tion", "fall": "aux", "vote": "ung", "law": "ment"}
+FEW = 60
+#: Near copies of the corpus have one headline, so their classes come from their ids here.
+CLASS_SQL = "CASE WHEN doc_id % 2 = 0 THEN ['fall', 'rise'] WHEN doc_id % 3 = 0 THEN ['vote'] WHEN doc_id % 5 = 0 THEN ['fall'] ELSE [] END"
+
+
+@query("stage_collisions", f"""WITH {ROWS_SQL}, ex AS (SELECT doc_id, unnest(w) AS word FROM sig), few AS (SELECT word FROM ex GROUP BY word HAVING count(*) BETWEEN 2 AND {FEW}),
+b AS (SELECT * FROM ex WHERE word IN (SELECT word FROM few)), c AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM b x JOIN b y ON x.word = y.word AND x.doc_id < y.doc_id),
+cl AS (SELECT doc_id, source, w, {CLASS_SQL} AS k FROM sig),
+m AS (SELECT p.k AS ka, q.k AS kb FROM c JOIN cl p ON p.doc_id = c.a JOIN cl q ON q.doc_id = c.b WHERE p.source = q.source AND (len(list_intersect(p.w, q.w)) >= 5 OR (least(len(p.w), len(q.w)) >= 4 AND len(list_intersect(p.w, q.w)) >= CAST(0.55 AS DOUBLE) * least(len(p.w), len(q.w)))) AND len(p.k) > 0 AND len(q.k) > 0 AND len(list_intersect(p.k, q.k)) = 0)
+SELECT least(array_to_string(ka, '/'), array_to_string(kb, '/')) AS first, greatest(array_to_string(ka, '/'), array_to_string(kb, '/')) AS second, count(*) AS n FROM m GROUP BY 1, 2""")
+def stage_collisions(spark, sf_dir):
+    """CLU-11: pairs that words would join and stages keep apart, counted by the classes that do."""
+    kinds = lambda *names: F.array(*[F.lit(n) for n in names])
+    classes = F.when(F.col("doc_id") % 2 == 0, kinds("fall", "rise")).when(F.col("doc_id") % 3 == 0, kinds("vote")).when(F.col("doc_id") % 5 == 0, kinds("fall")).otherwise(F.array().cast("array<string>"))
+    items = written(rows(spark, sf_dir).select("doc_id", "source", "w", classes.alias("k")).where("size(k) > 0"), "items")
+    # words are counted over all rows, pairs are sought among those with a class
+    few = pairs.word_counts(rows(spark, sf_dir), "w").where(F.col("df").between(2, FEW)).select("word")
+    spread = items.select("doc_id", "source", F.explode("w").alias("word")).join(few, "word", "left_semi")
+    met = spread.select("word", "source", F.col("doc_id").alias("a")).join(spread.select("word", "source", F.col("doc_id").alias("b")), ["word", "source"]).where("a < b").select("a", "b").distinct()
+    x, y = (items.select(F.col("doc_id").alias(n), F.col("w").alias(f"w{n}"), F.col("k").alias(f"k{n}")) for n in "ab")
+    found = met.join(x, "a").join(y, "b").withColumn("shared", F.size(F.array_intersect("wa", "wb"))).withColumn("small", F.least(F.size("wa"), F.size("wb")))
+    found = found.where(((F.col("shared") >= history.ENOUGH) | ((F.col("small") >= history.LEAST_WORDS) & (F.col("shared") >= F.lit(history.RATIO) * F.col("small")))) & ~F.arrays_overlap("ka", "kb"))
+    first, second = F.array_join("ka", "/"), F.array_join("kb", "/")
+    return found.groupBy(F.least(first, second).alias("first"), F.greatest(first, second).alias("second")).agg(F.count("*").alias("n"))
+
+
+def same_stories(spark, sf_dir):
+    """Pairs (a, b) of CLU-03 among rows of a source: words, or a rare shared name and three words; never two stages."""
+    items, found = linked(spark, sf_dir)
+    told = stages.facts(items, "headline", "ung", "tion", "aux", "ment", CLASSES)
+    names = F.array_distinct(F.transform(F.regexp_extract_all("headline", F.lit("([A-Z][a-z]{4,})"), F.lit(1)), F.lower))
+    told = written(told.select("doc_id", "source", "w", "stage", names.alias("names")), "told")
+    rare = pairs.banded(pairs.word_counts(told, "names"))
+    spread = told.select("doc_id", "source", F.explode("names").alias("word")).join(rare, "word", "left_semi")
+    named = spread.select("word", "source", F.col("doc_id").alias("a")).join(spread.select("word", "source", F.col("doc_id").alias("b")), ["word", "source"]).where("a < b").select("a", "b", F.lit(True).alias("named")).distinct()
+    met = found.select("a", "b", F.lit(1).alias("uncommon")).join(named, ["a", "b"], "full")
+    x, y = (told.select(F.col("doc_id").alias(n), F.col("source").alias(f"s{n}"), F.col("w").alias(f"w{n}"), F.col("stage").alias(f"t{n}")) for n in "ab")
+    both = met.join(x, "a").join(y, "b")
+    fits = stages.same_story(F.size(F.array_intersect("wa", "wb")), F.least(F.size("wa"), F.size("wb")), F.coalesce("uncommon", F.lit(0)), F.coalesce("named", F.lit(False)), F.col("sa"), F.col("sb"), stages.is_development(F.col("ta"), F.col("tb")))
+    return items, both.where(fits).select("a", "b")
+
+
+@query("story_marks")
+def story_marks(spark, sf_dir):
+    """CLU-03, CLU-04: greedy clusters of one story and the mark of each member; no SQL, the order decides."""
+    items, found = same_stories(spark, sf_dir)
+    members = cluster.stars(items.select(F.col("doc_id").alias("id")), found).withColumnRenamed("lead", "cluster")
+    facts = items.select(F.col("doc_id").alias("id"), "n_chars", F.contains("headline", F.lit("|")).alias("comment"), F.col("source").isin("src0", "src5").alias("followed"))
+    return desk.cluster_marks(members.join(facts, "id"), "n_chars", "comment", "followed")
