@@ -200,17 +200,20 @@ CLASS_SQL = "CASE WHEN doc_id % 2 = 0 THEN ['fall', 'rise'] WHEN doc_id % 3 = 0
 @query("stage_collisions", f"""WITH {ROWS_SQL}, ex AS (SELECT doc_id, unnest(w) AS word FROM sig), few AS (SELECT word FROM ex GROUP BY word HAVING count(*) BETWEEN 2 AND {FEW}),
 b AS (SELECT * FROM ex WHERE word IN (SELECT word FROM few)), c AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM b x JOIN b y ON x.word = y.word AND x.doc_id < y.doc_id),
 cl AS (SELECT doc_id, source, w, {CLASS_SQL} AS k FROM sig),
-m AS (SELECT p.k AS ka, q.k AS kb FROM c JOIN cl p ON p.doc_id = c.a JOIN cl q ON q.doc_id = c.b WHERE p.source = q.source AND (len(list_intersect(p.w, q.w)) >= 5 OR (least(len(p.w), len(q.w)) >= 4 AND len(list_intersect(p.w, q.w)) >= CAST(0.55 AS DOUBLE) * least(len(p.w), len(q.w)))) AND len(p.k) > 0 AND len(q.k) > 0 AND len(list_intersect(p.k, q.k)) = 0)
+m AS (SELECT p.k AS ka, q.k AS kb FROM c JOIN cl p ON p.doc_id = c.a JOIN cl q ON q.doc_id = c.b WHERE length(p.source) = length(q.source) AND (len(list_intersect(p.w, q.w)) >= 5 OR (least(len(p.w), len(q.w)) >= 4 AND len(list_intersect(p.w, q.w)) >= CAST(0.55 AS DOUBLE) * least(len(p.w), len(q.w)))) AND len(p.k) > 0 AND len(q.k) > 0 AND len(list_intersect(p.k, q.k)) = 0)
 SELECT least(array_to_string(ka, '/'), array_to_string(kb, '/')) AS first, greatest(array_to_string(ka, '/'), array_to_string(kb, '/')) AS second, count(*) AS n FROM m GROUP BY 1, 2""")
 def stage_collisions(spark, sf_dir):
-    """CLU-11: pairs that words would join and stages keep apart, counted by the classes that do."""
+    """CLU-11: pairs that words would join and stages keep apart, counted by the classes that do.
+
+    The length of a source's name stands for the section, as near copies lie in several sources.
+    """
     kinds = lambda *names: F.array(*[F.lit(n) for n in names])
     classes = F.when(F.col("doc_id") % 2 == 0, kinds("fall", "rise")).when(F.col("doc_id") % 3 == 0, kinds("vote")).when(F.col("doc_id") % 5 == 0, kinds("fall")).otherwise(F.array().cast("array<string>"))
-    items = written(rows(spark, sf_dir).select("doc_id", "source", "w", classes.alias("k")).where("size(k) > 0"), "items")
+    items = written(rows(spark, sf_dir).select("doc_id", F.char_length("source").alias("section"), "w", classes.alias("k")).where("size(k) > 0"), "items")
     # words are counted over all rows, pairs are sought among those with a class
     few = pairs.word_counts(rows(spark, sf_dir), "w").where(F.col("df").between(2, FEW)).select("word")
-    spread = items.select("doc_id", "source", F.explode("w").alias("word")).join(few, "word", "left_semi")
-    met = spread.select("word", "source", F.col("doc_id").alias("a")).join(spread.select("word", "source", F.col("doc_id").alias("b")), ["word", "source"]).where("a < b").select("a", "b").distinct()
+    spread = items.select("doc_id", "section", F.explode("w").alias("word")).join(few, "word", "left_semi")
+    met = spread.select("word", "section", F.col("doc_id").alias("a")).join(spread.select("word", "section", F.col("doc_id").alias("b")), ["word", "section"]).where("a < b").select("a", "b").distinct()
     x, y = (items.select(F.col("doc_id").alias(n), F.col("w").alias(f"w{n}"), F.col("k").alias(f"k{n}")) for n in "ab")
     found = met.join(x, "a").join(y, "b").withColumn("shared", F.size(F.array_intersect("wa", "wb"))).withColumn("small", F.least(F.size("wa"), F.size("wb")))
     found = found.where(((F.col("shared") >= history.ENOUGH) | ((F.col("small") >= history.LEAST_WORDS) & (F.col("shared") >= F.lit(history.RATIO) * F.col("small")))) & ~F.arrays_overlap("ka", "kb"))
