@@ -403,6 +403,21 @@ def test_near(spark, corpus, tmp_path):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(got.values())
 
 
+def test_near_recall_on_a_whole_table(spark):
+    """All pairs of a table at 0.8 or more, found through an index of all shingles: none may be missed."""
+    rows = sorted((r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect())
+    owner, values, counts = near.shingles([t for _, t in rows])
+    edges = np.searchsorted(owner, np.arange(len(rows) + 1))
+    sets = [(values[i:j], near.weigh(counts[i:j])) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+    posts = collections.defaultdict(list)
+    for i, v in zip(owner.tolist(), values.tolist(), strict=True):
+        posts[v].append(i)
+    shared = collections.Counter((a, b) for ids in posts.values() for k, a in enumerate(ids) for b in ids[k + 1 :])
+    wanted = [(a, b) for (a, b), n in shared.items() if n * 2 >= min(len(sets[a][0]), len(sets[b][0])) and near.similarity(sets[a], sets[b]) >= 0.8]
+    got = {r.doc_id: r.class_id for r in near.op6_near(spark, "/root/testdata/sf0.01").collect()}
+    assert len(wanted) > 50 and all(got[rows[a][0]] == got[rows[b][0]] for a, b in wanted)
+
+
 def test_near_blocks_find_links_across_classes(spark, monkeypatch):
     monkeypatch.setattr(near, "ROWS", 2)
     monkeypatch.setattr(near, "COLUMNS", 3)
