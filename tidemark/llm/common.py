@@ -134,6 +134,18 @@ def slices(batch, columns: str | tuple, rows: int = 256, size: int = 4_000_000):
         yield batch.slice(begin)
 
 
+def trimmed() -> None:
+    """Give memory that a Python worker has freed back to the system, where its allocator can."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def quoted(name: str) -> str:
     """A column's name as an expression that also holds for names with dots."""
     return "`" + name.replace("`", "``") + "`"

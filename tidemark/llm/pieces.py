@@ -31,7 +31,7 @@ from tidemark.llm.common import slices
 
 SPACE = "▁"
 #: Segmented words remembered by a Python worker at most (it starts anew when full).
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 class CharsMap:

@@ -26,9 +26,11 @@ import math
 import pickle
 import re
 import sys
+import threading
 import uuid
 import zlib
 from collections import Counter
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
-from tidemark.llm.common import slices
+from tidemark.llm.common import slices, trimmed
 
 #: Labelled documents that are learnt from, at most.
 EXAMPLES = 10_000
@@ -45,6 +47,8 @@ NEIGHBOURS = 15
 BLOCK, COMMON = 128, 256
 #: Votes that a neighbourhood starts with, at the sample's toxic rate.
 PRIOR = 0.5
+#: Seconds that a Python worker keeps the model after a task.
+IDLE = 3.0
 WORD = re.compile(r"\w+")
 
 
@@ -152,7 +156,7 @@ def unit(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 class Model:
     """Everything a task needs: words, index, calibration. Its size is bounded by the words of EXAMPLES texts.
 
-    It travels packed and is unpacked once by each Python worker, which keeps the latest model only.
+    It travels packed and is unpacked by each Python worker, which keeps the latest model only, and that for a short while.
     """
 
     def __init__(self, words: list, counted: "tuple | None", rate: float, none: float):
@@ -175,22 +179,44 @@ class Model:
 
     @staticmethod
     def unpacked(key: str, data: bytes) -> "Model":
-        kept = vars(sys).setdefault("tidemark_models", {})
-        if key not in kept:
-            kept.clear()
-            words, counted, rate, none = pickle.loads(zlib.decompress(data))
-            words = words.decode("utf-8", "surrogatepass").split("\n") if words else []
-            if counted is not None:
-                sizes, steps, counts, *rest = counted
-                steps, counts = (np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel().astype(np.int64) for x in (steps, counts))
-                sums = np.cumsum(steps)
-                first = np.cumsum(sizes) - sizes
-                some = sizes > 0
-                before = np.zeros(len(sizes), dtype=np.int64)
-                before[some] = sums[first[some]] - steps[first[some]]
-                counted = (np.repeat(np.arange(len(sizes)), sizes), sums - np.repeat(before, sizes), counts, *rest)
-            kept[key] = Model(words, counted, rate, none)
-        return kept[key]
+        words, counted, rate, none = pickle.loads(zlib.decompress(data))
+        words = words.decode("utf-8", "surrogatepass").split("\n") if words else []
+        if counted is not None:
+            sizes, steps, counts, *rest = counted
+            steps, counts = (np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel() for x in (steps, counts))
+            sums = np.cumsum(steps, dtype=np.int64)
+            first = np.cumsum(sizes) - sizes
+            some = sizes > 0
+            before = np.zeros(len(sizes), dtype=np.int64)
+            before[some] = sums[first[some]] - steps[first[some]]
+            counted = (np.repeat(np.arange(len(sizes)), sizes), sums - np.repeat(before, sizes), counts, *rest)
+        return Model(words, counted, rate, none)
+
+    @staticmethod
+    @contextmanager
+    def borrowed(key: str, data: bytes):
+        """The model for one task. The worker keeps it for the next task, and drops it where none comes for IDLE seconds."""
+        held = vars(sys).setdefault("tidemark_models", {})
+        timer = held.pop("timer", None)
+        if timer:
+            timer.cancel()
+        model = held.get(key)
+        if model is None:
+            held.clear()
+            model = held[key] = Model.unpacked(key, data)
+            trimmed()
+        try:
+            yield model
+        finally:
+            del model
+
+            def drop() -> None:
+                held.clear()
+                trimmed()
+
+            held["timer"] = timer = threading.Timer(IDLE, drop)
+            timer.daemon = True
+            timer.start()
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
         return float((cosines @ self.index.labels[places] + PRIOR * self.rate) / (cosines.sum() + PRIOR))
@@ -277,14 +303,14 @@ def votes(rows: DataFrame, key: str, data: bytes) -> list:
     """(doc_id, vote, label) of every example with words, left out of its own neighbourhood, by id."""
 
     def run(batches):
-        model = Model.unpacked(key, data)
-        for batch in batches:
-            found = []
-            for i, words, counts in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "words", "counts")], strict=True):
-                at = np.array([model.terms[w] for w in words], dtype=np.int64)
-                places, cosines = model.index.nearest(at, unit(at, np.array(counts, dtype=np.float64), model.index.idf), int(np.searchsorted(model.ids, i)))
-                found.append(model.vote(places, cosines))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.float64())], ["doc_id", "toxic", "vote"])
+        with Model.borrowed(key, data) as model:
+            for batch in batches:
+                found = []
+                for i, words, counts in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "words", "counts")], strict=True):
+                    at = np.array([model.terms[w] for w in words], dtype=np.int64)
+                    places, cosines = model.index.nearest(at, unit(at, np.array(counts, dtype=np.float64), model.index.idf), int(np.searchsorted(model.ids, i)))
+                    found.append(model.vote(places, cosines))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.float64())], ["doc_id", "toxic", "vote"])
 
     out = rows.where(F.size("words") > 0).mapInArrow(run, "doc_id long, toxic int, vote double").toArrow()
     return sorted(zip(*[out[c].to_pylist() for c in ("doc_id", "vote", "toxic")], strict=True))
@@ -337,9 +363,8 @@ def scored(docs: DataFrame, learnt: tuple[str, bytes, tuple]) -> DataFrame:
     key, data, curve = learnt
 
     def run(batches):
-        model = Model.unpacked(key, data)
-        for batch in batches:
-            for part in slices(batch, "text"):
+        with Model.borrowed(key, data) as model:
+            for part in (part for batch in batches for part in slices(batch, "text")):
                 found = [model.score(t, curve) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([f[0] for f in found], pa.float64()), pa.array([int(f[0] >= 0.5) for f in found], pa.int32()), pa.array([f[1] for f in found], pa.list_(pa.int64()))], ["doc_id", "score", "predicted", "evidence"])
 
@@ -361,9 +386,8 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     columns, text = plain.columns, f"c{[c.lower() for c in docs.columns].index('text')}"
 
     def run(batches):
-        model = Model.unpacked(key, data)
-        for batch in batches:
-            for part in slices(batch, "text"):
+        with Model.borrowed(key, data) as model:
+            for part in (part for batch in batches for part in slices(batch, "text")):
                 keep = pa.array([model.score(t, curve)[0] < 0.5 for t in part.column("text").to_pylist()], pa.bool_())
                 yield part.filter(keep).select(columns)
 
