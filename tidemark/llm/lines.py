@@ -8,9 +8,9 @@ line (by doc_id, then place) has a Jaccard of the threshold or more with it; lin
 2. Rarity. The words of all these lines are counted in a sketch of fixed size (words share counters),
    which orders all tokens, rarest first, ties by hash. Any one order gives exact results; this one
    makes the rare ones come first.
-3. Witnesses. Lines with the same least or greatest token hash or the same rarest token (as near copies
-   mostly have) are compared with the first of them alone. Those that it removes need no other witness, so that a group of near
-   copies costs one pair a copy and not one for every two.
+3. Witnesses. Lines with the same least token hash (as near copies mostly have) are compared with the first
+   of them alone, and those that stay once more by their greatest token hash. Those that a witness removes
+   need no other, so that a group of near copies costs one pair a copy and not one for every two.
 4. Index. A line is indexed under the tokens of its prefix: two lines at or over the threshold share one
    (the smaller by the shorter prefix that suffices for it). Pairs from this join must also pass the
    length filter, the positional filter, which bounds the overlap by what is left after the shared
@@ -113,7 +113,7 @@ def tokenised(lines: DataFrame, ranks: Column, share: int) -> DataFrame:
     size = F.size("keys")
     sets = sets.select("*", F.when(size > WIDE, F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) != 0)).otherwise(F.array().cast("array<bigint>")).alias("odd"))
     sets = sets.select("*", F.when(size > WIDE, F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) == 0)).otherwise(F.col("keys")).alias("even"))
-    return sets.select(*place, size.alias("n"), parity("even").alias("bits"), parity("odd").alias("bits2"), F.array_append("ends", F.element_at("keys", 1)).alias("ends"), F.slice("keys", F.lit(1), begun(size, share)).alias("prefix"))
+    return sets.select(*place, size.alias("n"), parity("even").alias("bits"), parity("odd").alias("bits2"), "ends", F.slice("keys", F.lit(1), begun(size, share)).alias("prefix"))
 
 
 def parity(keys: str) -> Column:
@@ -141,7 +141,7 @@ def renamed(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[F.col(c).alias(n) for c, n in names.items()])
 
 
-def beaten(pairs: DataFrame, lines: DataFrame, share: int, at_once: bool = False) -> DataFrame:
+def beaten(pairs: DataFrame, lines: DataFrame, share: int) -> DataFrame:
     """(sid, sid2) of the later line of every pair (a, b) whose exact Jaccard reaches the threshold."""
     places = lines.select("sid", "sid2", F.struct("doc", "h", "line").alias("place"))
     told = pairs.hint("shuffle_hash").join(renamed(places, sid="a", sid2="a2", place="pa"), "a").hint("shuffle_hash").join(renamed(places, sid="b", sid2="b2", place="pb"), "b")
@@ -149,8 +149,6 @@ def beaten(pairs: DataFrame, lines: DataFrame, share: int, at_once: bool = False
     first = F.col("pa") < F.col("pb")
     told = told.select(F.when(first, one).otherwise(two).alias("early"), F.when(first, two).otherwise(one).alias("late"))
     told = common.staged(told.select("early.place", F.col("early.sid").alias("a"), F.col("early.sid2").alias("a2"), F.col("late.sid").alias("b"), F.col("late.sid2").alias("b2")), "line-ordered")
-    if at_once:
-        return alike(told, lines, share)
     leads = common.staged(told.groupBy("b", "b2").agg(F.min(F.struct("place", "a", "a2")).alias("e")).select("e.a", "e.a2", "b", "b2"), "line-leads")
     lost = alike(leads, lines, share)
     rest = told.join(renamed(lost, sid="b", sid2="b2"), ["b", "b2"], "left_anti").join(leads, ["a", "a2", "b", "b2"], "left_anti")
@@ -168,13 +166,14 @@ def alike(pairs: DataFrame, lines: DataFrame, share: int) -> DataFrame:
     return out
 
 
-def witnessed(sets: DataFrame, share: int) -> DataFrame:
-    """Pairs (a, b) of each line and the first line with its least or greatest token hash or its rarest token, where they can be alike."""
-    slim = sets.select(F.explode("ends").alias("end"), "doc", "h", "line", "sid", "n", "bits", "bits2")
-    leads = slim.groupBy("end").agg(F.min(F.struct("doc", "h", "line", "sid", "n", "bits", "bits2")).alias("lead"), F.count("*").alias("many")).where("many > 1")
-    leads = leads.select("end", F.col("lead.sid").alias("a"), F.col("lead.n").alias("na"), F.col("lead.bits").alias("ba"), F.col("lead.bits2").alias("ca"))
-    met = renamed(slim, end="end", sid="b", n="nb", bits="bb", bits2="cb").join(leads, "end")
-    return common.staged(met.where((F.col("a") != F.col("b")) & close(F.col("na"), F.col("nb"), share)).select("a", "b").distinct(), "line-pairs")
+def witnessed(sets: DataFrame, lost: DataFrame | None, which: int, share: int) -> DataFrame:
+    """Pairs (a, a2, b, b2) of the first line with a token hash (which: least, greatest) and the others not lost, where they can be alike."""
+    slim = sets.select(F.get("ends", F.lit(which)).alias("end"), "doc", "h", "line", "sid", "sid2", "n", "bits", "bits2")
+    leads = slim.groupBy("end").agg(F.min(F.struct("doc", "h", "line", "sid", "sid2", "n", "bits", "bits2")).alias("lead"), F.count("*").alias("many")).where("many > 1")
+    leads = leads.select("end", *[F.col(f"lead.{c}").alias(n) for c, n in (("sid", "a"), ("sid2", "a2"), ("n", "na"), ("bits", "ba"), ("bits2", "ca"))])
+    asked = slim if lost is None else slim.join(lost, ["sid", "sid2"], "left_anti")
+    met = renamed(asked, end="end", sid="b", sid2="b2", n="nb", bits="bb", bits2="cb").join(leads, "end")
+    return common.staged(met.where((F.col("a") != F.col("b")) & close(F.col("na"), F.col("nb"), share)).select("a", "a2", "b", "b2"), "line-pairs")
 
 
 def indexed(sets: DataFrame, lost: DataFrame, share: int) -> DataFrame:
@@ -206,7 +205,8 @@ def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFra
         rows = rows_of(docs)
         lines = apart(common.bucketed(equal_lines(rows), "line-firsts", "sid", "zstd"), rows)
         sets = common.bucketed(tokenised(lines, rarity(lines), share), "line-sets", "sid")
-        lost = beaten(witnessed(sets, share), lines, share, at_once=True)
+        lost = alike(witnessed(sets, None, 0, share), lines, share)
+        lost = lost.union(alike(witnessed(sets, lost, 1, share), lines, share))
         more = beaten(indexed(sets, lost, share), lines, share)
         kept = sets.select("sid", "sid2", "doc", "h", "line").join(lost.union(more), ["sid", "sid2"], "left_anti")
         return common.staged(kept.groupBy("doc", "h").agg(F.collect_list("line").alias("kept")), "line-kept")
