@@ -31,16 +31,18 @@ def daily(stream: DataFrame, time: str, late: str = "36 hours") -> DataFrame:
 def run_once(stream: DataFrame, target: str, mode: str = "append") -> DataFrame:
     """Drive what is there now through a stream into files in the shared folder, wait, and read them.
 
-    Complete and update results replace the ones before, so the folder holds the last batch alone.
+    A complete result replaces the one before. An update result holds only what its batch changed (none, in the
+    batch that moves the watermark on alone), so those of all batches stand: a key may come several times.
     """
 
     def replace(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/rows")
+        batch.write.mode("overwrite").parquet(f"{target}/rows" if mode == "complete" else f"{target}/rows/{number}")
 
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{target}/checkpoint").trigger(availableNow=True)
     query = writer.format("parquet").start(f"{target}/rows") if mode == "append" else writer.foreachBatch(replace).start()
     query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{target}/rows")
+    reader = stream.sparkSession.read.schema(stream.schema)
+    return (reader.option("recursiveFileLookup", "true") if mode == "update" else reader).parquet(f"{target}/rows")
 
 
 def publish_batches(stream: DataFrame, target: str, checkpoint: str):
