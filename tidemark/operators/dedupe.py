@@ -5,6 +5,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Lets Spark drop a query's shuffle files as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark) -> str:
     """The folder that spark.checkpoint.dir names; a temporary one only on a local master without the setting, as in tests."""
@@ -20,10 +23,15 @@ def shared_dir(spark) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write a round to the shared folder and read it back: a lost executor costs one round."""
+    """Write a round to the shared folder and read it back: a lost executor costs one round, and the round's shuffle files go with it."""
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(at)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(at)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(at)
     out._written = at
     return out
