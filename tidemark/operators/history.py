@@ -3,6 +3,10 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.dedupe import written
+from tidemark.operators.pairs import indexed, mapped, may_share, numbered, word_counts
+from tidemark.operators.select import ranked
+
 RATIO, LEAST_WORDS, ENOUGH, WITH_NAME = 0.55, 4, 5, 3
 
 
@@ -12,12 +16,6 @@ def distinctive(today: DataFrame, past: DataFrame, names: str, low: int = 2, hig
     return both.groupBy("word").agg(F.count("*").alias("df")).where(F.col("df").between(low, high)).select("word")
 
 
-def rarer(rows: DataFrame, key: str, words: str, df: DataFrame, without: int = min(WITH_NAME, ENOUGH) - 1) -> DataFrame:
-    """(key, word) without the most frequent words of each row, ties by word."""
-    counted = rows.select(key, F.explode(words).alias("word")).join(df, "word").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("all"))
-    return counted.select(key, F.explode(F.slice("all", F.lit(1), F.greatest(F.size("all") - without, F.lit(0)))).alias("x")).select(key, "x.word")
-
-
 def ran_before(today: DataFrame, past: DataFrame, key: str, words: str, names: str, edition: str, known: DataFrame | None = None, veto: Column | None = None) -> DataFrame:
     """(key, past_id, edition, shared): each row's latest match.
 
@@ -25,23 +23,34 @@ def ran_before(today: DataFrame, past: DataFrame, key: str, words: str, names: s
     or a distinctive name and three words. Every arm needs three shared words or a ratio of a set of four
     (three words), so rows meet under words; names only add to pairs that share words already. Of three
     shared words one is not among the two most frequent of either side, so these two are left out of the
-    search and shared words are counted on the pairs it finds.
+    search.
+
+    Pairs are judged where they meet. Past rows are numbered by edition, so that of a row's matches only the
+    greatest number is kept, in each task: no pairs are shuffled. A veto may read wa, na, wb, nb and edition.
     """
-    both = today.select(F.explode(words).alias("word")).unionByName(past.select(F.explode(words).alias("word")))
-    df = both.groupBy("word").agg(F.count("*").alias("df"))
-    a = today.select(F.col(key), F.col(words).alias("wa"), F.col(names).alias("na"))
-    b = past.select("past_id", F.col(edition).alias("edition"), F.col(words).alias("wb"), F.col(names).alias("nb"))
-    left, right = rarer(a, key, "wa", df), rarer(b, "past_id", "wb", df)
-    met = left.join(right, "word").select(key, "past_id").distinct()
-    pairs = met.join(a, key).join(b, "past_id").withColumn("shared", F.size(F.array_intersect("wa", "wb"))).where(F.col("shared") >= min(WITH_NAME, ENOUGH))
-    small = F.least(F.size("wa"), F.size("wb"))
-    linked = ((small >= LEAST_WORDS) & (F.col("shared") >= F.lit(RATIO) * small)) | (F.col("shared") >= ENOUGH)
+    least = min(WITH_NAME, ENOUGH)
+    old = written(ranked(past.withColumn("back", -F.col("past_id")), [], [edition, "back"], "place"), "past").drop("back")
+    both = today.select(F.lit(True).alias("now"), F.col(key).alias("id"), F.col(words).alias("w"), F.col(names).alias("names"))
+    rows = both.unionByName(old.select(F.lit(False).alias("now"), F.col("place").alias("id"), F.col(words).alias("w"), F.col(names).alias("names")), allowMissingColumns=True)
+    rows = rows.withColumn("id", F.struct("now", F.col("id")))
+    counts = word_counts(rows, "w").withColumn("rare", F.lit(True))
+    told = numbered(rows.select("id", "w"), counts).join(rows.select("id", F.size("w").alias("n")), "id")
+    if known is not None:
+        own = rows.select("id", F.explode("names").alias("word")).join(known.select("word"), "word", "left_semi").groupBy("id").agg(F.collect_set("word").alias("known"))
+        told = told.join(own, "id", "left")
+    told = written(mapped(told.where(F.size("all") >= least)), "headlines")
+    prefix = F.slice("all", F.lit(1), F.size("all") - (least - 1))
+    side = lambda now, letter: indexed(told.where(F.col("id.now") == now).withColumn("id", F.col("id.id")), prefix, letter)
+    shared, small = F.size(F.array_intersect("a_all", "b_all")), F.least("a_n", "b_n")
+    enough = ((small >= LEAST_WORDS) & (shared >= F.lit(RATIO) * small)) | (shared >= ENOUGH)
     if known is not None:
-        common = pairs.select(key, "past_id", F.explode(F.array_intersect("na", "nb")).alias("word")).join(known, "word", "left_semi").select(key, "past_id").distinct()
-        pairs = pairs.join(common.withColumn("named", F.lit(True)), [key, "past_id"], "left")
-        linked = linked | (F.coalesce("named", F.lit(False)) & (F.col("shared") >= WITH_NAME))
-    found = pairs.where(linked)
+        enough = enough | (F.coalesce(F.arrays_overlap("a_known", "b_known"), F.lit(False)) & (shared >= WITH_NAME))
+    a, b = side(True, "a_"), side(False, "b_")
     if veto is not None:
-        found = found.where(~veto)
-    best = F.max_by(F.struct("past_id", "edition", "shared"), F.struct("edition", (-F.col("past_id")).alias("first")))
-    return found.groupBy(key).agg(best.alias("m")).select(key, "m.past_id", "m.edition", "m.shared")
+        a = a.join(today.select(F.col(key).alias("a_id"), F.col(words).alias("wa"), F.col(names).alias("na")), "a_id")
+        b = b.join(old.select(F.col("place").alias("b_id"), F.col(edition).alias("edition"), F.col(words).alias("wb"), F.col(names).alias("nb")), "b_id")
+    met = a.join(b, "number").where(may_share("a_", "b_", F.lit(least)) & (shared >= least) & enough)
+    met = met if veto is None else met.where(~veto)
+    best = met.groupBy(F.col("a_id").alias(key)).agg(F.max("b_id").cast("int").alias("place"))
+    found = best.join(old.select("place", "past_id", F.col(edition).alias("edition"), F.col(words).alias("wb")), "place").join(today.select(key, F.col(words).alias("wa")), key)
+    return found.select(key, "past_id", "edition", F.size(F.array_intersect("wa", "wb")).alias("shared"))
