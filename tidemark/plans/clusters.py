@@ -24,12 +24,15 @@ sized AS (SELECT a, b, len(list_filter(list_intersect(p.w, q.w), lambda z: z NOT
 prs AS (SELECT a, b, CAST(shared AS INTEGER) AS shared FROM sized WHERE shared >= CAST(0.55 AS DOUBLE) * small OR shared >= 5)"""
 
 
-def linked(spark, sf_dir):
-    items = written(rows(spark, sf_dir).select("doc_id", "source", "headline", "w", "n_chars"), "items")
+def uncommon_words(items):
     counts = pairs.word_counts(items, "w")
     n = items.groupBy().agg(F.count("*").alias("n")).scalar()
-    uncommon = counts.where(F.col("df") < F.greatest(F.lit(float(pairs.COMMON_ROWS)), F.lit(pairs.COMMON_SHARE) * n))
-    return items, pairs.overlapping(items, "doc_id", "w", LABELS, uncommon, 3)
+    return counts.where(F.col("df") < F.greatest(F.lit(float(pairs.COMMON_ROWS)), F.lit(pairs.COMMON_SHARE) * n))
+
+
+def linked(spark, sf_dir):
+    items = written(rows(spark, sf_dir).select("doc_id", "source", "headline", "w", "n_chars"), "items")
+    return items, pairs.overlapping(items, "doc_id", "w", LABELS, uncommon_words(items), 3)
 
 
 @query("overlap_pairs", PAIR_SQL + " SELECT a, b, shared FROM prs")
@@ -223,18 +226,20 @@ def stage_collisions(spark, sf_dir):
 
 def same_stories(spark, sf_dir):
     """Pairs (a, b) of CLU-03 among rows of a source: words, or a rare shared name and three words; never two stages."""
-    items, found = linked(spark, sf_dir)
+    items = written(rows(spark, sf_dir).select("doc_id", "source", "headline", "w", "n_chars"), "items")
     told = stages.facts(items, "headline", "ung", "tion", "aux", "ment", CLASSES)
     names = F.array_distinct(F.transform(F.regexp_extract_all("headline", F.lit("([A-Z][a-z]{4,})"), F.lit(1)), F.lower))
     told = written(told.select("doc_id", "source", "w", "stage", names.alias("names")), "told")
+    # pairs that words join have enough of them and an uncommon one already
+    one_story = lambda x, y: stages.same_story(F.lit(pairs.ENOUGH), F.lit(pairs.ENOUGH), F.lit(1), F.lit(False), x("source"), y("source"), stages.is_development(x("stage"), y("stage")))
+    found = pairs.overlapping(told, "doc_id", "w", LABELS, uncommon_words(items), 3, ("source", "stage"), one_story)
     rare = pairs.banded(pairs.word_counts(told, "names"))
     spread = told.select("doc_id", "source", F.explode("names").alias("word")).join(rare, "word", "left_semi")
-    named = spread.select("word", "source", F.col("doc_id").alias("a")).join(spread.select("word", "source", F.col("doc_id").alias("b")), ["word", "source"]).where("a < b").select("a", "b", F.lit(True).alias("named")).distinct()
-    met = found.select("a", "b", F.lit(1).alias("uncommon")).join(named, ["a", "b"], "full")
+    named = spread.select("word", "source", F.col("doc_id").alias("a")).join(spread.select("word", "source", F.col("doc_id").alias("b")), ["word", "source"]).where("a < b").select("a", "b").distinct()
     x, y = (told.select(F.col("doc_id").alias(n), F.col("source").alias(f"s{n}"), F.col("w").alias(f"w{n}"), F.col("stage").alias(f"t{n}")) for n in "ab")
-    both = met.join(x, "a").join(y, "b")
-    fits = stages.same_story(F.size(F.array_intersect("wa", "wb")), F.least(F.size("wa"), F.size("wb")), F.coalesce("uncommon", F.lit(0)), F.coalesce("named", F.lit(False)), F.col("sa"), F.col("sb"), stages.is_development(F.col("ta"), F.col("tb")))
-    return items, both.where(fits).select("a", "b")
+    both = named.join(x, "a").join(y, "b")
+    fits = stages.same_story(F.size(F.array_intersect("wa", "wb")), F.least(F.size("wa"), F.size("wb")), F.lit(0), F.lit(True), F.col("sa"), F.col("sb"), stages.is_development(F.col("ta"), F.col("tb")))
+    return items, found.select("a", "b").union(both.where(fits).select("a", "b"))
 
 
 @query("story_marks")
