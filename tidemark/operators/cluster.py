@@ -13,39 +13,51 @@ def stars(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     node whose smaller neighbours are all decided members leads, and its undecided neighbours become
     members. Each member goes to its least leader.
     """
-    edges = written(pairs.select("a", "b"), "star-edges")
+    edges = live = written(pairs.select("a", "b"), "star-edges")
     undecided = written(nodes.select("id").distinct(), "star-nodes")
     leaders = None
     while True:
-        live = edges.join(undecided.withColumnRenamed("id", "a"), "a", "left_semi").join(undecided.withColumnRenamed("id", "b"), "b", "left_semi")
-        blocked = live.select(F.col("b").alias("id")).distinct()
-        won = written(undecided.join(blocked, "id", "left_anti"), "star-leaders")
+        won = written(undecided.join(live.select(F.col("b").alias("id")).distinct(), "id", "left_anti"), "star-leaders")
         leaders = won if leaders is None else leaders.union(won)
-        taken = live.join(won.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id"))
+        taken = live.join(won.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct()
         before, undecided = undecided, written(undecided.join(won, "id", "left_anti").join(taken, "id", "left_anti"), "star-left")
         discarded(before)
+        # edges shrink with the nodes; all of them are read once more for the members
+        spent, live = live, written(live.join(undecided.withColumnRenamed("id", "a"), "a", "left_semi").join(undecided.withColumnRenamed("id", "b"), "b", "left_semi"), "star-live")
+        if spent is not edges:
+            discarded(spent)
         if undecided.isEmpty():
             break
     discarded(undecided)
+    discarded(live)
     lead = leaders.select(F.col("id").alias("a"))
-    members = edges.join(lead, "a", "left_semi").join(leaders.select(F.col("id").alias("b")), "b", "left_anti").groupBy("b").agg(F.min("a").alias("lead"))
+    members = written(edges.join(lead, "a", "left_semi").groupBy("b").agg(F.min("a").alias("lead")), "star-members")
+    discarded(edges)
+    members = members.join(leaders.select(F.col("id").alias("b")), "b", "left_anti")
     return leaders.select("id", F.col("id").alias("lead")).union(members.select(F.col("b").alias("id"), "lead"))
 
 
 def components(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, component): the least id of each connected component, by label passing with shortcuts."""
-    both = written(pairs.select("a", "b").union(pairs.select("b", "a")).distinct(), "component-edges")
-    table = labels = written(nodes.select("id", F.col("id").alias("label")).distinct(), "component-labels")
-    while True:
-        seen = both.join(labels, both["b"] == labels["id"]).groupBy(F.col("a").alias("id")).agg(F.min("label").alias("seen"))
-        step = labels.join(seen, "id", "left").select("id", F.col("label").alias("was"), F.least("label", F.coalesce("seen", "label")).alias("label"))
-        up = step.select(F.col("id").alias("label"), F.col("label").alias("above"))
-        new = written(step.join(up, "label").select("id", "was", F.least("label", "above").alias("label")), "component-labels")
-        discarded(table)
-        if new.where("label <> was").isEmpty():
-            discarded(both)
-            return new.select("id", F.col("label").alias("component"))
-        table, labels = new, new.select("id", "label")
+    """(id, component): the least id of each connected component.
+
+    Every node goes to its least smaller neighbour (and on to that one's), nodes that met are then one, and
+    edges lie between what is left, until there are none; the least node of a component never goes.
+    """
+    edges = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b"), "component-edges")
+    labels = written(nodes.select("id", F.col("id").alias("label")).distinct(), "component-labels")
+    while not edges.isEmpty():
+        least = written(edges.groupBy("b").agg(F.min("a").alias("a")), "component-least")
+        above = least.select(F.col("b").alias("a"), F.col("a").alias("above"))
+        steps = written(least.join(above, "a", "left").select("b", F.coalesce("above", "a").alias("to")), "component-steps")
+        low, high = steps.select(F.col("b").alias("a"), F.col("to").alias("low")), steps.select("b", F.col("to").alias("high"))
+        moved = edges.join(high, "b").where("high <> a").select("a", "high").join(low, "a", "left").select(F.coalesce("low", "a").alias("x"), F.col("high").alias("y"))
+        moved = moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        was, edges = edges, written(moved, "component-edges")
+        before, labels = labels, written(labels.join(steps.select(F.col("b").alias("label"), "to"), "label", "left").select("id", F.coalesce("to", "label").alias("label")), "component-labels")
+        for table in (was, before, least, steps):
+            discarded(table)
+    discarded(edges)
+    return labels.select("id", F.col("label").alias("component"))
 
 
 def headed(groups: DataFrame, sets: DataFrame, least: int) -> DataFrame:
