@@ -134,6 +134,18 @@ def test_furniture_runs(spark):
     assert {(r.id, r.begin, r.length) for r in runs} == {(i, 1, 12) for i in range(4)}
 
 
+def test_furniture_keys_stand_for_grams(spark):
+    rng = random.Random(12)
+    docs = [(i, rng.choice(["h", "g", None]), " ".join(rng.choice([f"bar{k}" for k in range(30)]) if rng.random() < 0.1 else f"m{(i + k) % 9}" for k in range(40))) for i in range(30)]
+    df = spark.createDataFrame(docs, "id long, host string, text string")
+    spelt, keys = furniture.learned(df, "host", "text", 3, 0.0), furniture.learned_keys(df, "host", "text", 3)
+    assert keys.count() == spelt.count() > 0 and keys.dtypes == [("k1", "bigint"), ("k2", "bigint")]
+    one, two = (sorted(tuple(r) for r in furniture.furniture_runs(df, "id", "host", "text", k).collect()) for k in (spelt, keys))
+    assert one == two and one
+    plan = furniture.furniture_runs(df, "id", "host", "text", keys)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Exchange" in x and "gram" in x]  # no words are shuffled
+
+
 def test_window_and_limits(spark):
     now = F.lit("2024-01-29 12:00:00").cast("timestamp")  # a Monday
     df = spark.createDataFrame([(1, "2024-01-26 12:00:00", None), (2, "2024-01-25 12:00:00", None), (3, "2024-01-23 12:00:00", 168)], "id long, t string, own int").withColumn("t", F.col("t").cast("timestamp"))

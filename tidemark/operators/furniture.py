@@ -23,11 +23,24 @@ def learned(rows: DataFrame, host: str, text: str, least: int, share: float, n:
     return each.join(sizes, "host").where(F.col("df") >= F.greatest(F.lit(float(least)), F.lit(share) * F.col("docs"))).select("host", "gram", "df")
 
 
+def keyed(rows: DataFrame, *columns: str) -> DataFrame:
+    """(columns, k1, k2): 128 bits for the host and gram of each row; they stand for the words, which take several times as much of a shuffle."""
+    return rows.select(*columns, F.xxhash64("host", "gram").alias("k1"), F.xxhash64(F.lit(1), "gram", "host").alias("k2"))
+
+
+def learned_keys(rows: DataFrame, host: str, text: str, least: int, n: int = GRAM) -> DataFrame:
+    """(k1, k2) of the n-grams in at least so many of a host's documents: learned() without a share, and without words in the shuffle."""
+    split = rows.select(F.col(host).alias("host"), words(F.col(text)).alias("w")).where(F.col("host").isNotNull())
+    each = keyed(split.select("host", F.explode(F.array_distinct(grams(F.col("w"), n))).alias("gram")))
+    return each.groupBy("k1", "k2").agg(F.count("*").alias("df")).where(F.col("df") >= least).select("k1", "k2")
+
+
 def furniture_runs(rows: DataFrame, id_column: str, host: str, text: str, known: DataFrame, n: int = GRAM, least_run: int = LEAST_RUN) -> DataFrame:
-    """(id, begin, length) of every run of at least `least_run` words that known grams cover: gaps and islands."""
-    split = rows.select(F.col(id_column).alias("id"), F.col(host).alias("host"), words(F.col(text)).alias("w"))
-    spread = split.select("id", "host", F.posexplode(grams(F.col("w"), n)).alias("at", "gram"))
-    hits = spread.join(known.select("host", "gram"), ["host", "gram"], "left_semi").select("id", F.explode(F.sequence(F.col("at"), F.col("at") + (n - 1))).alias("word")).distinct()
+    """(id, begin, length) of every run of at least `least_run` words that known grams (host, gram) or their keys cover: gaps and islands."""
+    split = rows.select(F.col(id_column).alias("id"), F.col(host).alias("host"), words(F.col(text)).alias("w")).where(F.col("host").isNotNull())
+    spread = keyed(split.select("id", "host", F.posexplode(grams(F.col("w"), n)).alias("at", "gram")), "id", "at")
+    keys = keyed(known) if "gram" in known.columns else known
+    hits = spread.join(keys, ["k1", "k2"], "left_semi").select("id", F.explode(F.sequence(F.col("at"), F.col("at") + (n - 1))).alias("word")).distinct()
     island = F.col("word") - F.row_number().over(Window.partitionBy("id").orderBy("word"))
     return hits.withColumn("island", island).groupBy("id", "island").agg(F.min("word").alias("begin"), F.count("*").alias("length")).where(F.col("length") >= least_run).drop("island")
 
