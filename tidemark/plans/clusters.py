@@ -180,7 +180,7 @@ SELECT doc_id AS id, CAST(min(word) AS INTEGER) AS "begin", count(*) AS length F
 def furniture_runs(spark, sf_dir):
     """WIN-09's runs of learned furniture, ten words at least; furniture_cuts joins them."""
     docs = base.table(spark, sf_dir, "documents")
-    known = written(furniture.learned(docs, "source", "text", 3, 0.0), "furniture")
+    known = written(furniture.learned_keys(docs, "source", "text", 3), "furniture")
     return furniture.furniture_runs(docs, "doc_id", "source", "text", known)
 
 
