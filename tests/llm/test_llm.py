@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, licenses, lines, media, mixing, near, phrases, pieces, queries, toxicity, urls
+from tidemark.llm import common, fingerprints, licenses, lines, media, mixing, near, phrases, pieces, queries, toxicity, urls
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -513,6 +513,19 @@ def test_lines_of_near_copies(spark):
     assert got == brute_lines(texts, range(len(texts)))
 
 
+def test_lines_removed_later_are_no_pairs(spark):
+    """A removed line meets the later lines that stay, not the earlier ones: it can remove those only."""
+    words = [f"w{i}" for i in range(30)]
+    rows = lines.rows_of(documents(spark, [" ".join(words[:k] + ["other"] + words[k + 1 :]) for k in range(12)]))
+    firsts = lines.apart(lines.equal_lines(rows), rows)
+    sets = common.staged(lines.tokenised(firsts, lines.rarity(firsts), 800), "test-sets")
+    ids = [r.doc for r in sets.select("doc").orderBy("doc").collect()]
+    late = sets.where(F.col("doc") > ids[0]).select("sid", "sid2")
+    assert lines.indexed(sets, late, 800).isEmpty()
+    early = sets.where(F.col("doc") < ids[-1]).select("sid", "sid2")
+    assert lines.indexed(sets, early, 800).count() == 11
+
+
 def test_lines_keep_columns_of_clashing_names(spark):
     names = ["n_lines", "n_removed", "__doc", "__h", "doc", "h", "kept", "line", "sid", "first", "text_hash", "a.b"]
     docs = documents(spark, ["a b\na b", None, "c"])

@@ -15,7 +15,7 @@ line (by doc_id, then place) has a Jaccard of the threshold or more with it; lin
    (the smaller by the shorter prefix that suffices for it). Pairs from this join must also pass the
    length filter, the positional filter, which bounds the overlap by what is left after the shared
    token's places, and a parity map, which bounds the difference; two lines that are both removed
-   already are no pair.
+   already are no pair, nor is a removed line with an earlier one that stays.
 5. Surviving pairs are verified by the exact Jaccard of their words; the later line of a pair goes. A
    line is held against the first of its pairs, and if it stays, against the others.
 
@@ -168,34 +168,47 @@ def alike(pairs: DataFrame, lines: DataFrame, share: int) -> DataFrame:
 
 def witnessed(sets: DataFrame, lost: DataFrame | None, which: int, share: int) -> DataFrame:
     """Pairs (a, a2, b, b2) of the first line with a token hash (which: least, greatest) and the others not lost, where they can be alike."""
-    slim = sets.select(F.get("ends", F.lit(which)).alias("end"), "doc", "h", "line", "sid", "sid2", "n", "bits", "bits2")
-    leads = slim.groupBy("end").agg(F.min(F.struct("doc", "h", "line", "sid", "sid2", "n", "bits", "bits2")).alias("lead"), F.count("*").alias("many")).where("many > 1")
-    leads = leads.select("end", *[F.col(f"lead.{c}").alias(n) for c, n in (("sid", "a"), ("sid2", "a2"), ("n", "na"), ("bits", "ba"), ("bits2", "ca"))])
+    # the place as one number, but for the text's hash: rows of one id and several texts are left to the index
+    place = F.col("doc").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + F.col("line").cast("decimal(10,0)")
+    slim = sets.select(F.get("ends", F.lit(which)).alias("end"), "doc", "h", place.alias("place"), "sid", "sid2", "n", "bits", "bits2")
+    # numbers alone, which are aggregated by hash and not by sorting; places differ but for such rows
+    lead = {"a": "sid", "a2": "sid2", "da": "doc", "ha": "h", "na": "n", "ba": "bits", "ca": "bits2"}
+    leads = slim.groupBy("end").agg(F.min("place").alias("pa"), F.count("*").alias("many"), *[F.min_by(c, "place").alias(k) for k, c in lead.items()]).where("many > 1").drop("many")
     asked = slim if lost is None else slim.join(lost, ["sid", "sid2"], "left_anti")
-    met = renamed(asked, end="end", sid="b", sid2="b2", n="nb", bits="bb", bits2="cb").join(leads, "end")
-    return common.staged(met.where((F.col("a") != F.col("b")) & close(F.col("na"), F.col("nb"), share)).select("a", "a2", "b", "b2"), "line-pairs")
+    met = renamed(asked, end="end", doc="db", h="hb", place="pb", sid="b", sid2="b2", n="nb", bits="bb", bits2="cb").join(leads.hint("shuffle_hash"), "end")
+    earlier = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("ha") == F.col("hb")) & (F.col("pa") < F.col("pb")))
+    return common.staged(met.where(earlier & close(F.col("na"), F.col("nb"), share)).select("a", "a2", "b", "b2"), "line-pairs")
+
+
+def aged(docs: DataFrame) -> Column:
+    """0 to 255: a number that never falls as doc grows, in even steps over the ids."""
+    low, high = docs.where(F.col("doc") != LAST).agg(F.min("doc"), F.max("doc")).first()
+    step = F.lit(0) if low is None or low == high else F.width_bucket(F.col("doc").cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(253))
+    return F.when(F.col("doc") == LAST, 255).otherwise(F.coalesce(step, F.lit(0))).cast("long")
 
 
 def indexed(sets: DataFrame, lost: DataFrame, share: int) -> DataFrame:
     """Pairs (a, b) of lines that share a token of their prefixes, one of them not in lost, where they can be alike."""
     # joined by the bucket's hash alone; should twins of one hash double a line here, pairs are made distinct below
-    marked = sets.join(lost.select("sid", F.col("sid2").alias("lost2")).hint("shuffle_hash"), "sid", "left")
+    marked = sets.withColumn("age", aged(sets)).join(lost.select("sid", F.col("sid2").alias("lost2")).hint("shuffle_hash"), "sid", "left")
     gone = F.when(F.col("lost2") == F.col("sid2"), 1).otherwise(0)
-    index = marked.select("sid", "n", "bits", "bits2", gone.alias("gone"), F.posexplode("prefix").alias("at", "token"))
+    index = marked.select("sid", "n", "bits", "bits2", "age", gone.alias("gone"), F.posexplode("prefix").alias("at", "token"))
     n, at = F.col("n"), F.col("at")
     # a, the smaller line, is found by a shorter prefix: up to what the least overlap with a line of its own size leaves
     short = at < n - F.call_function("div", n * (2 * share) + (999 + share), F.lit(1000 + share)) + 1
-    # one number holds a line's tokens and the token's place (28 bits each), whether that is in the shorter prefix and whether the line is removed
-    shape = F.shiftleft(n.cast("long"), 30).bitwiseOR(F.shiftleft(at.cast("long"), 2)).bitwiseOR((F.when(short, 2).otherwise(0) + F.col("gone")).cast("long"))
+    # one number holds a line's tokens (27 bits), the token's place (26), the line's age (8), whether that place is in the shorter prefix and whether the line is removed
+    shape = F.shiftleft(n.cast("long"), 36).bitwiseOR(F.shiftleft(at.cast("long"), 10)).bitwiseOR(F.shiftleft("age", 2)).bitwiseOR((F.when(short, 2).otherwise(0) + F.col("gone")).cast("long"))
     index = index.select("token", "sid", shape.alias("shape"), "bits", "bits2")
     a, b = renamed(index, token="token", sid="a", shape="va", bits="ba", bits2="ca"), renamed(index, token="token", sid="b", shape="vb", bits="bb", bits2="cb")
     va, vb = F.col("va"), F.col("vb")
     flag = lambda v, bit: v.bitwiseAND(F.lit(bit))
-    (na, ia), (nb, ib) = ((F.shiftright(v, 30).cast("int"), F.shiftright(v, 2).bitwiseAND(F.lit(2**28 - 1)).cast("int")) for v in (va, vb))
+    (na, ia, ea), (nb, ib, eb) = ((F.shiftright(v, 36).cast("int"), F.shiftright(v, 10).bitwiseAND(F.lit(2**26 - 1)).cast("int"), flag(v, 255 << 2)) for v in (va, vb))
     # vb & 0 is 0: it keeps the test in the join, so that both sides read one exchange
     near = (flag(va, 2) > flag(vb, 0)) & ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & close(na, nb, share)
     near = near & (F.least(na - ia, nb - ib) * (1000 + share) >= (na + nb) * share) & (flag(va, 1) + flag(vb, 1) < 2)
-    return common.staged(a.join(b, "token").where(near).select("a", "b").distinct(), "line-pairs")
+    # the later line of a pair goes: where that is removed already, nothing is left to find
+    near = near & ((flag(va, 1) == 0) | (ea <= eb)) & ((flag(vb, 1) == 0) | (eb <= ea))
+    return common.staged(a.join(b.hint("shuffle_hash"), "token").where(near).select("a", "b").distinct(), "line-pairs")
 
 
 def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFrame:
