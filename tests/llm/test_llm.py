@@ -290,6 +290,17 @@ def test_phrases(spark, corpus, tmp_path, monkeypatch, runs):
     assert got == brute_phrases(texts, ids)
 
 
+def test_phrases_small_automata(spark, monkeypatch):
+    """An automaton's root is searched word by word, so that a shard may not hold much of the table."""
+    words = random.Random(4)
+    texts = [" ".join(f"w{words.randrange(5000)}" for _ in range(40)) for _ in range(1500)]
+    dealt, matches = [], phrases.matches
+    monkeypatch.setattr(phrases, "matches", lambda rows: dealt.append(rows.groupBy("shard").count().agg({"count": "max"}).first()[0]) or matches(rows))
+    found, _ = phrases.located(documents(spark, texts + texts))
+    assert found.count() == len(texts)
+    assert dealt[0] < 4 * 1000
+
+
 def test_phrases_edges(spark):
     long = " ".join(f"w{i}" for i in range(20))
     rows = phrases.digests(documents(spark, [long, long, long, None], ids=[5, 5, None, 6])).collect()

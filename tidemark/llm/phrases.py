@@ -13,7 +13,7 @@ with a smaller id, judged on the input.
    by anchor and compiled with pyahocorasick, words as letters. Every document's text under shared
    anchors streams through the automaton of its shard; a match is exact, word for word, and counts
    where the first document's id is smaller. Text under unshared anchors cannot match and is not
-   sent. Shards hold a bounded number of runs; an anchor with many occurrences has its stream
+   sent. Shards hold a bounded, small number of runs; an anchor with many occurrences has its stream
    dealt over several copies of its patterns.
 
 Nulls count as empty texts, which have no words; a null id stands after all others. Rows with the
@@ -30,12 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
-from tidemark.llm.common import slices
+from tidemark.llm.common import slices, trimmed
 
 WINDOW = 13
 ANCHOR = 7
-#: Runs of windows under one anchor that a shard holds or streams, about, and occurrences of an anchor that one copy of its patterns serves.
+#: Occurrences of an anchor that one copy of its patterns serves.
 SHARD_RUNS = 20_000
+#: Runs of windows under one anchor that a shard holds or streams, about. An automaton looks through all first words of its patterns, one after the other, at each step from its root, so it must be small.
+PATTERN_RUNS = 1_000
 LAST = 2**63 - 1
 
 
@@ -233,6 +235,11 @@ def runs(hot: DataFrame, shards: int) -> DataFrame:
     return hot.mapInArrow(run, "shard int, kind int, doc long, h long, start int, words binary")
 
 
+def shards_for(total: int) -> int:
+    """Shards for so many occurrences of anchors in documents."""
+    return 1 + total // min(PATTERN_RUNS, SHARD_RUNS)
+
+
 def letter(n: int) -> str:
     """The n-th character that is not a surrogate; character 0 stands for words that no pattern has."""
     return chr(n if n < 0xD800 else n + 0x800)
@@ -253,7 +260,7 @@ def matches(rows: DataFrame) -> DataFrame:
         ready = False
         for batch in batches:
             out = []
-            for at, kind, doc, h, start, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for at, kind, doc, h, start, text in zip(*[c.to_numpy().tolist() for c in batch.columns[:-1]], batch.column("words").to_pylist(), strict=True):
                 if at != shard:
                     shard, letters, ready, automaton = at, {}, False, ahocorasick.Automaton(ahocorasick.STORE_ANY)
                 words = text.split()
@@ -275,6 +282,8 @@ def matches(rows: DataFrame) -> DataFrame:
                         out.append((doc, h, found))
             columns = zip(*out, strict=True) if out else [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.list_(pa.int32())], strict=True)], ["doc", "h", "starts"])
+        del automaton, letters
+        trimmed()
 
     return rows.mapInArrow(run, "doc long, h long, starts array<int>")
 
@@ -297,7 +306,7 @@ def located(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     common.release(hot)
     total = texts.agg(F.sum(F.size("anchors"))).first()[0] or 0
     n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    dealt = runs(texts, 1 + total // SHARD_RUNS).repartition(n, "shard").sortWithinPartitions("shard", "kind", F.desc("doc"))
+    dealt = runs(texts, shards_for(total)).repartition(n, "shard").sortWithinPartitions("shard", "kind", F.desc("doc"))
     found = matches(dealt).groupBy("doc", "h").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     return common.staged(found, "phrases-found"), texts
 
@@ -315,9 +324,9 @@ def stripped(found: DataFrame, texts: DataFrame) -> DataFrame:
     """doc, h, n_words, n_removed and the text that is left of every document with repeats."""
 
     def run(batches):
-        for batch in batches:
+        for part in (part for batch in batches for part in slices(batch, "text")):
             rows = []
-            for doc, h, starts, text in zip(*[batch.column(c).to_pylist() for c in ("doc", "h", "starts", "text")], strict=True):
+            for doc, h, starts, text in zip(*[part.column(c).to_pylist() for c in ("doc", "h", "starts", "text")], strict=True):
                 words = text.encode("utf-8", "replace").split()
                 gone = covered(len(words), starts)
                 rows.append((doc, h, len(words), int(gone.sum()), b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode()))
@@ -331,9 +340,9 @@ def whole(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Of every row: doc, h, its number of words and the digest of all its words."""
 
     def run(batches):
-        for batch in batches:
-            words = [t.encode("utf-8", "replace").split() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("h"), pa.array([len(w) for w in words], pa.int64()), pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words], pa.string())], ["doc", "h", "n_words", "all_sha256"])
+        for part in (part for batch in batches for part in slices(batch, "text")):
+            words = [t.encode("utf-8", "replace").split() for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("h"), pa.array([len(w) for w in words], pa.int64()), pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words], pa.string())], ["doc", "h", "n_words", "all_sha256"])
 
     return keyed(docs, id_column, text_column).mapInArrow(run, "doc long, h long, n_words long, all_sha256 string")
 
