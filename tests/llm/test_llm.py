@@ -710,6 +710,18 @@ def test_scores_against_all_cosines(spark):
         assert abs(r.score - (toxicity.curved(vote(mine), curve) if mine else model.none)) < 1e-3
 
 
+def test_driver_gives_memory_back():
+    """Memory freed after learning must leave the driver: Arrow's pool too, which keeps it otherwise."""
+    import pyarrow as pa
+
+    asked = []
+    pool = type("Pool", (), {"release_unused": lambda self: asked.append(1)})()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pa, "default_memory_pool", lambda: pool)
+        common.trimmed()
+    assert asked
+
+
 def test_toxicity(spark, tmp_path):
     rng = random.Random(2)
     bad = ["vile", "scummy", "awful"]

@@ -135,11 +135,14 @@ def slices(batch, columns: str | tuple, rows: int = 256, size: int = 4_000_000):
 
 
 def trimmed() -> None:
-    """Give memory that a Python worker has freed back to the system, where its allocator can."""
+    """Give memory that a Python process has freed back to the system, where its allocators can."""
     import ctypes
     import gc
 
+    import pyarrow as pa
+
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):

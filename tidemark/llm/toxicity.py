@@ -335,7 +335,9 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> tuple[st
         weight = (np.log((1 + docs.count()) / (1 + frequencies(docs, names))) + 1) * telling(bad, held, rate)
         key, data = Model.packed(names, (*postings(rows, names), weight), rate, none)
         del names, weight
+        trimmed()
         found = votes(rows, key, data)
+        trimmed()
         return key, data, fitted([v for _, v, _ in found], [y for _, _, y in found])
 
 
