@@ -537,6 +537,39 @@ def test_lines_removed_later_are_no_pairs(spark):
     assert lines.indexed(sets, early, 800).count() == 11
 
 
+@pytest.mark.parametrize("share", [500, 800, 950, 1000])
+def test_lines_meet_in_their_size_class(spark, share):
+    """Lines that share a token meet if their sizes can be alike, whatever the class, and hardly else; the index is shuffled once."""
+    sizes = range(1, 301)
+    texts = [" ".join(["rare"] + [f"w{n}x{k}" for k in range(n - 1)]) for n in sizes]
+    rows = lines.rows_of(documents(spark, texts, ids=sizes))
+    firsts = common.staged(lines.equal_lines(rows).drop("mixed"), "test-firsts")
+    token = (F.xxhash64(F.lit("rare")).bitwiseAND(F.lit(2**56 - 1))).alias("token")
+    sets = firsts.select("sid", "sid2", "doc", F.size(F.split("string", " ")).alias("n"), F.lit(0).cast("long").alias("bits"), F.lit(0).cast("long").alias("bits2"), F.array(token).alias("prefix"))
+    sets = common.staged(sets, "test-sets")
+    with common.setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        a, b = lines.met(sets, sets.select("sid", "sid2").limit(0), share)
+        joined = a.select("token", "class", F.shiftright("shape", 36).alias("na")).join(b.select("token", "class", F.shiftright("shape", 36).alias("nb")).hint("shuffle_hash"), ["token", "class"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        found = [(r.na, r.nb) for r in joined.select("na", "nb").collect()]
+    assert "class" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+    assert len(found) == len(set(found))
+    assert set(found) >= {(x, y) for x in sizes for y in sizes if x <= y and 1000 * x >= share * y}
+    assert len(found) < (0.62 if share == 500 else 0.35) * len(sizes) ** 2
+
+
+def test_lines_by_pairs_of_all_sizes(spark):
+    """Lines at the threshold and one word below it, for every size up to 130 words: each size class and both parity maps."""
+    texts = []
+    for n in range(4, 131):
+        words = [f"w{n}x{k}" for k in range(n)]
+        more = n // 4
+        texts += [" ".join(words), " ".join(words + [f"m{n}x{k}" for k in range(more)]), " ".join([f"o{n}x{k}" for k in range(more + 1)] + words)]
+    ids = random.Random(4).sample(range(10_000), len(texts))
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.deduped(documents(spark, texts, ids=ids)).collect()}
+    assert got == brute_lines(texts, ids)
+
+
 def test_lines_keep_columns_of_clashing_names(spark):
     names = ["n_lines", "n_removed", "__doc", "__h", "doc", "h", "kept", "line", "sid", "first", "text_hash", "a.b"]
     docs = documents(spark, ["a b\na b", None, "c"])

@@ -59,17 +59,21 @@ def workspace(keep_last: bool = True):
 
 
 @contextmanager
-def cleaning(spark: SparkSession):
-    """Let Spark drop a query's shuffle files as soon as it has ended."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def setting(spark: SparkSession, key: str, value: str):
+    """Hold a setting of the session while a step is written."""
     before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def cleaning(spark: SparkSession):
+    """Let Spark drop a query's shuffle files as soon as it has ended."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write a step's table to the shared folder and read it back.
 

@@ -12,7 +12,10 @@ line (by doc_id, then place) has a Jaccard of the threshold or more with it; lin
    of them alone, and those that stay once more by their greatest token hash. Those that a witness removes
    need no other, so that a group of near copies costs one pair a copy and not one for every two.
 4. Index. A line is indexed under the tokens of its prefix: two lines at or over the threshold share one
-   (the smaller by the shorter prefix that suffices for it). Pairs from this join must also pass the
+   (the smaller by the shorter prefix that suffices for it). They meet by that token and the size class of
+   the larger, so that lines of other sizes cost nothing; a class is as wide as the threshold lets sizes
+   differ, so the smaller line stands in two or three at most. The rows of a token are joined in one task,
+   which holds those of the larger lines (about 70 bytes each). Pairs from this join must also pass the
    length filter, the positional filter, which bounds the overlap by what is left after the shared
    token's places, and a parity map, which bounds the difference; two lines that are both removed
    already are no pair, nor is a removed line with an earlier one that stays.
@@ -31,6 +34,7 @@ of any other name are kept; where the caller has one named like a count, the cou
 """
 
 import json
+import math
 from functools import reduce
 from operator import or_
 
@@ -105,15 +109,17 @@ def rarity(lines: DataFrame) -> Column:
 
 
 def tokenised(lines: DataFrame, ranks: Column, share: int) -> DataFrame:
-    """(sid, sid2, doc, h, line, n, bits, mh, prefix): of every line what the join needs; bits: a map of its prefix."""
+    """(sid, sid2, doc, h, line, n, bits, bits2, ends, prefix): of every line what the join needs; bits: parity maps of its tokens."""
     hashes = F.transform(words_in(F.col("string")), lambda w: F.xxhash64(w))
-    keys = F.transform("hashes", lambda x: F.get(ranks, x.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(x, 8)))
+    rank = lambda x: F.coalesce(F.get(ranks, x.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")), F.lit(0).cast("long"))  # noqa: E731  never null, so that plain longs are sorted
+    keys = F.transform("hashes", lambda x: rank(x).bitwiseOR(F.shiftrightunsigned(x, 8)))
     place = ["sid", "sid2", "doc", "h", "line"]
     sets = lines.select(*place, hashes.alias("hashes")).select(*place, F.array(F.array_min("hashes"), F.array_max("hashes")).alias("ends"), F.sort_array(F.array_distinct(keys)).alias("keys"))
     size = F.size("keys")
     sets = sets.select("*", F.when(size > WIDE, F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) != 0)).otherwise(F.array().cast("array<bigint>")).alias("odd"))
-    sets = sets.select("*", F.when(size > WIDE, F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) == 0)).otherwise(F.col("keys")).alias("even"))
-    return sets.select(*place, size.alias("n"), parity("even").alias("bits"), parity("odd").alias("bits2"), "ends", F.slice("keys", F.lit(1), begun(size, share)).alias("prefix"))
+    # the map of the other half is what the two halves' map and this one differ in
+    sets = sets.select("*", parity("odd").alias("bits2"))
+    return sets.select(*place, size.alias("n"), parity("keys").bitwiseXOR(F.col("bits2")).alias("bits"), "bits2", "ends", F.slice("keys", F.lit(1), begun(size, share)).alias("prefix"))
 
 
 def parity(keys: str) -> Column:
@@ -187,28 +193,54 @@ def aged(docs: DataFrame) -> Column:
     return F.when(F.col("doc") == LAST, 255).otherwise(F.coalesce(step, F.lit(0))).cast("long")
 
 
-def indexed(sets: DataFrame, lost: DataFrame, share: int) -> DataFrame:
-    """Pairs (a, b) of lines that share a token of their prefixes, one of them not in lost, where they can be alike."""
+def met(sets: DataFrame, lost: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
+    """The index as the smaller and as the larger line of a pair: (token, class, sid, shape, bits, bits2) of a and of b.
+
+    A pair meets under a token of both prefixes and the size class of the larger line, for which the smaller
+    one stands in each class that it can be like a line of. Told after the shuffle: both sides read one exchange.
+    """
     # joined by the bucket's hash alone; should twins of one hash double a line here, pairs are made distinct below
     marked = sets.withColumn("age", aged(sets)).join(lost.select("sid", F.col("sid2").alias("lost2")).hint("shuffle_hash"), "sid", "left")
     gone = F.when(F.col("lost2") == F.col("sid2"), 1).otherwise(0)
-    index = marked.select("sid", "n", "bits", "bits2", "age", gone.alias("gone"), F.posexplode("prefix").alias("at", "token"))
-    n, at = F.col("n"), F.col("at")
+    index = marked.select("sid", F.col("n").cast("long").alias("n"), "bits", "bits2", "age", gone.alias("gone"), F.posexplode("prefix").alias("at", "token"))
+    n, at = F.col("n"), F.col("at").cast("long")
     # a, the smaller line, is found by a shorter prefix: up to what the least overlap with a line of its own size leaves
     short = at < n - F.call_function("div", n * (2 * share) + (999 + share), F.lit(1000 + share)) + 1
     # one number holds a line's tokens (27 bits), the token's place (26), the line's age (8), whether that place is in the shorter prefix and whether the line is removed
-    shape = F.shiftleft(n.cast("long"), 36).bitwiseOR(F.shiftleft(at.cast("long"), 10)).bitwiseOR(F.shiftleft("age", 2)).bitwiseOR((F.when(short, 2).otherwise(0) + F.col("gone")).cast("long"))
-    index = index.select("token", "sid", shape.alias("shape"), "bits", "bits2")
-    a, b = renamed(index, token="token", sid="a", shape="va", bits="ba", bits2="ca"), renamed(index, token="token", sid="b", shape="vb", bits="bb", bits2="cb")
-    va, vb = F.col("va"), F.col("vb")
-    flag = lambda v, bit: v.bitwiseAND(F.lit(bit))
-    (na, ia, ea), (nb, ib, eb) = ((F.shiftright(v, 36).cast("int"), F.shiftright(v, 10).bitwiseAND(F.lit(2**26 - 1)).cast("int"), flag(v, 255 << 2)) for v in (va, vb))
-    # vb & 0 is 0: it keeps the test in the join, so that both sides read one exchange
-    near = (flag(va, 2) > flag(vb, 0)) & ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & close(na, nb, share)
-    near = near & (F.least(na - ia, nb - ib) * (1000 + share) >= (na + nb) * share) & (flag(va, 1) + flag(vb, 1) < 2)
+    shape = F.shiftleft(n, 36).bitwiseOR(F.shiftleft(at, 10)).bitwiseOR(F.shiftleft("age", 2)).bitwiseOR((F.when(short, 2).otherwise(0) + F.col("gone")).cast("long"))
+    # 32 bits of a token and the class are one long for the join; neither is ever null, as a test for it would stand below one side's shuffle alone
+    token = F.coalesce(F.shiftright(F.shiftleft("token", 32), 32).cast("int"), F.lit(0))
+    index = index.select(token.alias("token"), "sid", F.coalesce(shape, F.lit(0).cast("long")).alias("shape"), "bits", "bits2").repartition("token")
+    n, at = told("shape")
+    most = F.call_function("div", (n - at) * (1000 + share), F.lit(share)) - n
+    classes = F.when(F.col("shape").bitwiseAND(F.lit(2)) > 0, F.sequence(sized(n, share), sized(most, share))).otherwise(F.array().cast("array<int>"))
+    rest = ["sid", "shape", "bits", "bits2"]
+    return index.select("token", F.explode(classes).alias("class"), *rest), index.select("token", sized(n, share).alias("class"), *rest)
+
+
+def told(shape: str) -> tuple[Column, Column]:
+    """A line's tokens and the token's place."""
+    return F.shiftright(shape, 36), F.shiftright(shape, 10).bitwiseAND(F.lit(2**26 - 1))
+
+
+def sized(n: Column, share: int) -> Column:
+    """The class of lines of n tokens: it never falls as n grows; the sizes a line can be like are of two or three classes."""
+    return F.coalesce(F.floor(F.log(n.cast("double")) / F.lit(max(math.log(1000 / share), 0.05))).cast("int"), F.lit(0))
+
+
+def indexed(sets: DataFrame, lost: DataFrame, share: int) -> DataFrame:
+    """Pairs (a, b) of lines that share a token of their prefixes, one of them not in lost, where they can be alike."""
+    a, b = met(sets, lost, share)
+    a, b = renamed(a, **{"token": "token", "class": "class", "sid": "a", "shape": "va", "bits": "ba", "bits2": "ca"}), renamed(b, **{"token": "token", "class": "class", "sid": "b", "shape": "vb", "bits": "bb", "bits2": "cb"})
+    flag = lambda v, bit: F.col(v).bitwiseAND(F.lit(bit))
+    (na, ia), (nb, ib) = told("va"), told("vb")
+    ea, eb = flag("va", 255 << 2), flag("vb", 255 << 2)
+    near = ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & close(na, nb, share)
+    near = near & (F.least(na - ia, nb - ib) * (1000 + share) >= (na + nb) * share) & (flag("va", 1) + flag("vb", 1) < 2)
     # the later line of a pair goes: where that is removed already, nothing is left to find
-    near = near & ((flag(va, 1) == 0) | (ea <= eb)) & ((flag(vb, 1) == 0) | (eb <= ea))
-    return common.staged(a.join(b.hint("shuffle_hash"), "token").where(near).select("a", "b").distinct(), "line-pairs")
+    near = near & ((flag("va", 1) == 0) | (ea <= eb)) & ((flag("vb", 1) == 0) | (eb <= ea))
+    with common.setting(sets.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):  # else both sides were shuffled again, by token and class
+        return common.staged(a.join(b.hint("shuffle_hash"), ["token", "class"]).where(near).select("a", "b").distinct(), "line-pairs")
 
 
 def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFrame:
