@@ -570,6 +570,14 @@ def test_lines_by_pairs_of_all_sizes(spark):
     assert got == brute_lines(texts, ids)
 
 
+@pytest.mark.parametrize("ids", [[5, 3, None, 4, -2], [2**62, -(2**62), None, 2**61, 7]])
+def test_lines_places_in_order(spark, ids):
+    """Places are one number, a long where ids and lines leave room: by id, then line, null ids last."""
+    rows = common.staged(lines.equal_lines(lines.rows_of(documents(spark, [f"a{k}\nb{k}\nc{k}" for k in range(5)], ids=ids))), "test-firsts")
+    got = [(r.doc, r.line) for r in rows.select("doc", "line", lines.placed(rows).alias("place")).orderBy("place").collect()]
+    assert got == sorted(got) and len(got) == 15
+
+
 def test_lines_keep_columns_of_clashing_names(spark):
     names = ["n_lines", "n_removed", "__doc", "__h", "doc", "h", "kept", "line", "sid", "first", "text_hash", "a.b"]
     docs = documents(spark, ["a b\na b", None, "c"])

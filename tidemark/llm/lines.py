@@ -174,9 +174,7 @@ def alike(pairs: DataFrame, lines: DataFrame, share: int) -> DataFrame:
 
 def witnessed(sets: DataFrame, lost: DataFrame | None, which: int, share: int) -> DataFrame:
     """Pairs (a, a2, b, b2) of the first line with a token hash (which: least, greatest) and the others not lost, where they can be alike."""
-    # the place as one number, but for the text's hash: rows of one id and several texts are left to the index
-    place = F.col("doc").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + F.col("line").cast("decimal(10,0)")
-    slim = sets.select(F.get("ends", F.lit(which)).alias("end"), "doc", "h", place.alias("place"), "sid", "sid2", "n", "bits", "bits2")
+    slim = sets.select(F.get("ends", F.lit(which)).alias("end"), "doc", "h", placed(sets).alias("place"), "sid", "sid2", "n", "bits", "bits2")
     # numbers alone, which are aggregated by hash and not by sorting; places differ but for such rows
     lead = {"a": "sid", "a2": "sid2", "da": "doc", "ha": "h", "na": "n", "ba": "bits", "ca": "bits2"}
     leads = slim.groupBy("end").agg(F.min("place").alias("pa"), F.count("*").alias("many"), *[F.min_by(c, "place").alias(k) for k, c in lead.items()]).where("many > 1").drop("many")
@@ -186,6 +184,17 @@ def witnessed(sets: DataFrame, lost: DataFrame | None, which: int, share: int) -
     return common.staged(met.where(earlier & close(F.col("na"), F.col("nb"), share)).select("a", "a2", "b", "b2"), "line-pairs")
 
 
+def placed(sets: DataFrame) -> Column:
+    """The place as one number, but for the text's hash: rows of one id and several texts are left to the index. A long where ids and lines leave room."""
+    ids = F.when(F.col("doc") != LAST, F.col("doc"))
+    low, high, line = sets.agg(F.min(ids), F.max(ids), F.max("line")).first()
+    low, high, bits = low or 0, high or 0, (line or 0).bit_length()
+    if (high - low + 2) << bits < 2**63:
+        doc = F.when(F.col("doc") == LAST, F.lit(high - low + 1)).otherwise(F.col("doc") - F.lit(low))
+        return F.shiftleft(doc.cast("long"), bits).bitwiseOR(F.col("line").cast("long"))
+    return F.col("doc").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + F.col("line").cast("decimal(10,0)")
+
+
 def aged(docs: DataFrame) -> Column:
     """0 to 255: a number that never falls as doc grows, in even steps over the ids."""
     low, high = docs.where(F.col("doc") != LAST).agg(F.min("doc"), F.max("doc")).first()
@@ -235,8 +244,8 @@ def indexed(sets: DataFrame, lost: DataFrame, share: int) -> DataFrame:
     flag = lambda v, bit: F.col(v).bitwiseAND(F.lit(bit))
     (na, ia), (nb, ib) = told("va"), told("vb")
     ea, eb = flag("va", 255 << 2), flag("vb", 255 << 2)
-    near = ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & close(na, nb, share)
-    near = near & (F.least(na - ia, nb - ib) * (1000 + share) >= (na + nb) * share) & (flag("va", 1) + flag("vb", 1) < 2)
+    near = ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & (F.least(na - ia, nb - ib) * (1000 + share) >= (na + nb) * share)
+    near = near & close(na, nb, share) & (flag("va", 1) + flag("vb", 1) < 2)
     # the later line of a pair goes: where that is removed already, nothing is left to find
     near = near & ((flag("va", 1) == 0) | (ea <= eb)) & ((flag("vb", 1) == 0) | (eb <= ea))
     with common.setting(sets.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):  # else both sides were shuffled again, by token and class
@@ -253,8 +262,10 @@ def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFra
         lost = alike(witnessed(sets, None, 0, share), lines, share)
         lost = lost.union(alike(witnessed(sets, lost, 1, share), lines, share))
         more = beaten(indexed(sets, lost, share), lines, share)
-        kept = sets.select("sid", "sid2", "doc", "h", "line").join(lost.union(more), ["sid", "sid2"], "left_anti")
-        return common.staged(kept.groupBy("doc", "h").agg(F.collect_list("line").alias("kept")), "line-kept")
+        gone = lost.union(more).repartition("sid").hint("shuffle_hash")
+        kept = sets.select("sid", "sid2", "doc", "h", "line").join(gone, ["sid", "sid2"], "left_anti")
+        with common.setting(docs.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):  # else the buckets of lines were shuffled
+            return common.staged(kept.groupBy("doc", "h").agg(F.collect_list("line").alias("kept")), "line-kept")
 
 
 def deduped(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFrame:
@@ -263,7 +274,7 @@ def deduped(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFrame:
     kept = kept_lines(docs, threshold).select(F.col("doc").alias(doc), F.col("h").alias(h), F.col("kept").alias(left + "_kept"))
     text = common.text_or_empty()
     keyed = docs.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), h: F.xxhash64(text), whole: text})
-    joined = keyed.join(kept, [doc, h], "left")
+    joined = keyed.join(kept.hint("shuffle_hash"), [doc, h], "left")
     joined = joined.withColumn(cut, F.split(whole, "\n")).withColumn(left + "_set", F.coalesce(left + "_kept", F.array().cast("array<int>")))
     stays = lambda s, i: F.array_contains(F.col(left + "_set"), i) | (F.trim(s, F.lit(BLANKS)) == "")
     joined = joined.withColumn(left, F.filter(F.col(cut), stays))
