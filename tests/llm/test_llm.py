@@ -570,6 +570,35 @@ def test_lines_by_pairs_of_all_sizes(spark):
     assert got == brute_lines(texts, ids)
 
 
+def test_lines_of_a_token_stand_together(spark):
+    """Each task of the index holds its rows in the order of their tokens, on both sides of the join."""
+    rows = lines.rows_of(documents(spark, [" ".join(f"w{k * j % 97}" for j in range(20)) for k in range(60)]))
+    firsts = common.staged(lines.equal_lines(rows).drop("mixed"), "test-firsts")
+    sets = common.staged(lines.tokenised(firsts, lines.rarity(firsts), 800), "test-sets")
+    a, b = lines.met(sets, sets.select("sid", "sid2").limit(0), 800)
+    for side in (a, b):
+        tasks = {}
+        for r in side.select(F.spark_partition_id().alias("task"), "token").collect():
+            tasks.setdefault(r.task, []).append(r.token)
+        assert tasks and all(t == sorted(t) for t in tasks.values())
+    joined = a.join(b.withColumnsRenamed({c: f"{c}_b" for c in b.columns[2:]}).hint("shuffle_hash"), ["token", "class"])
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("Sort [token") == 2
+
+
+def test_lines_texts_are_read_once(spark):
+    """The lines of all pairs stand once in the table that pairs are judged by, blank lines nowhere."""
+    rows = lines.rows_of(documents(spark, ["a b c d e\n \t \nx", "a b  c d e\na b c d f", " \n\na b c d g"]))
+    firsts = common.staged(lines.equal_lines(rows).drop("mixed"), "test-firsts")
+    ids = {r.string: r.sid for r in firsts.collect()}
+    assert set(ids) == {"a b c d e", "x", "a b c d f", "a b c d g"}
+    pairs = spark.createDataFrame([(ids["a b c d e"], ids["a b c d f"]), (ids["a b c d g"], ids["a b c d e"])], "a bigint, b bigint")
+    found = lines.texts(pairs, firsts)
+    assert sorted(r.string for r in found.collect()) == ["a b c d e", "a b c d f", "a b c d g"]
+    # a share of 4 in 6 words: both later lines go at 0.6, none at 0.8
+    assert {r.sid for r in lines.beaten(pairs, firsts, 600).collect()} == {ids["a b c d f"], ids["a b c d g"]}
+    assert lines.beaten(pairs, firsts, 800).isEmpty()
+
+
 @pytest.mark.parametrize("ids", [[5, 3, None, 4, -2], [2**62, -(2**62), None, 2**61, 7]])
 def test_lines_places_in_order(spark, ids):
     """Places are one number, a long where ids and lines leave room: by id, then line, null ids last."""

@@ -88,17 +88,18 @@ def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return kept(out, at)
 
 
-def bucketed(df: DataFrame, label: str, key: str, compression: str = "snappy") -> DataFrame:
+def bucketed(df: DataFrame, label: str, key: str, compression: str = "snappy", dictionary: bool = True) -> DataFrame:
     """As staged(), but dealt by the hash of a key into as many buckets as a shuffle has partitions: joins on it don't shuffle the table.
 
-    The files stand in the shared folder; the session's catalogue holds the layout until release().
+    The files stand in the shared folder; the session's catalogue holds the layout until release(). Values that
+    hardly repeat need no dictionary, which is built and given up at a cost.
     """
     spark = df.sparkSession
     name = f"tidemark_{label.replace('-', '_')}_{uuid.uuid4().hex}"
     at = f"{shared_dir(spark)}/{name}"
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     with cleaning(spark):
-        df.write.option("compression", compression).option("path", at).bucketBy(buckets, key).format("parquet").saveAsTable(name)
+        df.write.option("compression", compression).option("parquet.enable.dictionary", str(dictionary).lower()).option("path", at).bucketBy(buckets, key).format("parquet").saveAsTable(name)
     out = spark.table(name)
     out._table = name
     return kept(out, at)

@@ -15,12 +15,13 @@ line (by doc_id, then place) has a Jaccard of the threshold or more with it; lin
    (the smaller by the shorter prefix that suffices for it). They meet by that token and the size class of
    the larger, so that lines of other sizes cost nothing; a class is as wide as the threshold lets sizes
    differ, so the smaller line stands in two or three at most. The rows of a token are joined in one task,
-   which holds those of the larger lines (about 70 bytes each). Pairs from this join must also pass the
+   which holds those of the larger lines (about 70 bytes each), both sides sorted by token, so that rows that
+   meet are near each other in memory. Pairs from this join must also pass the
    length filter, the positional filter, which bounds the overlap by what is left after the shared
    token's places, and a parity map, which bounds the difference; two lines that are both removed
    already are no pair, nor is a removed line with an earlier one that stays.
-5. Surviving pairs are verified by the exact Jaccard of their words; the later line of a pair goes. A
-   line is held against the first of its pairs, and if it stays, against the others.
+5. Surviving pairs are verified by the exact Jaccard of their words, whose lines are read once; the later line
+   of a pair goes. A line is held against the first of its pairs, and if it stays, against the others.
 
 The tables of lines are bucketed by the hash of the line, so that the joins on it shuffle pairs alone.
 
@@ -67,22 +68,23 @@ def words_in(line: Column) -> Column:
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
-    """(doc, h, line, string) of every line with words, its blanks made single spaces."""
+    """(doc, h, line, string) of every line that is not empty, its blanks made single spaces; those of blanks alone become empty."""
     marked = rows.withColumn("odd", reduce(or_, [F.contains("text", F.lit(x)) for x in UNUSUAL]))
-    lines = marked.select("doc", "h", "odd", F.posexplode(F.split("text", "\n")).alias("line", "string"))
+    lines = marked.select("doc", "h", "odd", F.posexplode(F.split("text", "\n")).alias("line", "string")).where(F.col("string") != "")
     plain = F.when(F.col("odd"), F.trim(F.regexp_replace("string", BLANK, " "))).otherwise(F.trim("string"))
-    return lines.select("doc", "h", "line", plain.alias("string")).where(F.col("string") != "")
+    return lines.select("doc", "h", "line", plain.alias("string"))
 
 
 def equal_lines(rows: DataFrame) -> DataFrame:
     """(sid, sid2, doc, h, line, string, mixed): the first of all lines that are equal but for blanks.
 
-    Aggregated by 64 bits alone, by which the table is bucketed; mixed: lines of several second hashes met.
+    Aggregated by 64 bits alone, by which the table is bucketed; mixed: lines of several second hashes met. Lines
+    without words are left out at the end, as a test before the shuffle would trim every line twice.
     """
     lines = lines_of(rows)
     lines = lines.select(F.xxhash64("string").alias("sid"), F.xxhash64(F.lit(1), "string").alias("sid2"), F.struct("doc", "h", "line", "string").alias("place"))
     firsts = lines.groupBy("sid").agg(F.min("place").alias("first"), F.min("sid2").alias("sid2"), F.max("sid2").alias("other"))
-    return firsts.select("sid", "sid2", "first.*", (F.col("sid2") != F.col("other")).alias("mixed"))
+    return firsts.select("sid", "sid2", "first.*", (F.col("sid2") != F.col("other")).alias("mixed")).where(F.col("string") != "")
 
 
 def apart(firsts: DataFrame, rows: DataFrame) -> DataFrame:
@@ -92,11 +94,11 @@ def apart(firsts: DataFrame, rows: DataFrame) -> DataFrame:
     twins = firsts.where("mixed").select("sid")
     lines = lines_of(rows).select(F.xxhash64("string").alias("sid"), F.xxhash64(F.lit(1), "string").alias("sid2"), F.struct("doc", "h", "line", "string").alias("place"))
     split = lines.join(twins, "sid", "left_semi").groupBy("sid", "sid2").agg(F.min("place").alias("first")).select("sid", "sid2", "first.*")
-    return firsts.where("NOT mixed").drop("mixed").unionByName(split)
+    return firsts.where("NOT mixed").drop("mixed").unionByName(split.where(F.col("string") != ""))
 
 
 def rarity(lines: DataFrame) -> Column:
-    """For each counter a long whose highest seven bits grow with the log of its occurrences, as a constant array."""
+    """For each counter a long of seven bits that grows with the log of its occurrences, as a constant array (of small numbers, which the JVM keeps once)."""
     at = F.xxhash64("w").bitwiseAND(F.lit(COUNTERS - 1)).cast("int")
     counts = lines.select(F.explode(words_in(F.col("string"))).alias("w")).groupBy(at.alias("at")).agg(F.count("*").alias("n"))
     rank = F.least(F.floor(F.log2(F.col("n") + 1) * STEPS), F.lit(127)).cast("int")
@@ -104,7 +106,7 @@ def rarity(lines: DataFrame) -> Column:
     ranks = [0] * COUNTERS
     for part in rows.select("at", "rank").toArrow().to_pylist():  # COUNTERS entries at most, whatever the input
         for place, r in zip(part["at"], part["rank"], strict=True):
-            ranks[place] = r << 56
+            ranks[place] = r
     return F.from_json(F.lit(json.dumps(ranks, separators=(",", ":"))), "array<bigint>")
 
 
@@ -112,7 +114,7 @@ def tokenised(lines: DataFrame, ranks: Column, share: int) -> DataFrame:
     """(sid, sid2, doc, h, line, n, bits, bits2, ends, prefix): of every line what the join needs; bits: parity maps of its tokens."""
     hashes = F.transform(words_in(F.col("string")), lambda w: F.xxhash64(w))
     rank = lambda x: F.coalesce(F.get(ranks, x.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")), F.lit(0).cast("long"))  # noqa: E731  never null, so that plain longs are sorted
-    keys = F.transform("hashes", lambda x: rank(x).bitwiseOR(F.shiftrightunsigned(x, 8)))
+    keys = F.transform("hashes", lambda x: F.shiftleft(rank(x), 56).bitwiseOR(F.shiftrightunsigned(x, 8)))
     place = ["sid", "sid2", "doc", "h", "line"]
     sets = lines.select(*place, hashes.alias("hashes")).select(*place, F.array(F.array_min("hashes"), F.array_max("hashes")).alias("ends"), F.sort_array(F.array_distinct(keys)).alias("keys"))
     size = F.size("keys")
@@ -147,29 +149,46 @@ def renamed(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[F.col(c).alias(n) for c, n in names.items()])
 
 
+def texts(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(sid, sid2, doc, h, line, string) of the lines in pairs (a, b), each once; a table, so that the lines are read once."""
+    wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct().hint("shuffle_hash")
+    return common.staged(lines.join(wanted, "sid").select("sid", "sid2", "doc", "h", "line", "string"), "line-texts")
+
+
 def beaten(pairs: DataFrame, lines: DataFrame, share: int) -> DataFrame:
     """(sid, sid2) of the later line of every pair (a, b) whose exact Jaccard reaches the threshold."""
-    places = lines.select("sid", "sid2", F.struct("doc", "h", "line").alias("place"))
-    told = pairs.hint("shuffle_hash").join(renamed(places, sid="a", sid2="a2", place="pa"), "a").hint("shuffle_hash").join(renamed(places, sid="b", sid2="b2", place="pb"), "b")
+    found = texts(pairs, lines)
+    places = found.select("sid", "sid2", F.struct("doc", "h", "line").alias("place"))
+    told = pairs.join(renamed(places, sid="a", sid2="a2", place="pa").hint("shuffle_hash"), "a").join(renamed(places, sid="b", sid2="b2", place="pb").hint("shuffle_hash"), "b")
     one, two = (F.struct(F.col(f"p{x}").alias("place"), F.col(x).alias("sid"), F.col(f"{x}2").alias("sid2")) for x in "ab")
     first = F.col("pa") < F.col("pb")
     told = told.select(F.when(first, one).otherwise(two).alias("early"), F.when(first, two).otherwise(one).alias("late"))
     told = common.staged(told.select("early.place", F.col("early.sid").alias("a"), F.col("early.sid2").alias("a2"), F.col("late.sid").alias("b"), F.col("late.sid2").alias("b2")), "line-ordered")
     leads = common.staged(told.groupBy("b", "b2").agg(F.min(F.struct("place", "a", "a2")).alias("e")).select("e.a", "e.a2", "b", "b2"), "line-leads")
-    lost = alike(leads, lines, share)
+    lost = alike(leads, found, share)
     rest = told.join(renamed(lost, sid="b", sid2="b2"), ["b", "b2"], "left_anti").join(leads, ["a", "a2", "b", "b2"], "left_anti")
-    return lost.union(alike(common.staged(rest.select("a", "a2", "b", "b2"), "line-rest"), lines, share))
+    lost = lost.union(alike(common.staged(rest.select("a", "a2", "b", "b2"), "line-rest"), found, share))
+    common.release(found)
+    return lost
 
 
-def alike(pairs: DataFrame, lines: DataFrame, share: int) -> DataFrame:
-    """(sid, sid2) of b of the pairs (a, a2, b, b2) whose words have the Jaccard, each once."""
-    wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct().hint("shuffle_hash")
-    found = common.staged(lines.join(wanted, "sid").select("sid", "sid2", F.array_distinct(words_in(F.col("string"))).alias("words")), "line-texts")
-    cut = pairs.join(renamed(found, sid="a", sid2="a2", words="x"), ["a", "a2"]).join(renamed(found, sid="b", sid2="b2", words="y"), ["b", "b2"])
-    close_enough = F.size(F.array_intersect("x", "y")) * (1000 + share) >= (F.size("x") + F.size("y")) * share
-    out = common.staged(cut.where(close_enough).select(F.col("b").alias("sid"), F.col("b2").alias("sid2")).distinct(), "line-beaten")
+def alike(pairs: DataFrame, found: DataFrame, share: int) -> DataFrame:
+    """(sid, sid2) of b of the pairs (a, a2, b, b2) whose words have the Jaccard, each once; found: their texts."""
+    found = found.select("sid", "sid2", "string")
+    cut = pairs.join(renamed(found, sid="a", sid2="a2", string="x"), ["a", "a2"]).join(renamed(found, sid="b", sid2="b2", string="y"), ["b", "b2"])
+    x, y = (F.array_distinct(words_in(F.col(c))) for c in "xy")
+    enough = F.size(F.array_intersect(x, y)) * (1000 + share) >= (F.size(x) + F.size(y)) * share
+    # told of all pairs of a line and not in a filter, which would cut every text twice
+    told = cut.select("b", "b2", enough.alias("enough")).groupBy("b", "b2").agg(F.bool_or("enough").alias("enough"))
+    return common.staged(told.where("enough").select(F.col("b").alias("sid"), F.col("b2").alias("sid2")), "line-beaten")
+
+
+def lost_to(pairs: DataFrame, lines: DataFrame, share: int) -> DataFrame:
+    """As alike(), with the texts read for these pairs alone."""
+    found = texts(pairs, lines)
+    lost = alike(pairs, found, share)
     common.release(found)
-    return out
+    return lost
 
 
 def witnessed(sets: DataFrame, lost: DataFrame | None, which: int, share: int) -> DataFrame:
@@ -219,12 +238,13 @@ def met(sets: DataFrame, lost: DataFrame, share: int) -> tuple[DataFrame, DataFr
     shape = F.shiftleft(n, 36).bitwiseOR(F.shiftleft(at, 10)).bitwiseOR(F.shiftleft("age", 2)).bitwiseOR((F.when(short, 2).otherwise(0) + F.col("gone")).cast("long"))
     # 32 bits of a token and the class are one long for the join; neither is ever null, as a test for it would stand below one side's shuffle alone
     token = F.coalesce(F.shiftright(F.shiftleft("token", 32), 32).cast("int"), F.lit(0))
-    index = index.select(token.alias("token"), "sid", F.coalesce(shape, F.lit(0).cast("long")).alias("shape"), "bits", "bits2").repartition("token")
+    index = index.select(token.alias("token"), "sid", F.coalesce(shape, F.lit(0).cast("long")).alias("shape"), "bits", "bits2").repartition("token").sortWithinPartitions("token")
     n, at = told("shape")
     most = F.call_function("div", (n - at) * (1000 + share), F.lit(share)) - n
     classes = F.when(F.col("shape").bitwiseAND(F.lit(2)) > 0, F.sequence(sized(n, share), sized(most, share))).otherwise(F.array().cast("array<int>"))
     rest = ["sid", "shape", "bits", "bits2"]
-    return index.select("token", F.explode(classes).alias("class"), *rest), index.select("token", sized(n, share).alias("class"), *rest)
+    # rows of a token stand together, so that the join finds them in the cache; exploded on both sides, as the optimiser drops a sort right below a join
+    return index.select("token", F.explode(classes).alias("class"), *rest), index.select("token", F.explode(F.array(sized(n, share))).alias("class"), *rest)
 
 
 def told(shape: str) -> tuple[Column, Column]:
@@ -257,10 +277,10 @@ def kept_lines(docs: DataFrame, threshold: float = common.SIMILARITY) -> DataFra
     with common.workspace():
         share = round(threshold * 1000)
         rows = rows_of(docs)
-        lines = apart(common.bucketed(equal_lines(rows), "line-firsts", "sid", "zstd"), rows)
-        sets = common.bucketed(tokenised(lines, rarity(lines), share), "line-sets", "sid")
-        lost = alike(witnessed(sets, None, 0, share), lines, share)
-        lost = lost.union(alike(witnessed(sets, lost, 1, share), lines, share))
+        lines = apart(common.bucketed(equal_lines(rows), "line-firsts", "sid", "zstd", dictionary=False), rows)
+        sets = common.bucketed(tokenised(lines, rarity(lines), share), "line-sets", "sid", dictionary=False)
+        lost = lost_to(witnessed(sets, None, 0, share), lines, share)
+        lost = lost.union(lost_to(witnessed(sets, lost, 1, share), lines, share))
         more = beaten(indexed(sets, lost, share), lines, share)
         gone = lost.union(more).repartition("sid").hint("shuffle_hash")
         kept = sets.select("sid", "sid2", "doc", "h", "line").join(gone, ["sid", "sid2"], "left_anti")
