@@ -61,6 +61,52 @@ def test_ran_before_equals_loop(spark):
     assert vetoed.count() == 0
 
 
+def latest_by_loop(today, past):
+    """id: (edition, -past_id, shared) of the latest match."""
+    df, want = Counter(n for r in today for n in r[2]) + Counter(n for r in past for n in r[3]), {}
+    for i, w, n in today:
+        for j, edition, v, m in past:
+            shared, small = len(set(w) & set(v)), min(len(w), len(v))
+            named = any(2 <= df[x] <= 12 for x in set(n) & set(m)) and shared >= 3
+            if (small >= 4 and shared >= 0.55 * small) or shared >= 5 or named:
+                want[i] = max(want.get(i, (-math.inf,)), (edition, -j, shared))
+    return want
+
+
+@pytest.mark.parametrize("seed, frequent, first", [(5, 3, 1), (6, 25, 2), (7, 200, 64)])
+def test_ran_before_under_pairs_of_words(spark, monkeypatch, seed, frequent, first):
+    """Small limits: words are frequent and keys hold more past rows than are met at first."""
+    monkeypatch.setattr(history, "FREQUENT", frequent)
+    monkeypatch.setattr(history, "FIRST", first)
+    rng = random.Random(seed)
+    sets = [(i, w + [f"x{rng.randrange(25)}"] * (rng.random() < 0.5), [f"n{rng.randrange(30)}"] * rng.randrange(2)) for i, w in enumerate(headlines(rng, 70))]
+    sets += [(len(sets) + i, list(reversed(w)), n) for i, (_, w, n) in enumerate(rng.sample(sets, 40))]
+    today, past = [r for r in sets if r[0] % 2 == 0], [(i, i // 30, w, n) for i, w, n in sets if i % 2]
+    a = spark.createDataFrame(today, "id long, w array<string>, n array<string>")
+    b = spark.createDataFrame(past, "past_id long, edition long, w array<string>, n array<string>")
+    known = history.distinctive(a, b, "n")
+    for veto in (None, F.size("wa") < 0):
+        found = history.ran_before(a, b, "id", "w", "n", "edition", known, veto)
+        assert {r.id: (r.edition, -r.past_id, r.shared) for r in found.collect()} == latest_by_loop(today, past)
+
+
+def test_near_copies_do_not_all_meet(spark, monkeypatch):
+    monkeypatch.setattr(history, "FREQUENT", 100, raising=False)
+    monkeypatch.setattr(history, "FIRST", 4, raising=False)
+    n, met = 200, spark.sparkContext.accumulator(0)
+    a = spark.createDataFrame([(i, [f"u{k}" for k in range(8)] + [f"a{i}"], []) for i in range(n)], "id long, w array<string>, n array<string>")
+    b = spark.createDataFrame([(i, i // 10, [f"u{k}" for k in range(8)] + [f"b{i}"], []) for i in range(n)], "past_id long, edition long, w array<string>, n array<string>")
+
+    @F.udf("boolean")
+    def counted(words, edition):
+        met.add(1)
+        return False
+
+    found = history.ran_before(a, b, "id", "w", "n", "edition", veto=counted("wa", "edition"))
+    assert {(r.past_id, r.edition, r.shared) for r in found.collect()} == {(n - 10, n // 10 - 1, 8)}
+    assert 0 < met.value <= n * 4 * 10  # ten pairs of words; n * n pairs of rows
+
+
 def test_rounds_leave_no_edges(spark):
     rng = random.Random(4)
     edges = spark.createDataFrame(sorted({tuple(sorted(rng.sample(range(40), 2))) for _ in range(30)}), "a long, b long")
